@@ -1,0 +1 @@
+"""Incremental form of the silver step for trade documents that keep arriving."""
