@@ -1,9 +1,19 @@
 """Exact price arithmetic.
 
-Prices are decimals, sums of decimals are exact, and every division is an
-integer division with explicit round-half-up.  The result therefore does not
+Prices are decimals and sums of decimals are exact, so a result does not
 depend on how Spark splits rows into tasks or in which order partial sums
-meet, as a double sum would.
+meet, as a double sum would.  A mean is one decimal division followed by a
+half-up ``round``:
+
+* the quotient of a sum with at most 18 integer digits by a count is typed
+  ``decimal(38,20)`` (Spark's decimal rules, ``allowPrecisionLoss`` on, which
+  ``session.configure`` pins), i.e. rounded half-up at 20 decimals;
+* the exact quotient of a sum with ``s`` decimals by ``n`` lies at least
+  ``1 / (2 * n * 10**(s + d))`` away from any tie at ``d`` decimals unless it
+  is a tie, so rounding the 20-decimal quotient to ``d`` decimals equals
+  rounding the exact quotient whenever ``n < 10**(20 - s - d)`` - for the
+  hourly price (``s=2, d=10``) that is 10 billion shares in one hour and
+  ticker, for a period mean (``s=10, d=2``) 100 million hourly rows.
 """
 
 from __future__ import annotations
@@ -21,8 +31,8 @@ INDEX_TYPE = T.DecimalType(10, 2)
 # A floating price is taken with 8 decimals before it is summed (narrow
 # enough that shares * price keeps all 8 decimals).
 FLOAT_PRICE_TYPE = T.DecimalType(24, 8)
-
-_WHOLE = T.DecimalType(38, 0)
+# Integer digits a summed numerator may have (see the module text).
+SUM_INTEGER_DIGITS = 18
 
 
 def _c(c: Column | str) -> Column:
@@ -35,46 +45,21 @@ def price_decimal(col: Column | str, dtype: T.DataType) -> Column:
     return c if isinstance(dtype, T.DecimalType) else c.cast(FLOAT_PRICE_TYPE)
 
 
-def int_div(a: Column, b: Column) -> Column:
-    """SQL ``a DIV b``: integral quotient, truncated toward zero (bigint)."""
-    return F.call_function("div", a, b)
-
-
-def half_up_div(num: Column, den: Column) -> Column:
-    """``round_half_up(num / den)`` for whole ``num`` and ``den``; null when
-    ``den`` is 0 or null.  Half-up is away from zero, like Spark's ``round``."""
-    num, den = num.cast(_WHOLE), den.cast(_WHOLE)
-    q = int_div(F.abs(num) * F.lit(2) + F.abs(den), F.abs(den) * F.lit(2))
-    return F.when(den != 0, F.when((num < 0) != (den < 0), -q).otherwise(q))
-
-
-def scaled_mean(total: Column, total_scale: int, count: Column, out_scale: int) -> Column:
-    """``round_half_up(total / count * 10**out_scale)`` as bigint.
+def decimal_scale(dtype: T.DataType) -> int:
+    return dtype.scale if isinstance(dtype, T.DecimalType) else 0
 
-    ``total`` is a decimal with at most ``total_scale`` decimals (a sum of
-    prices, or a notional), ``count`` a positive whole number (rows, shares).
-    """
-    if out_scale >= total_scale:
-        num = (_c(total) * F.lit(10**out_scale)).cast(_WHOLE)
-        den = _c(count)
-    else:
-        num = (_c(total) * F.lit(10**total_scale)).cast(_WHOLE)
-        den = _c(count).cast(_WHOLE) * F.lit(10 ** (total_scale - out_scale))
-    return half_up_div(num, den)
 
+def mean_half_up(total: Column | str, total_scale: int, count: Column | str,
+                 decimals: int) -> Column:
+    """``round_half_up(total / count, decimals)`` as a decimal; null when
+    ``count`` is 0 or null.  ``total`` is a decimal sum with ``total_scale``
+    decimals (a notional, a sum of prices), ``count`` a whole number."""
+    num = _c(total).cast(T.DecimalType(SUM_INTEGER_DIGITS + total_scale, total_scale))
+    return F.round(F.try_divide(num, _c(count).cast(T.LongType())), decimals)
 
-def scaled_to_decimal(k: Column, scale: int, dtype: T.DecimalType | None = None) -> Column:
-    """Whole number ``k`` read as ``k / 10**scale``, exactly."""
-    unit = F.lit(f"1E-{scale}").cast(T.DecimalType(scale + 1, scale))
-    out = k.cast(T.DecimalType(19, 0)) * unit
-    return out.cast(dtype or T.DecimalType(19 + scale, scale))
 
-
-def scaled_to_double(k: Column, scale: int) -> Column:
-    """``k / 10**scale`` as the nearest double."""
-    return k.cast(T.DoubleType()) / F.lit(float(10**scale))
-
-
-def round_report(col: Column, scale: int, decimals: int = REPORT_DECIMALS) -> Column:
-    """Half-up round a decimal with ``scale`` decimals and hand it out as double."""
-    return scaled_to_double(scaled_mean(col, scale, F.lit(1), decimals), decimals)
+def report_value(col: Column | str, decimals: int | None = REPORT_DECIMALS) -> Column:
+    """A decimal handed out as double, half-up rounded first unless
+    ``decimals`` is None."""
+    c = _c(col)
+    return (c if decimals is None else F.round(c, decimals)).cast(T.DoubleType())

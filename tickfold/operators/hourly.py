@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickfold.functions.numeric import (PRICE_SCALE, PRICE_TYPE, price_decimal,
-                                        scaled_mean, scaled_to_decimal)
+from tickfold.functions.numeric import PRICE_SCALE, PRICE_TYPE, mean_half_up, price_decimal
 from tickfold.functions.time import as_timestamp, bucket
 
 
@@ -33,6 +32,6 @@ def hourly_vwap(trades: DataFrame, grain: str = "hour") -> DataFrame:
         F.sum("shares").alias("volume"),
         F.sum(F.col("shares") * price).alias("notional"),
     )
-    k = scaled_mean(F.col("notional"), scale, F.col("volume"), PRICE_SCALE)
+    price = mean_half_up("notional", scale, "volume", PRICE_SCALE).cast(PRICE_TYPE)
     return agg.select("datetime", "ticker", F.col("volume").cast(T.LongType()).alias("volume"),
-                      "notional", scaled_to_decimal(k, PRICE_SCALE, PRICE_TYPE).alias("avg_price"))
+                      "notional", price.alias("avg_price"))

@@ -10,8 +10,6 @@ on the key, with AQE splitting skewed partitions.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,27 +55,26 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str],
     return fact.join(dim, on, how)
 
 
-# Outcome of the size check per company DataFrame, so a run that joins the
-# same dimension several times (hourly, daily, monthly ...) checks it once.
-_company_small: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
-
-
-def join_company(hourly: DataFrame, companies: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def join_company(hourly: DataFrame, companies: DataFrame, broadcast: str = "adaptive",
+                 max_rows: int = BROADCAST_MAX_ROWS,
                  max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Keep rows whose ticker has a company row, adding ``company_name``.
-    A ticker with two company rows appears twice."""
+    A ticker with two company rows appears twice.
+
+    ``broadcast="adaptive"`` (default) plans a shuffle join and lets AQE
+    measure the company stage: below the adaptive threshold it becomes a
+    broadcast join before the fact side is shuffled for it; above, it stays a
+    sort-merge join.  No extra job runs.  ``"check"`` proves the size first
+    with :func:`bounded_size` and broadcasts by hint (a static plan);
+    ``"never"`` always shuffles.
+    """
     dim = companies.select("ticker", "company_name").where(F.col("ticker").isNotNull())
-    try:
-        small = _company_small.get(companies)
-    except TypeError:
-        small = None
-    if small is None:
-        small = bounded_size(dim, max_rows, max_bytes) is not None
-        try:
-            _company_small[companies] = small
-        except TypeError:
-            pass
-    return hourly.join(F.broadcast(dim) if small else dim, "ticker")
+    if broadcast == "check":
+        return join_dimension(hourly, dim, "ticker", max_rows=max_rows, max_bytes=max_bytes)
+    if broadcast not in ("adaptive", "never"):
+        raise ValueError("broadcast must be 'adaptive', 'check' or 'never'")
+    joined = hourly.join(dim, "ticker")
+    return joined.hint("shuffle_merge") if broadcast == "never" else joined
 
 
 def join_index(hourly: DataFrame, index_by_hour: DataFrame) -> DataFrame:

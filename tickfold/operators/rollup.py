@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickfold.functions.numeric import REPORT_DECIMALS, scaled_mean, scaled_to_double
+from tickfold.functions.numeric import REPORT_DECIMALS, decimal_scale, mean_half_up
 from tickfold.functions.time import LABEL_COLUMNS, bucket, check_grain, period_label
 from tickfold.operators.joins import join_company
 
@@ -44,11 +44,6 @@ def coarsen(state: DataFrame, grain: str) -> DataFrame:
         *[F.sum(c).alias(c) for c in STATE_COLUMNS[2:]])
 
 
-def _scale(df: DataFrame, col: str) -> int:
-    dtype = df.schema[col].dataType
-    return dtype.scale if isinstance(dtype, T.DecimalType) else 0
-
-
 def finish(state: DataFrame, companies: DataFrame, grain: str, sort: bool = True,
            decimals: int = REPORT_DECIMALS) -> DataFrame:
     """Report ``(<label>, ticker, company_name, avg_price, volume, market_index)``.
@@ -59,17 +54,18 @@ def finish(state: DataFrame, companies: DataFrame, grain: str, sort: bool = True
     double; ``sort`` orders by period start, then ticker.
     """
     joined = join_company(state, companies)
-    price_scale, index_scale = _scale(state, "price_sum"), _scale(state, "index_sum")
+    price_scale = decimal_scale(state.schema["price_sum"].dataType)
+    index_scale = decimal_scale(state.schema["index_sum"].dataType)
     out = joined.select(
         "period",
         period_label("period", grain).alias(LABEL_COLUMNS[check_grain(grain)]),
-        "ticker",
+        F.col("ticker").cast("string").alias("ticker"),
         "company_name",
-        scaled_to_double(scaled_mean(F.col("price_sum"), price_scale, F.col("price_n"),
-                                     decimals), decimals).alias("avg_price"),
+        mean_half_up("price_sum", price_scale, "price_n", decimals)
+        .cast(T.DoubleType()).alias("avg_price"),
         F.col("volume").cast(T.LongType()).alias("volume"),
-        scaled_to_double(scaled_mean(F.col("index_sum"), index_scale, F.col("index_n"),
-                                     decimals), decimals).alias("market_index"),
+        mean_half_up("index_sum", index_scale, "index_n", decimals)
+        .cast(T.DoubleType()).alias("market_index"),
     )
     if sort:
         out = out.orderBy("period", "ticker")

@@ -12,9 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickfold.functions.numeric import round_report
+from tickfold.functions.numeric import report_value
 from tickfold.functions.time import period_label
 from tickfold.operators.explode import explode_transactions
 from tickfold.operators.hourly import hourly_vwap
@@ -43,17 +42,12 @@ def report(core_rows: DataFrame, companies: DataFrame, round_decimals: int | Non
     with ``datetime`` as ``yyyy-MM-dd HH:mm:ss`` text.  Prices and index are
     doubles: exact values, or half-up rounded to ``round_decimals``."""
     joined = join_company(core_rows, companies)
-    if round_decimals is None:
-        price = F.col("avg_price").cast(T.DoubleType())
-        index = F.col("market_index").cast(T.DoubleType())
-    else:
-        price = round_report(F.col("avg_price"), _scale(joined, "avg_price"), round_decimals)
-        index = round_report(F.col("market_index"), _scale(joined, "market_index"),
-                             round_decimals)
+    price = report_value("avg_price", round_decimals)
+    index = report_value("market_index", round_decimals)
     out = joined.select(
         F.col("datetime").alias("_hour"),
         period_label("datetime", "hour").alias("datetime"),
-        "ticker", "company_name",
+        F.col("ticker").cast("string").alias("ticker"), "company_name",
         price.alias("avg_price"),
         F.col("volume"),
         index.alias("market_index"),
@@ -72,8 +66,3 @@ def hourly(trades: DataFrame, companies: DataFrame, market_index: DataFrame,
 def with_company(core_rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Core rows with ``company_name`` (J1 only, no formatting)."""
     return join_company(core_rows, companies)
-
-
-def _scale(df: DataFrame, col: str) -> int:
-    dtype = df.schema[col].dataType
-    return dtype.scale if isinstance(dtype, T.DecimalType) else 0

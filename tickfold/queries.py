@@ -33,6 +33,10 @@ def _inputs(spark: SparkSession, sf_dir: str, adapter: str) -> adapters.Inputs:
     return adapters.inputs(spark, sf_dir, adapter)
 
 
+def _text(col: str):
+    return F.col(col).cast("string").alias(col)
+
+
 def _flat_trades(trades: DataFrame) -> DataFrame:
     return trades.select("timestamp", "ticker", "action", "shares",
                          F.col("price").cast(T.DoubleType()).alias("price"))
@@ -75,7 +79,7 @@ def _hourly_vwap(adapter):
     def q(spark, sf_dir):
         inp = _inputs(spark, sf_dir, adapter)
         h = hourly_vwap(inp.trades)
-        return h.select("datetime", "ticker", "volume",
+        return h.select("datetime", _text("ticker"), "volume",
                         F.col("avg_price").cast(T.DoubleType()).alias("avg_stock_price"))
     q.__doc__ = f"A1-A4: hourly volume and VWAP ({adapter})."
     return q
@@ -94,14 +98,14 @@ def q_join_company_events(spark, sf_dir):
     """Hourly aggregate joined to the company dimension."""
     inp = _inputs(spark, sf_dir, "events")
     h = join_company(hourly_vwap(inp.trades), inp.companies)
-    return h.select("datetime", "ticker", "company_name", "volume",
+    return h.select("datetime", _text("ticker"), "company_name", "volume",
                     F.col("avg_price").cast(T.DoubleType()).alias("avg_stock_price"))
 
 
 def q_join_index_events(spark, sf_dir):
     """Hourly aggregate joined to the hourly index."""
     _, core = _core(spark, sf_dir, "events")
-    return core.select("datetime", "ticker", "volume",
+    return core.select("datetime", _text("ticker"), "volume",
                        F.col("avg_price").cast(T.DoubleType()).alias("avg_price"),
                        F.col("market_index").cast(T.DoubleType()).alias("market_index"))
 
@@ -113,7 +117,7 @@ def q_join_index_fanout_events(spark, sf_dir):
     raw = adapters.table(spark, sf_dir, "events").where(F.col("event_type") == "error").select(
         F.col("ts").alias("timestamp"), F.col("value").cast(INDEX_TYPE).alias("index_value"))
     core = silver.core(inp.trades, raw)
-    return core.select("datetime", "ticker", "volume",
+    return core.select("datetime", _text("ticker"), "volume",
                        F.col("avg_price").cast(T.DoubleType()).alias("avg_price"),
                        F.col("market_index").cast(T.DoubleType()).alias("market_index"))
 

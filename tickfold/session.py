@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 # Runtime SQL settings this package relies on.
 #  * UTC: hour/day/month/quarter buckets and labels must not move with the
 #    machine's zone.
+#  * Decimal division keeps 20 decimals (functions.numeric relies on it).
 #  * No broadcast from *static* size guesses (a compressed parquet footprint is
 #    not a bound on the in-memory hash table).  Broadcasts happen only
 #    (a) behind an explicit row/byte check (operators.joins.join_dimension), or
@@ -25,6 +26,7 @@ from pyspark.sql import SparkSession
 #    holding a third of the rows) is split across tasks instead of landing in one.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.decimalOperations.allowPrecisionLoss": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

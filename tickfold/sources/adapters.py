@@ -12,7 +12,11 @@ Three mappings (trades, companies, index):
   the document stamp is ``o_orderdate`` and its array holds that order's lines
   as trades; orders without lines become documents with an empty array.
 
-All reads are column-pruned parquet scans; filters reach the scan.
+All reads are column-pruned parquet scans; filters reach the scan.  The
+instrument keeps its numeric key (``user_id`` / ``l_suppkey``) as ``ticker``
+through aggregation and joins - a bigint hashes and shuffles cheaper than its
+text - and reports print it as text.  Documents carry text tickers, as a
+document store would.
 """
 
 from __future__ import annotations
@@ -54,7 +58,7 @@ def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         F.col("ts").alias("timestamp"),
-        F.col("user_id").cast("string").alias("ticker"),
+        F.col("user_id").alias("ticker"),
         F.col("event_type").alias("action"),
         F.get_json_object("props", "$.k").try_cast("int").alias("shares"),
         F.col("value").cast(PRICE).alias("price"),
@@ -63,8 +67,7 @@ def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").cast("string").alias("ticker"),
-                    F.col("c_name").alias("company_name"))
+    return c.select(F.col("c_custkey").alias("ticker"), F.col("c_name").alias("company_name"))
 
 
 def events_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +78,9 @@ def events_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- lineitem ----------------------------------------------------------------
 
-def _line_trade_columns():
+def _line_trade_columns(ticker_type: str = "bigint"):
     return [
-        F.col("l_suppkey").cast("string").alias("ticker"),
+        F.col("l_suppkey").cast(ticker_type).alias("ticker"),
         F.col("l_returnflag").alias("action"),
         F.col("l_quantity").cast("int").alias("shares"),
         F.col("l_extendedprice").cast(PRICE).alias("price"),
@@ -89,9 +92,9 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_shipdate").alias("timestamp"), *_line_trade_columns())
 
 
-def supplier_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_companies(spark: SparkSession, sf_dir: str, ticker_type: str = "bigint") -> DataFrame:
     s = table(spark, sf_dir, "supplier")
-    return s.select(F.col("s_suppkey").cast("string").alias("ticker"),
+    return s.select(F.col("s_suppkey").cast(ticker_type).alias("ticker"),
                     F.col("s_name").alias("company_name"))
 
 
@@ -116,7 +119,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey"),
         F.floor(F.monotonically_increasing_id() / DOCUMENT_CHUNK).alias("chunk"),
-        F.struct(*_line_trade_columns()).alias("trade"),
+        F.struct(*_line_trade_columns("string")).alias("trade"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     filled = (
@@ -148,7 +151,7 @@ def inputs(spark: SparkSession, sf_dir: str, adapter: str) -> Inputs:
                       index=orders_index(spark, sf_dir),
                       trades=lineitem_trades(spark, sf_dir))
     if adapter == "documents":
-        return Inputs(companies=supplier_companies(spark, sf_dir),
+        return Inputs(companies=supplier_companies(spark, sf_dir, "string"),
                       index=orders_index(spark, sf_dir),
                       documents=order_documents(spark, sf_dir))
     raise ValueError(f"adapter must be one of {ADAPTERS}, got {adapter!r}")
