@@ -7,11 +7,15 @@ Compared with recomputing every output from the sources, the run
   costs a re-read, not a replay from the sources;
 * rolls the finest gold grain once into an additive state (also written),
   and derives the coarser grains from that state;
-* writes every report in parallel (``single_file`` only for small tables).
+* writes every report in parallel, and submits the report writes together
+  (they only read the materialised tables, so they are independent jobs the
+  scheduler can interleave).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tickfold.functions.time import GRAINS, LABEL_COLUMNS
@@ -49,11 +53,12 @@ def run(
         state = materialise(spark, period_state(core, finest), f"state-{finest}")
         for grain in grains:
             reports[grain] = gold.rollup_from_state(state, finest, inputs.companies, grain)
-    written = {}
-    for grain, report in reports.items():
+    def write(grain: str) -> str:
         path = f"{output_path.rstrip('/')}/{OUTPUT_NAMES[grain]}"
         if partitioned:
-            written[grain] = write_partitioned_csv(report, path, LABEL_COLUMNS[grain])
-        else:
-            written[grain] = write_csv(report, path, single_file=single_file and grain != "hour")
-    return written
+            return write_partitioned_csv(reports[grain], path, LABEL_COLUMNS[grain])
+        return write_csv(reports[grain], path, single_file=single_file and grain != "hour")
+
+    with ThreadPoolExecutor(max_workers=len(reports)) as pool:
+        paths = dict(zip(reports, pool.map(write, reports)))
+    return paths

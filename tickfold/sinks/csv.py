@@ -1,8 +1,11 @@
 """CSV outputs (K1-K4).
 
 Writes are parallel: every task writes its own part file into the output
-folder, and the committer publishes the folder atomically.  ``single_file``
-(one part file, via ``coalesce(1)``) is for small gold tables only.
+folder, and the committer publishes the folder atomically.  AQE coalesces the
+last shuffle to its advisory partition size, so a small (gold) report comes
+out as one part file and a large one as several, each in sort order.
+``single_file=True`` forces one part file with ``coalesce(1)``: one task then
+writes everything, so use it only for outputs known to be small.
 """
 
 from __future__ import annotations
