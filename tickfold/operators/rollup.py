@@ -23,13 +23,13 @@ from tickfold.functions.numeric import REPORT_DECIMALS, decimal_scale, mean_half
 from tickfold.functions.time import LABEL_COLUMNS, bucket, check_grain, period_label
 from tickfold.operators.joins import join_company
 
-STATE_COLUMNS = ("period", "ticker", "price_sum", "price_n", "volume", "index_sum", "index_n")
+SUMS = ("price_sum", "price_n", "volume", "index_sum", "index_n")
 
 
-def period_state(core: DataFrame, grain: str) -> DataFrame:
-    """State per (period, ticker) from silver core rows
+def period_state(core: DataFrame, grain: str, keys: tuple[str, ...] = ("ticker",)) -> DataFrame:
+    """State per (period, ``keys``) from silver core rows
     ``(datetime, ticker, volume, avg_price, market_index)``."""
-    return core.groupBy(bucket("datetime", check_grain(grain)).alias("period"), "ticker").agg(
+    return core.groupBy(bucket("datetime", check_grain(grain)).alias("period"), *keys).agg(
         F.sum("avg_price").alias("price_sum"),
         F.count("avg_price").alias("price_n"),
         F.sum("volume").alias("volume"),
@@ -40,20 +40,22 @@ def period_state(core: DataFrame, grain: str) -> DataFrame:
 
 def coarsen(state: DataFrame, grain: str) -> DataFrame:
     """Roll a finer state up to ``grain`` by adding its sums and counts."""
-    return state.groupBy(bucket("period", check_grain(grain)).alias("period"), "ticker").agg(
-        *[F.sum(c).alias(c) for c in STATE_COLUMNS[2:]])
+    keys = [c for c in state.columns if c != "period" and c not in SUMS]
+    return state.groupBy(bucket("period", check_grain(grain)).alias("period"), *keys).agg(
+        *[F.sum(c).alias(c) for c in SUMS])
 
 
-def finish(state: DataFrame, companies: DataFrame, grain: str, sort: bool = True,
+def finish(state: DataFrame, companies: DataFrame | None, grain: str, sort: bool = True,
            decimals: int = REPORT_DECIMALS) -> DataFrame:
     """Report ``(<label>, ticker, company_name, avg_price, volume, market_index)``.
 
     The company join runs on the rolled-up rows, which is the same as joining
     every hourly row first (the name only follows the ticker) but joins far
-    fewer rows.  Means are half-up rounded to ``decimals`` and given as
-    double; ``sort`` orders by period start, then ticker.
+    fewer rows.  ``companies=None`` means the state already carries
+    ``company_name`` as a key.  Means are half-up rounded to ``decimals`` and
+    given as double; ``sort`` orders by period start, then ticker.
     """
-    joined = join_company(state, companies)
+    joined = state if companies is None else join_company(state, companies)
     price_scale = decimal_scale(state.schema["price_sum"].dataType)
     index_scale = decimal_scale(state.schema["index_sum"].dataType)
     out = joined.select(
