@@ -1 +1,2 @@
-"""Incremental form of the silver step for trade documents that keep arriving."""
+"""Incremental form of the hourly step for trade documents that keep arriving
+(``streaming.hourly``)."""

@@ -1,0 +1,80 @@
+"""Hourly volume and VWAP over trade documents that keep arriving.
+
+The same bronze -> hourly step as ``operators.hourly`` (explode, sum of
+shares, exact notional, half-up price), run by Structured Streaming:
+
+* a file (or connector) source of documents, read with an explicit schema;
+* an event-time watermark: an hour is final once the newest stamp seen is
+  ``watermark`` past its end, and is then written exactly once (append mode);
+* the running sums live in the state store under the checkpoint folder on
+  shared storage, so a restarted query or a lost executor resumes from the
+  last committed batch.
+
+Each micro-batch is partial-aggregated per (hour, ticker) before the state
+shuffle, so a hot ticker adds one row per task and batch to the state.  The
+output has the columns of ``operators.hourly.hourly_vwap``; the silver core is
+its batch join with the index (:func:`core_from_stream_output`).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tickfold import schemas
+from tickfold.functions.numeric import PRICE_SCALE, PRICE_TYPE, mean_half_up, price_decimal
+from tickfold.functions.time import as_timestamp
+from tickfold.operators.explode import explode_transactions
+from tickfold.operators.index import index_hourly
+from tickfold.operators.joins import join_index
+from tickfold.session import configure, scratch_path
+
+
+def hourly_vwap_stream(trades: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Streaming ``(datetime, ticker, volume, notional, avg_price)``; a row
+    appears once its hour has closed under the watermark."""
+    price_type = trades.schema["price"].dataType
+    scale = price_type.scale if isinstance(price_type, T.DecimalType) else 8
+    # The watermark needs a zoned timestamp; the session zone is UTC.
+    stamp = as_timestamp("timestamp", trades.schema["timestamp"].dataType).cast(T.TimestampType())
+    rows = trades.select(stamp.alias("event_time"), "ticker", "shares",
+                         price_decimal("price", price_type).alias("price"))
+    agg = (rows.withWatermark("event_time", watermark)
+           .groupBy(F.window("event_time", "1 hour").alias("hour"), "ticker")
+           .agg(F.sum("shares").alias("volume"),
+                F.sum(F.col("shares") * F.col("price")).alias("notional")))
+    return agg.select(
+        F.col("hour.start").cast(T.TimestampNTZType()).alias("datetime"),
+        "ticker",
+        F.col("volume").cast(T.LongType()).alias("volume"),
+        "notional",
+        mean_half_up("notional", scale, "volume", PRICE_SCALE).cast(PRICE_TYPE).alias("avg_price"),
+    )
+
+
+def start_hourly_stream(spark: SparkSession, source_path: str, sink_path: str,
+                        checkpoint_path: str | None = None, fmt: str = "json",
+                        watermark: str = "1 hour", available_now: bool = False,
+                        processing_time: str = "1 minute",
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the stream from documents under ``source_path`` into a parquet
+    sink.  ``available_now=True`` processes what is there and stops."""
+    configure(spark)
+    reader = spark.readStream.format(fmt).schema(schemas.DOCUMENT)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    docs = reader.load(source_path)
+    out = hourly_vwap_stream(explode_transactions(docs), watermark)
+    writer = (out.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint_path or scratch_path(spark, "stream-state")))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=processing_time)
+    return writer.start(sink_path)
+
+
+def core_from_stream_output(hourly: DataFrame, market_index: DataFrame) -> DataFrame:
+    """Silver core rows from the stream's closed hours (batch join with the index)."""
+    return join_index(hourly.select("datetime", "ticker", "volume", "avg_price"),
+                      index_hourly(market_index))
