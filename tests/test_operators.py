@@ -188,3 +188,14 @@ def test_rollups_from_day_state_equal_direct_rollups(spark):
 
 def test_stamp_helper(spark):
     assert ts("2024-01-01 00:00:00") == datetime(2024, 1, 1)
+
+
+def test_ticker_with_two_company_rows_gets_both_names_with_full_volume(spark):
+    core = _core(spark, [("2024-10-01 09:05:00", "ACME", 4, 1.0),
+                         ("2024-10-01 10:05:00", "ACME", 6, 3.0)],
+                 [("2024-10-01 09:00:00", 10.0), ("2024-10-01 10:00:00", 20.0)])
+    comp = companies(spark, [("ACME", "Acme"), ("ACME", "Acme Corp")])
+    rows = sorted(gold.rollup(core, comp, "day").collect(), key=lambda r: r.company_name)
+    assert [(r.company_name, r.volume, r.avg_price, r.market_index) for r in rows] == [
+        ("Acme", 10, 2.0, 15.0), ("Acme Corp", 10, 2.0, 15.0)]
+    assert silver.report(core, comp).count() == 4

@@ -51,6 +51,17 @@ def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()
 
 
+def read_jdbc_properties(spark: SparkSession, url: str, table: str,
+                         properties: dict[str, str] | None = None, column: str | None = None,
+                         lower_bound: int | None = None, upper_bound: int | None = None,
+                         num_partitions: int | None = None) -> DataFrame:
+    """The ``spark.read.jdbc(url, table, properties=...)`` form of the same
+    scan (S5), with the optional partitioned-read arguments."""
+    return spark.read.jdbc(url, table, column=column, lowerBound=lower_bound,
+                           upperBound=upper_bound, numPartitions=num_partitions,
+                           properties=properties or {})
+
+
 def read_tables(spark: SparkSession, url: str, user: str | None, password: str | None,
                 company_table: str = "company_info", index_table: str = "market_index",
                 driver: str | None = MYSQL_DRIVER, **partitioning) -> tuple[DataFrame, DataFrame]:
