@@ -199,3 +199,8 @@ def test_ticker_with_two_company_rows_gets_both_names_with_full_volume(spark):
     assert [(r.company_name, r.volume, r.avg_price, r.market_index) for r in rows] == [
         ("Acme", 10, 2.0, 15.0), ("Acme Corp", 10, 2.0, 15.0)]
     assert silver.report(core, comp).count() == 4
+
+
+def test_hour_with_only_null_prices_has_null_price(spark):
+    h = one(hourly_vwap(trades(spark, [("2024-10-01 09:05:00", "ACME", 1, None)])))
+    assert h.volume == 1 and h.avg_price is None

@@ -22,17 +22,18 @@ def half_up(x: Decimal, places: int) -> Decimal:
 
 
 def brute(trades, index):
-    hourly = defaultdict(lambda: [0, Decimal(0)])
+    # SQL sums: the notional of an hour whose prices are all null is null
+    hourly = defaultdict(lambda: [0, None])
     for h, t, n, cents in trades:
         cell = hourly[(h, t)]
         cell[0] += n
         if cents is not None:
-            cell[1] += n * Decimal(cents) / 100
+            cell[1] = (cell[1] or Decimal(0)) + n * Decimal(cents) / 100
     day = defaultdict(lambda: [[], 0, []])
     for (h, t), (vol, notional) in hourly.items():
         if t not in TICKERS or h not in index:
             continue
-        price = half_up(notional / vol, 10) if vol else None
+        price = half_up(notional / vol, 10) if vol and notional is not None else None
         d = (BASE + timedelta(hours=h)).date().isoformat()
         cell = day[(d, t)]
         if price is not None:

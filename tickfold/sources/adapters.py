@@ -110,26 +110,28 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, timestamp, transactions)`` built from orders and lineitem.
 
     Lines are cut into chunks of at most :data:`DOCUMENT_CHUNK` neighbouring
-    rows of one scan split before grouping, so a document never holds more
-    than that many trades, however many lines one order has.  The join is an
-    inner join (AQE may split a hot order on either side); orders without any
-    line are added by an anti join against the *distinct* line keys, which a
-    partial aggregate shrinks before the shuffle.
+    rows of one scan split and grouped per (order, chunk) *before* any join,
+    so no document - and no group building one - grows with a hot order, and
+    the grouping shuffle spreads a hot order's chunks over many tasks.  The
+    chunks then meet their order's date in an inner join, which nothing
+    downstream needs clustered by order, so AQE is free to split a hot order's
+    partition.  Orders without any line are added by an anti join against the
+    *distinct* line keys, which a partial aggregate shrinks before the shuffle.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey"),
-        F.floor(F.monotonically_increasing_id() / DOCUMENT_CHUNK).alias("chunk"),
-        F.struct(*_line_trade_columns("string")).alias("trade"),
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    filled = (
-        li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
-        .groupBy("o_orderkey", "o_orderdate", "chunk")
+    lineitem = table(spark, sf_dir, "lineitem")
+    chunks = (
+        lineitem.select(
+            F.col("l_orderkey"),
+            F.floor(F.monotonically_increasing_id() / DOCUMENT_CHUNK).alias("chunk"),
+            F.struct(*_line_trade_columns("string")).alias("trade"))
+        .groupBy("l_orderkey", "chunk")
         .agg(F.collect_list("trade").alias("transactions"))
-        .select(F.concat_ws("-", "o_orderkey", "chunk").alias("doc_id"),
-                F.col("o_orderdate").alias("timestamp"), "transactions")
     )
-    line_keys = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    filled = chunks.join(orders, chunks["l_orderkey"] == orders["o_orderkey"]).select(
+        F.concat_ws("-", "o_orderkey", "chunk").alias("doc_id"),
+        F.col("o_orderdate").alias("timestamp"), "transactions")
+    line_keys = lineitem.select("l_orderkey").distinct()
     empty_type = filled.schema["transactions"].dataType
     empty = (
         orders.join(line_keys, orders["o_orderkey"] == line_keys["l_orderkey"], "left_anti")
