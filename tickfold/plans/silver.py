@@ -4,7 +4,7 @@ Split in two so the expensive part runs once:
 
 * :func:`core` - trades -> hourly aggregate -> join with the hourly index.
   No company names, no formatting; this is what gold rolls up and what
-  ``pipeline.run`` materialises.
+  ``medallion.run`` materialises.
 * :func:`report` - core -> company join -> label, optional rounding, sort.
 """
 
@@ -12,15 +12,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tickfold import schemas
 from tickfold.functions.numeric import report_value
 from tickfold.functions.time import period_label
 from tickfold.operators.explode import explode_transactions
 from tickfold.operators.hourly import hourly_vwap
 from tickfold.operators.index import index_hourly
 from tickfold.operators.joins import join_company, join_index
+from tickfold.schemas import require
 from tickfold.sources.adapters import Inputs
 
+# Columns the hourly step reads (``action`` is carried but never used).
+TRADE_COLUMNS = T.StructType([f for f in schemas.TRADES.fields if f.name != "action"])
+
 
 def trades_of(inputs: Inputs) -> DataFrame:
     """Flat trades of a run: given directly, or exploded from documents."""
@@ -32,6 +38,7 @@ def trades_of(inputs: Inputs) -> DataFrame:
 def core(trades: DataFrame, market_index: DataFrame) -> DataFrame:
     """``(datetime, ticker, volume, avg_price, market_index)`` per traded hour
     with an index row; ``avg_price`` is decimal(18,10)."""
+    require(trades, TRADE_COLUMNS, "trades")
     hourly = hourly_vwap(trades).select("datetime", "ticker", "volume", "avg_price")
     return join_index(hourly, index_hourly(market_index))
 
@@ -41,6 +48,7 @@ def report(core_rows: DataFrame, companies: DataFrame, round_decimals: int | Non
     """``(datetime, ticker, company_name, avg_price, volume, market_index)``
     with ``datetime`` as ``yyyy-MM-dd HH:mm:ss`` text.  Prices and index are
     doubles: exact values, or half-up rounded to ``round_decimals``."""
+    require(companies, schemas.COMPANIES, "companies")
     joined = join_company(core_rows, companies)
     price = report_value("avg_price", round_decimals)
     index = report_value("market_index", round_decimals)
@@ -63,6 +71,3 @@ def hourly(trades: DataFrame, companies: DataFrame, market_index: DataFrame,
     return report(core(trades, market_index), companies, round_decimals, sort)
 
 
-def with_company(core_rows: DataFrame, companies: DataFrame) -> DataFrame:
-    """Core rows with ``company_name`` (J1 only, no formatting)."""
-    return join_company(core_rows, companies)
