@@ -122,3 +122,12 @@ def test_full_run_writes_all_outputs(spark):
     assert set(out) == {"hour", "day", "month", "quarter"}
     q = read_csv(spark, out["quarter"], report_schema("quarter")).collect()
     assert q and all(" Q" in r.quarter for r in q)
+
+
+def test_full_run_partitioned_equals_direct_rollup(spark):
+    inp = adapters.inputs(spark, "/root/testdata/sf0.001", "events")
+    out = medallion.run(spark, inp, scratch_path(spark, "run-part"), partitioned=True)
+    back = read_csv(spark, out["day"], report_schema("date", partitioned=True)).drop("year", "month")
+    direct = gold.rollup(silver.core(inp.trades, inp.index), inp.companies, "day")
+    assert back.exceptAll(direct).count() == 0 and direct.exceptAll(back).count() == 0
+    assert any(d.startswith("year=") for d in os.listdir(local_path(out["hour"])))

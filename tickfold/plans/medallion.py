@@ -56,7 +56,9 @@ def run(
     def write(grain: str) -> str:
         path = f"{output_path.rstrip('/')}/{OUTPUT_NAMES[grain]}"
         if partitioned:
-            return write_partitioned_csv(reports[grain], path, LABEL_COLUMNS[grain])
+            # reports are sorted by period: already range-partitioned by it
+            return write_partitioned_csv(reports[grain], path, LABEL_COLUMNS[grain],
+                                         cluster=False)
         return write_csv(reports[grain], path, single_file=single_file and grain != "hour")
 
     with ThreadPoolExecutor(max_workers=len(reports)) as pool:

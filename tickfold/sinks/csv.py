@@ -42,12 +42,20 @@ def with_date_parts(report: DataFrame, label_col: str) -> DataFrame:
 
 
 def write_partitioned_csv(report: DataFrame, path: str, label_col: str,
-                          mode: str = "overwrite") -> str:
+                          mode: str = "overwrite", cluster: bool = True) -> str:
     """CSV partitioned by ``year`` (and ``month``) folders, so readers that
-    filter on them list only matching folders.  No shuffle: each task writes
-    its rows into the folders they belong to."""
+    filter on them list only matching folders.
+
+    ``cluster=True`` range-partitions the rows by (year, month, ticker) first,
+    so each task holds one or two months and writes one or two files instead
+    of one per month it happens to see, while a month holding a third of the
+    rows is still cut into many tasks by ticker.  A report already sorted by
+    period (range-partitioned the same way) passes ``cluster=False``.
+    """
     df = with_date_parts(report, label_col)
     parts = ["year"] + (["month"] if "month" in df.columns else [])
+    if cluster:
+        df = df.repartitionByRange(*parts, "ticker")
     df.write.mode(mode).option("header", "true").partitionBy(*parts).csv(path)
     return path
 
