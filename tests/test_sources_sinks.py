@@ -131,3 +131,10 @@ def test_full_run_partitioned_equals_direct_rollup(spark):
     direct = gold.rollup(silver.core(inp.trades, inp.index), inp.companies, "day")
     assert back.exceptAll(direct).count() == 0 and direct.exceptAll(back).count() == 0
     assert any(d.startswith("year=") for d in os.listdir(local_path(out["hour"])))
+
+
+def test_scratch_paths_live_under_the_checkpoint_folder(spark):
+    from tickfold.session import checkpoint_root
+    root = checkpoint_root(spark)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(root) and b.startswith(root) and a != b

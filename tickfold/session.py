@@ -69,11 +69,19 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session.  Only a local-mode session (tests, the bench) without
-    the setting gets a fresh folder of its own; a cluster session without it is
-    an error, because a machine-local folder is not visible to other executors.
+    Read from the session.  Only a local-mode session without the setting gets
+    a fresh folder of its own (tests, the bench); a cluster session without it
+    is an error, because a machine-local folder is not visible to executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir is not set on this session")
+        return root.rstrip("/")
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         if not sc.getCheckpointDir():
@@ -81,11 +89,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder (HDFS, S3, ...)"
-        )
-    root = tempfile.mkdtemp(prefix="tickfold-ckpt-")
-    sc.setCheckpointDir(root)
-    return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else root
+            "spark.checkpoint.dir is not set; point it at a shared folder (HDFS, S3, ...)")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickfold-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
