@@ -96,7 +96,7 @@ def test_csv_single_file_with_header(spark):
     with open(os.path.join(local_path(path), parts[0])) as fh:
         lines = fh.read().splitlines()
     assert lines[0] == "date,ticker,company_name,avg_price,volume,market_index"
-    assert lines[1] == "2024-10-01,A,Acme & Co.,1.0,1,10.0"
+    assert lines[1] == "2024-10-01,A,Acme & Co.,1.0,1,10.00"
     assert read_csv(spark, path, report_schema("date")).count() == 2
 
 
@@ -138,3 +138,24 @@ def test_scratch_paths_live_under_the_checkpoint_folder(spark):
     root = checkpoint_root(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root) and b.startswith(root) and a != b
+
+
+# The header lines of the reference's monthly and quarterly outputs.
+REFERENCE_HEADERS = {
+    "month": "month,ticker,company_name,avg_price,volume,market_index",
+    "quarter": "quarter,ticker,company_name,avg_price,volume,market_index",
+}
+
+
+def test_report_headers_and_labels_match_reference_layout(spark):
+    inp = adapters.inputs(spark, "/root/testdata/sf0.001", "lineitem")
+    core = silver.core(inp.trades, inp.index)
+    for grain, header in REFERENCE_HEADERS.items():
+        path = write_csv(gold.rollup(core, inp.companies, grain), scratch_path(spark, grain))
+        part = sorted(f for f in os.listdir(local_path(path)) if f.startswith("part-"))[0]
+        with open(os.path.join(local_path(path), part)) as fh:
+            first, second = fh.readline().strip(), fh.readline().strip()
+        assert first == header
+        label, *_, index = second.split(",")
+        assert (len(label) == 7 and label[4] == "-") if grain == "month" else " Q" in label
+        assert len(index.split(".")[1]) == 2

@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the index is printed with two decimals (``2277.80``), as a
+# decimal column is; prices print as doubles (``149.7``).
+INDEX_TEXT_TYPE = T.DecimalType(12, 2)
+
 # Output folder name of each report.
 OUTPUT_NAMES = {
     "hour": "hourly_stock_data",
@@ -23,9 +27,17 @@ OUTPUT_NAMES = {
 }
 
 
+def as_text_columns(df: DataFrame) -> DataFrame:
+    """Report columns in their printed types (``market_index`` as decimal)."""
+    if "market_index" not in df.columns:
+        return df
+    return df.withColumn("market_index", F.col("market_index").cast(INDEX_TEXT_TYPE))
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite",
               header: bool = True) -> str:
     """CSV with a header line; an empty frame still writes the header."""
+    df = as_text_columns(df)
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", str(header).lower()).csv(path)
     return path
@@ -52,7 +64,7 @@ def write_partitioned_csv(report: DataFrame, path: str, label_col: str,
     rows is still cut into many tasks by ticker.  A report already sorted by
     period (range-partitioned the same way) passes ``cluster=False``.
     """
-    df = with_date_parts(report, label_col)
+    df = with_date_parts(as_text_columns(report), label_col)
     parts = ["year"] + (["month"] if "month" in df.columns else [])
     if cluster:
         df = df.repartitionByRange(*parts, "ticker")
