@@ -49,6 +49,11 @@ def decimal_scale(dtype: T.DataType) -> int:
     return dtype.scale if isinstance(dtype, T.DecimalType) else 0
 
 
+def price_scale(dtype: T.DataType) -> int:
+    """Decimals of a price column after :func:`price_decimal`."""
+    return dtype.scale if isinstance(dtype, T.DecimalType) else FLOAT_PRICE_TYPE.scale
+
+
 def mean_half_up(total: Column | str, total_scale: int, count: Column | str,
                  decimals: int) -> Column:
     """``round_half_up(total / count, decimals)`` as a decimal; null when

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickfold.functions.numeric import PRICE_SCALE, PRICE_TYPE, mean_half_up, price_decimal
+from tickfold.functions.numeric import (PRICE_SCALE, PRICE_TYPE, mean_half_up,
+                                        price_decimal, price_scale)
 from tickfold.functions.time import as_timestamp, bucket
 
 
@@ -26,7 +27,7 @@ def hourly_vwap(trades: DataFrame, grain: str = "hour") -> DataFrame:
     """
     price_type = trades.schema["price"].dataType
     price = price_decimal("price", price_type)
-    scale = price_type.scale if isinstance(price_type, T.DecimalType) else 8
+    scale = price_scale(price_type)
     stamp = as_timestamp("timestamp", trades.schema["timestamp"].dataType)
     agg = trades.groupBy(bucket(stamp, grain).alias("datetime"), F.col("ticker")).agg(
         F.sum("shares").alias("volume"),

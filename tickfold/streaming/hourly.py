@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickfold import schemas
-from tickfold.functions.numeric import PRICE_SCALE, PRICE_TYPE, mean_half_up, price_decimal
+from tickfold.functions.numeric import (PRICE_SCALE, PRICE_TYPE, mean_half_up,
+                                        price_decimal, price_scale)
 from tickfold.functions.time import as_timestamp
 from tickfold.operators.explode import explode_transactions
 from tickfold.operators.index import index_hourly
@@ -36,7 +37,7 @@ def hourly_vwap_stream(trades: DataFrame, watermark: str = "1 hour") -> DataFram
     """Streaming ``(datetime, ticker, volume, notional, avg_price)``; a row
     appears once its hour has closed under the watermark."""
     price_type = trades.schema["price"].dataType
-    scale = price_type.scale if isinstance(price_type, T.DecimalType) else 8
+    scale = price_scale(price_type)
     # The watermark needs a zoned timestamp; the session zone is UTC.
     stamp = as_timestamp("timestamp", trades.schema["timestamp"].dataType).cast(T.TimestampType())
     rows = trades.select(stamp.alias("event_time"), "ticker", "shares",
