@@ -21,6 +21,11 @@ _TRADES = {
                l_returnflag AS action, CAST(l_quantity AS INTEGER) AS shares,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS price
         FROM lineitem""",
+    "element_stamps": """
+        SELECT l.l_shipdate AS "timestamp", CAST(l.l_suppkey AS VARCHAR) AS ticker,
+               l.l_returnflag AS action, CAST(l.l_quantity AS INTEGER) AS shares,
+               CAST(l.l_extendedprice AS DECIMAL(18,2)) AS price
+        FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
     "documents": """
         SELECT o.o_orderdate AS "timestamp", CAST(l.l_suppkey AS VARCHAR) AS ticker,
                l.l_returnflag AS action, CAST(l.l_quantity AS INTEGER) AS shares,
@@ -129,6 +134,7 @@ def _gold(adapter: str, grain: str) -> str:
 def oracle_sql() -> dict[str, str]:
     sql = {
         "q_explode_documents": _flat_trades("documents"),
+        "q_explode_element_stamps": _flat_trades("element_stamps"),
         "q_documents_json": _flat_trades("documents"),
         "q_documents_parquet": _flat_trades("documents"),
     }

@@ -55,6 +55,14 @@ def q_explode_documents(spark, sf_dir):
     return _flat_trades(explode_transactions(inp.documents))
 
 
+def q_explode_element_stamps(spark, sf_dir):
+    """Each trade takes its own element stamp (ship date), not the
+    document's (order date)."""
+    configure(spark)
+    docs = adapters.order_documents(spark, sf_dir, element_stamps=True)
+    return _flat_trades(explode_transactions(docs, timestamp_from="element"))
+
+
 def _documents_roundtrip(spark, sf_dir, fmt):
     inp = _inputs(spark, sf_dir, "documents")
     path = write_documents(inp.documents.select("timestamp", "transactions"),
@@ -191,6 +199,7 @@ def q_full_run_quarterly(spark, sf_dir):
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "q_explode_documents": q_explode_documents,
+        "q_explode_element_stamps": q_explode_element_stamps,
         "q_documents_json": q_documents_json,
         "q_documents_parquet": q_documents_parquet,
         "q_hourly_vwap_events": _hourly_vwap("events"),

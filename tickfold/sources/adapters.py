@@ -106,7 +106,7 @@ def orders_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- documents ---------------------------------------------------------------
 
-def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = False) -> DataFrame:
     """``(doc_id, timestamp, transactions)`` built from orders and lineitem.
 
     Lines are cut into chunks of at most :data:`DOCUMENT_CHUNK` neighbouring
@@ -117,13 +117,18 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     downstream needs clustered by order, so AQE is free to split a hot order's
     partition.  Orders without any line are added by an anti join against the
     *distinct* line keys, which a partial aggregate shrinks before the shuffle.
+    ``element_stamps=True`` also stores each line's ``l_shipdate`` as the
+    element's own ``timestamp``.
     """
+    fields = _line_trade_columns("string")
+    if element_stamps:
+        fields = [F.col("l_shipdate").alias("timestamp"), *fields]
     lineitem = table(spark, sf_dir, "lineitem")
     chunks = (
         lineitem.select(
             F.col("l_orderkey"),
             F.floor(F.monotonically_increasing_id() / DOCUMENT_CHUNK).alias("chunk"),
-            F.struct(*_line_trade_columns("string")).alias("trade"))
+            F.struct(*fields).alias("trade"))
         .groupBy("l_orderkey", "chunk")
         .agg(F.collect_list("trade").alias("transactions"))
     )
