@@ -33,3 +33,18 @@ def test_stream_matches_batch_on_closed_hours(spark):
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
     core = core_from_stream_output(got, adapters.orders_index(spark, SF))
     assert core.count() > 0
+
+
+def test_restarted_stream_resumes_without_duplicates(spark):
+    docs = adapters.order_documents(spark, SF).select("timestamp", "transactions")
+    src, sink = scratch_path(spark, "resume-src"), scratch_path(spark, "resume-sink")
+    years = sorted(r[0] for r in docs.select(F.year("timestamp")).distinct().collect())
+    write_documents(docs.where(F.year("timestamp") == years[0]).coalesce(1), src, mode="append")
+    start_hourly_stream(spark, src, sink, available_now=True).awaitTermination(300)
+    first = spark.read.parquet(sink).count()
+    for y in years[1:3]:
+        write_documents(docs.where(F.year("timestamp") == y).coalesce(1), src, mode="append")
+    start_hourly_stream(spark, src, sink, available_now=True).awaitTermination(300)
+    out = spark.read.parquet(sink)
+    assert out.count() > first
+    assert out.groupBy("datetime", "ticker").count().where("count > 1").count() == 0

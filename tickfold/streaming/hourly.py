@@ -18,6 +18,8 @@ its batch join with the index (:func:`core_from_stream_output`).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,7 @@ from tickfold.functions.time import as_timestamp
 from tickfold.operators.explode import explode_transactions
 from tickfold.operators.index import index_hourly
 from tickfold.operators.joins import join_index
-from tickfold.session import configure, scratch_path
+from tickfold.session import checkpoint_root, configure
 
 
 def hourly_vwap_stream(trades: DataFrame, watermark: str = "1 hour") -> DataFrame:
@@ -55,13 +57,23 @@ def hourly_vwap_stream(trades: DataFrame, watermark: str = "1 hour") -> DataFram
     )
 
 
+def stream_checkpoint(spark: SparkSession, sink_path: str) -> str:
+    """Stable state folder of the stream writing to ``sink_path``."""
+    key = hashlib.sha1(sink_path.rstrip("/").encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/tickfold/stream-state-{key}"
+
+
 def start_hourly_stream(spark: SparkSession, source_path: str, sink_path: str,
                         checkpoint_path: str | None = None, fmt: str = "json",
                         watermark: str = "1 hour", available_now: bool = False,
                         processing_time: str = "1 minute",
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream from documents under ``source_path`` into a parquet
-    sink.  ``available_now=True`` processes what is there and stops."""
+    sink.  ``available_now=True`` processes what is there and stops.
+
+    The default checkpoint folder is derived from the sink path under the
+    shared checkpoint root, so restarting the same stream resumes it instead
+    of writing every hour again."""
     configure(spark)
     reader = spark.readStream.format(fmt).schema(schemas.DOCUMENT)
     if max_files_per_trigger:
@@ -69,7 +81,7 @@ def start_hourly_stream(spark: SparkSession, source_path: str, sink_path: str,
     docs = reader.load(source_path)
     out = hourly_vwap_stream(explode_transactions(docs), watermark)
     writer = (out.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint_path or scratch_path(spark, "stream-state")))
+              .option("checkpointLocation", checkpoint_path or stream_checkpoint(spark, sink_path)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time)
     return writer.start(sink_path)
