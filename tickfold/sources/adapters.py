@@ -127,7 +127,9 @@ def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = Fal
     chunks = (
         lineitem.select(
             F.col("l_orderkey"),
-            F.floor(F.monotonically_increasing_id() / DOCUMENT_CHUNK).alias("chunk"),
+            # exact integer division: ids pass 2**53 beyond a million input splits
+            F.call_function("div", F.monotonically_increasing_id(), F.lit(DOCUMENT_CHUNK))
+            .alias("chunk"),
             F.struct(*fields).alias("trade"))
         .groupBy("l_orderkey", "chunk")
         .agg(F.collect_list("trade").alias("transactions"))
