@@ -74,7 +74,7 @@ def test_jdbc_options():
     assert opts == {"url": "jdbc:mysql://h:3306/db", "dbtable": "market_index",
                     "driver": "com.mysql.cj.jdbc.Driver", "user": "u", "password": "p",
                     "partitionColumn": "id", "lowerBound": "0", "upperBound": "100",
-                    "numPartitions": "4", "fetchsize": "1000"}
+                    "numPartitions": "4", "fetchsize": "1000", "preferTimestampNTZ": "true"}
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", partition_column="id")
     assert connector_conf("/x.jar", "g:a:1", "mongodb://h/") == {

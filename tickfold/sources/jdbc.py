@@ -25,9 +25,14 @@ def jdbc_options(
     upper_bound: int | str | None = None,
     num_partitions: int | None = None,
     fetch_size: int | None = None,
+    prefer_timestamp_ntz: bool = True,
 ) -> dict[str, str]:
-    """Reader options of one JDBC table."""
+    """Reader options of one JDBC table.  ``prefer_timestamp_ntz`` reads
+    zone-less SQL timestamps (MySQL ``DATETIME``) as ``timestamp_ntz``, so the
+    wall-clock hour does not move with the JVM's zone."""
     opts = {"url": url, "dbtable": table}
+    if prefer_timestamp_ntz:
+        opts["preferTimestampNTZ"] = "true"
     if driver:
         opts["driver"] = driver
     if user is not None:
