@@ -41,3 +41,31 @@ def test_aggregate_hourly_and_save(spark):
     assert p.preview(hourly).count() == 5
     import os
     assert "hourly_stock_data.csv" in os.listdir(local_path(out))
+
+
+def test_ingest_and_run_from_config(spark, monkeypatch):
+    """The config-driven path; only the JDBC read is stubbed (no database here)."""
+    import tickfold.api as api
+    from tickfold.sinks.csv import read_csv, report_schema
+    from tickfold.sources.documents import write_documents
+
+    docs = adapters.order_documents(spark, SF).select("timestamp", "transactions")
+    path = write_documents(docs, scratch_path(spark, "api-docs"))
+    seen = {}
+
+    def fake_tables(spark_, url, user, password, company_table, index_table, driver=None):
+        seen.update(url=url, company_table=company_table, index_table=index_table)
+        return (adapters.supplier_companies(spark, SF, "string"), adapters.orders_index(spark, SF))
+
+    monkeypatch.setattr(api, "read_tables", fake_tables)
+    config = {"mysql_url": "jdbc:mysql://db:3306/market", "mysql_user": "u",
+              "mysql_password": "p", "company_info_table": "company_info",
+              "market_index_table": "market_index", "documents_path": path,
+              "output_path": scratch_path(spark, "api-run")}
+    p = TradeProcessor(spark)
+    companies, index, trades = p.ingest_data(config)
+    assert seen["company_table"] == "company_info" and trades.count() == 6000
+    out = p.run(config)
+    quarterly = read_csv(spark, out["quarter"], report_schema("quarter"))
+    want = gold.rollup(silver.core(trades, index), companies, "quarter")
+    assert quarterly.exceptAll(want).count() == 0 and want.exceptAll(quarterly).count() == 0

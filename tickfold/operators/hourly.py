@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,23 @@ from tickfold.functions.numeric import (PRICE_SCALE, PRICE_TYPE, mean_half_up,
 from tickfold.functions.time import as_timestamp, bucket
 
 
+def trade_sums(trades: DataFrame) -> tuple[list[Column], int]:
+    """The two sums of an hour - shares and exact notional - and the
+    notional's number of decimals."""
+    price_type = trades.schema["price"].dataType
+    sums = [F.sum("shares").alias("volume"),
+            F.sum(F.col("shares") * price_decimal("price", price_type)).alias("notional")]
+    return sums, price_scale(price_type)
+
+
+def vwap_columns(notional_scale: int) -> list[Column]:
+    """``volume`` as bigint, ``notional``, and ``avg_price`` = notional /
+    volume half-up to 10 decimals (null when the volume is 0)."""
+    price = mean_half_up("notional", notional_scale, "volume", PRICE_SCALE).cast(PRICE_TYPE)
+    return [F.col("volume").cast(T.LongType()).alias("volume"), F.col("notional"),
+            price.alias("avg_price")]
+
+
 def hourly_vwap(trades: DataFrame, grain: str = "hour") -> DataFrame:
     """``(datetime, ticker, volume, notional, avg_price)``, one row per traded
     (hour, ticker).
@@ -19,20 +36,13 @@ def hourly_vwap(trades: DataFrame, grain: str = "hour") -> DataFrame:
     * ``notional`` = exact sum of shares * price; a trade without a price
       still adds its shares to ``volume``;
     * ``avg_price`` = notional / volume, half-up to 10 decimals; null when
-      the volume is 0.
+      the volume is 0 or no trade of the hour has a price.
 
     Both sums are partial-aggregated in the scan tasks, so a hot ticker is
     combined before the shuffle and only one row per (task, hour, ticker)
     crosses the network.
     """
-    price_type = trades.schema["price"].dataType
-    price = price_decimal("price", price_type)
-    scale = price_scale(price_type)
+    sums, scale = trade_sums(trades)
     stamp = as_timestamp("timestamp", trades.schema["timestamp"].dataType)
-    agg = trades.groupBy(bucket(stamp, grain).alias("datetime"), F.col("ticker")).agg(
-        F.sum("shares").alias("volume"),
-        F.sum(F.col("shares") * price).alias("notional"),
-    )
-    price = mean_half_up("notional", scale, "volume", PRICE_SCALE).cast(PRICE_TYPE)
-    return agg.select("datetime", "ticker", F.col("volume").cast(T.LongType()).alias("volume"),
-                      "notional", price.alias("avg_price"))
+    agg = trades.groupBy(bucket(stamp, grain).alias("datetime"), F.col("ticker")).agg(*sums)
+    return agg.select("datetime", "ticker", *vwap_columns(scale))

@@ -26,10 +26,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickfold import schemas
-from tickfold.functions.numeric import (PRICE_SCALE, PRICE_TYPE, mean_half_up,
-                                        price_decimal, price_scale)
 from tickfold.functions.time import as_timestamp
 from tickfold.operators.explode import explode_transactions
+from tickfold.operators.hourly import trade_sums, vwap_columns
 from tickfold.operators.index import index_hourly
 from tickfold.operators.joins import join_index
 from tickfold.session import checkpoint_root, configure
@@ -38,23 +37,15 @@ from tickfold.session import checkpoint_root, configure
 def hourly_vwap_stream(trades: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Streaming ``(datetime, ticker, volume, notional, avg_price)``; a row
     appears once its hour has closed under the watermark."""
-    price_type = trades.schema["price"].dataType
-    scale = price_scale(price_type)
+    sums, scale = trade_sums(trades)
     # The watermark needs a zoned timestamp; the session zone is UTC.
     stamp = as_timestamp("timestamp", trades.schema["timestamp"].dataType).cast(T.TimestampType())
-    rows = trades.select(stamp.alias("event_time"), "ticker", "shares",
-                         price_decimal("price", price_type).alias("price"))
-    agg = (rows.withWatermark("event_time", watermark)
+    agg = (trades.withColumn("event_time", stamp)
+           .withWatermark("event_time", watermark)
            .groupBy(F.window("event_time", "1 hour").alias("hour"), "ticker")
-           .agg(F.sum("shares").alias("volume"),
-                F.sum(F.col("shares") * F.col("price")).alias("notional")))
-    return agg.select(
-        F.col("hour.start").cast(T.TimestampNTZType()).alias("datetime"),
-        "ticker",
-        F.col("volume").cast(T.LongType()).alias("volume"),
-        "notional",
-        mean_half_up("notional", scale, "volume", PRICE_SCALE).cast(PRICE_TYPE).alias("avg_price"),
-    )
+           .agg(*sums))
+    return agg.select(F.col("hour.start").cast(T.TimestampNTZType()).alias("datetime"),
+                      "ticker", *vwap_columns(scale))
 
 
 def stream_checkpoint(spark: SparkSession, sink_path: str) -> str:
