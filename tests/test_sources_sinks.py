@@ -13,7 +13,7 @@ from tickfold.session import local_path, scratch_path
 from tickfold.sinks.csv import read_csv, report_schema, write_csv, write_partitioned_csv
 from tickfold.sources import adapters
 from tickfold.sources.documents import read_documents, write_documents
-from tickfold.sources.jdbc import connector_conf, jdbc_options
+from tickfold.sources.jdbc import bounds_query, connector_conf, jdbc_options
 
 DOCS = [
     '{"timestamp": "2024-10-01T09:05:00", "transactions": ['
@@ -77,6 +77,8 @@ def test_jdbc_options():
                     "numPartitions": "4", "fetchsize": "1000", "preferTimestampNTZ": "true"}
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", partition_column="id")
+    assert bounds_query("market_index", "timestamp") == (
+        "(SELECT MIN(timestamp) AS lo, MAX(timestamp) AS hi FROM market_index) bounds")
     assert connector_conf("/x.jar", "g:a:1", "mongodb://h/") == {
         "spark.jars": "/x.jar", "spark.jars.packages": "g:a:1",
         "spark.mongodb.read.connection.uri": "mongodb://h/"}

@@ -56,6 +56,24 @@ def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()
 
 
+def bounds_query(table: str, column: str) -> str:
+    """Sub-query (for ``dbtable``) giving the range of ``column``; the
+    database computes it, one row comes back."""
+    return f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) bounds"
+
+
+def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str,
+                          num_partitions: int, **kwargs) -> DataFrame:
+    """Parallel JDBC scan of ``table`` split on ``column`` (numeric, date or
+    timestamp): its range is fetched first, then ``num_partitions`` range
+    queries run as separate tasks.  An empty table reads as one partition."""
+    lo, hi = read_jdbc(spark, url=url, table=bounds_query(table, column), **kwargs).first()
+    if lo is None:
+        return read_jdbc(spark, url=url, table=table, **kwargs)
+    return read_jdbc(spark, url=url, table=table, partition_column=column, lower_bound=lo,
+                     upper_bound=hi, num_partitions=num_partitions, **kwargs)
+
+
 def read_jdbc_properties(spark: SparkSession, url: str, table: str,
                          properties: dict[str, str] | None = None, column: str | None = None,
                          lower_bound: int | None = None, upper_bound: int | None = None,
