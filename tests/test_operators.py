@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import companies, index, trades, ts
 from tickfold.operators.hourly import hourly_vwap
-from tickfold.operators.index import duplicate_hours, index_hourly
+from tickfold.operators.index import duplicate_hours, index_hourly, unparsed_stamps
 from tickfold.plans import gold, silver
 
 ACME = [("ACME", "Acme & Co.")]
@@ -100,6 +100,7 @@ def test_text_stamps_parse_and_bad_ones_never_join(spark):
     rows = index_hourly(raw).orderBy("market_index").collect()
     assert rows[0].datetime == datetime(2024, 10, 1, 9)
     assert rows[1].datetime is None
+    assert tuple(unparsed_stamps(raw).first()) == (2, 1)
 
 
 def test_gold_price_is_mean_of_hours_not_weighted(spark):

@@ -32,3 +32,13 @@ def duplicate_hours(market_index: DataFrame, ts_col: str = "timestamp",
     whose trades the index join repeats."""
     h = index_hourly(market_index, ts_col, value_col)
     return h.groupBy("datetime").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+
+
+def unparsed_stamps(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
+    """One row ``(rows, unparsed)``: how many rows carry a stamp that is
+    present but does not parse (and so never joins).  One aggregate job; only
+    the two counts reach the caller."""
+    raw = F.col(ts_col)
+    parsed = as_timestamp(ts_col, df.schema[ts_col].dataType)
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.count(F.when(raw.isNotNull() & parsed.isNull(), 1)).alias("unparsed"))
