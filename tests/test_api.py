@@ -69,3 +69,15 @@ def test_ingest_and_run_from_config(spark, monkeypatch):
     quarterly = read_csv(spark, out["quarter"], report_schema("quarter"))
     want = gold.rollup(silver.core(trades, index), companies, "quarter")
     assert quarterly.exceptAll(want).count() == 0 and want.exceptAll(quarterly).count() == 0
+
+
+def test_config_substitution(tmp_path):
+    from tickfold.__main__ import load_config, substitute
+    env = {"HOST": "db", "PORT": "3306"}
+    assert substitute("jdbc:mysql://${HOST}:${PORT}/m", env) == "jdbc:mysql://db:3306/m"
+    assert substitute("${MISSING}", env) == "${MISSING}"
+    assert substitute(5, env) == 5
+    cfg = tmp_path / "config.yaml"
+    cfg.write_text("mysql_url: jdbc:mysql://${HOST}/m\noutput_path: ${OUT}\n")
+    assert load_config(str(cfg), env) == {"mysql_url": "jdbc:mysql://db/m",
+                                          "output_path": "${OUT}"}
