@@ -44,3 +44,42 @@ def test_hot_hour_is_split_in_the_index_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_order_documents_stay_bounded_and_join_is_split(spark):
+    from tickfold.session import scratch_path
+    from tickfold.sources import adapters
+
+    root = scratch_path(spark, "hot-order")
+    n = 30000
+    # a third of all lines belong to order 0
+    spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1)
+         .cast("bigint").alias("l_orderkey"),
+        (F.col("id") % 50).alias("l_suppkey"),
+        F.lit(2.0).alias("l_quantity"),
+        F.lit(10.5).alias("l_extendedprice"),
+        F.lit("N").alias("l_returnflag"),
+        F.lit(datetime(2024, 1, 2)).cast("timestamp_ntz").alias("l_shipdate"),
+    ).repartition(8).write.parquet(f"{root}/lineitem.parquet")
+    spark.range(2001).select(
+        F.col("id").alias("o_orderkey"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("o_orderdate"),
+    ).write.parquet(f"{root}/orders.parquet")
+    saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        docs = adapters.order_documents(spark, root)
+        sizes = docs.select(F.size("transactions").alias("n"))
+        assert sizes.agg(F.max("n")).first()[0] <= adapters.DOCUMENT_CHUNK
+        assert sizes.agg(F.sum("n")).first()[0] == n
+        docs.collect()
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
