@@ -53,6 +53,7 @@ def run(
         state = materialise(spark, period_state(core, finest), f"state-{finest}")
         for grain in grains:
             reports[grain] = gold.rollup_from_state(state, finest, inputs.companies, grain)
+
     def write(grain: str) -> str:
         path = f"{output_path.rstrip('/')}/{OUTPUT_NAMES[grain]}"
         if partitioned:
