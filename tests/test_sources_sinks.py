@@ -161,3 +161,9 @@ def test_report_headers_and_labels_match_reference_layout(spark):
         label, *_, index = second.split(",")
         assert (len(label) == 7 and label[4] == "-") if grain == "month" else " Q" in label
         assert len(index.split(".")[1]) == 2
+
+
+def test_run_work_folder_is_stable_per_output(spark):
+    a = medallion.work_folder(spark, "s3://bucket/out/")
+    assert a == medallion.work_folder(spark, "s3://bucket/out")
+    assert a != medallion.work_folder(spark, "s3://bucket/other")

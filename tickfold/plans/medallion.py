@@ -3,8 +3,9 @@
 Compared with recomputing every output from the sources, the run
 
 * computes the silver core once and writes it as parquet under the shared
-  checkpoint folder; every later output reads that table, so a lost executor
-  costs a re-read, not a replay from the sources;
+  checkpoint folder (one work folder per output path, overwritten by a rerun);
+  every later output reads that table, so a lost executor costs a re-read, not
+  a replay from the sources;
 * rolls the finest gold grain once into an additive state (also written),
   and derives the coarser grains from that state;
 * writes every report in parallel, and submits the report writes together
@@ -14,6 +15,7 @@ Compared with recomputing every output from the sources, the run
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,19 +23,27 @@ from pyspark.sql import DataFrame, SparkSession
 from tickfold.functions.time import GRAINS, LABEL_COLUMNS
 from tickfold.operators.rollup import period_state
 from tickfold.plans import gold, silver
-from tickfold.session import configure, scratch_path
+from tickfold.session import checkpoint_root, configure
 from tickfold.sinks.csv import OUTPUT_NAMES, write_csv, write_partitioned_csv
 from tickfold.sources.adapters import Inputs
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back: the lineage stops here and the data survives executor loss."""
-    path = scratch_path(spark, name)
+def materialise(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet to ``path`` (under the shared checkpoint folder)
+    and read it back: the lineage stops here and the data survives executor
+    loss."""
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def work_folder(spark: SparkSession, output_path: str) -> str:
+    """Intermediate tables of the run writing to ``output_path``: one stable
+    folder per output, so a rerun overwrites its intermediates instead of
+    leaving another copy in the checkpoint folder."""
+    key = hashlib.sha1(output_path.rstrip("/").encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/tickfold/run-{key}"
+
+
 def run(
     spark: SparkSession,
     inputs: Inputs,
@@ -46,11 +56,13 @@ def run(
     """Run the pipeline and return ``{grain: output folder}`` (``"hour"`` is
     the silver report)."""
     configure(spark)
-    core = materialise(spark, silver.core(silver.trades_of(inputs), inputs.index), "silver-core")
+    work = work_folder(spark, output_path)
+    core = materialise(spark, silver.core(silver.trades_of(inputs), inputs.index),
+                       f"{work}/silver-core")
     reports = {"hour": silver.report(core, inputs.companies, round_decimals=hourly_round)}
     if grains:
         finest = min(grains, key=GRAINS.index)
-        state = materialise(spark, period_state(core, finest), f"state-{finest}")
+        state = materialise(spark, period_state(core, finest), f"{work}/state-{finest}")
         for grain in grains:
             reports[grain] = gold.rollup_from_state(state, finest, inputs.companies, grain)
 
