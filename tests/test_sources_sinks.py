@@ -164,6 +164,6 @@ def test_report_headers_and_labels_match_reference_layout(spark):
 
 
 def test_run_work_folder_is_stable_per_output(spark):
-    a = medallion.work_folder(spark, "s3://bucket/out/")
-    assert a == medallion.work_folder(spark, "s3://bucket/out")
-    assert a != medallion.work_folder(spark, "s3://bucket/other")
+    a = medallion.work_folder(spark, "/shared/reports/out/")
+    assert a == medallion.work_folder(spark, "/shared/reports/out")
+    assert a != medallion.work_folder(spark, "/shared/reports/other")
