@@ -97,12 +97,12 @@ def _flat_trades(adapter: str) -> str:
     FROM ({_TRADES[adapter]})"""
 
 
-def _silver(adapter: str, rounded: bool, tail: str = "") -> str:
+def _silver(adapter: str, rounded: bool) -> str:
     px = _PX_2 if rounded else _PX
     return _ctes(adapter) + f"""
     SELECT {_LABELS['hour'].format(c='datetime')} AS datetime, ticker, company_name,
            {px} AS avg_price, volume, CAST(market_index AS DOUBLE) AS market_index
-    FROM core JOIN companies USING (ticker) {tail}"""
+    FROM core JOIN companies USING (ticker)"""
 
 
 def _gold_select(adapter: str, grain: str) -> str:
