@@ -21,7 +21,16 @@ def half_up(x: Decimal, places: int) -> Decimal:
     return x.quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
 
 
-def brute(trades, index):
+def label(hour: int, grain: str) -> str:
+    t = BASE + timedelta(hours=hour)
+    if grain == "day":
+        return t.date().isoformat()
+    if grain == "month":
+        return f"{t.year:04d}-{t.month:02d}"
+    return f"{t.year} Q{(t.month - 1) // 3 + 1}"
+
+
+def brute(trades, index, grain="day"):
     # SQL sums: the notional of an hour whose prices are all null is null
     hourly = defaultdict(lambda: [0, None])
     for h, t, n, cents in trades:
@@ -34,7 +43,7 @@ def brute(trades, index):
         if t not in TICKERS or h not in index:
             continue
         price = half_up(notional / vol, 10) if vol and notional is not None else None
-        d = (BASE + timedelta(hours=h)).date().isoformat()
+        d = label(h, grain)
         cell = day[(d, t)]
         if price is not None:
             cell[0].append(price)
@@ -53,7 +62,7 @@ def brute(trades, index):
 @given(st.lists(trade, min_size=1, max_size=40),
        st.sets(st.integers(0, 80), min_size=1, max_size=60),
        st.integers(0, 10**6))
-def test_daily_rollup_matches_brute_force(spark, trades, index_hours, seed):
+def test_rollups_match_brute_force(spark, trades, index_hours, seed):
     index = {h: Decimal(((seed + 37 * h) % 900000) + 1000) / 100 for h in index_hours}
     tdf = spark.createDataFrame(
         [(BASE + timedelta(hours=h, minutes=7), t, "BUY", n,
@@ -61,6 +70,8 @@ def test_daily_rollup_matches_brute_force(spark, trades, index_hours, seed):
     idf = spark.createDataFrame([(BASE + timedelta(hours=h), v) for h, v in index.items()],
                                 schemas.MARKET_INDEX)
     comp = spark.createDataFrame([(t, t.lower()) for t in TICKERS], schemas.COMPANIES)
-    got = {(r.date, r.ticker, r.avg_price, r.volume, r.market_index)
-           for r in gold.rollup(silver.core(tdf, idf), comp, "day").collect()}
-    assert got == brute(trades, index)
+    reports = gold.rollups(silver.core(tdf, idf), comp)
+    for grain, report in reports.items():
+        got = {(r[0], r.ticker, r.avg_price, r.volume, r.market_index)
+               for r in report.collect()}
+        assert got == brute(trades, index, grain), grain
