@@ -56,9 +56,11 @@ def test_hot_order_documents_stay_bounded_and_join_is_split(spark):
     spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1)
          .cast("bigint").alias("l_orderkey"),
-        (F.col("id") % 50).alias("l_suppkey"),
-        F.lit(2.0).alias("l_quantity"),
-        F.lit(10.5).alias("l_extendedprice"),
+        # varied values, so shuffle bytes follow row counts (identical rows
+        # compress to nearly nothing)
+        (F.col("id") * 7919 % 100003).alias("l_suppkey"),
+        (F.col("id") % 50 + 1).cast("double").alias("l_quantity"),
+        ((F.col("id") * 104729 % 10000000) / 100).alias("l_extendedprice"),
         F.lit("N").alias("l_returnflag"),
         F.lit(datetime(2024, 1, 2)).cast("timestamp_ntz").alias("l_shipdate"),
     ).repartition(8).write.parquet(f"{root}/lineitem.parquet")

@@ -109,8 +109,9 @@ def orders_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = False) -> DataFrame:
     """``(doc_id, timestamp, transactions)`` built from orders and lineitem.
 
-    Lines are cut into chunks of at most :data:`DOCUMENT_CHUNK` neighbouring
-    rows of one scan split and grouped per (order, chunk) *before* any join,
+    The lines of each scan split are sorted by order (locally, no shuffle) and
+    cut into chunks of at most :data:`DOCUMENT_CHUNK` neighbouring rows; lines
+    are grouped per (order, chunk) *before* any join,
     so no document - and no group building one - grows with a hot order, and
     the grouping shuffle spreads a hot order's chunks over many tasks.  The
     chunks then meet their order's date in an inner join, which nothing
@@ -125,12 +126,14 @@ def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = Fal
         fields = [F.col("l_shipdate").alias("timestamp"), *fields]
     lineitem = table(spark, sf_dir, "lineitem")
     chunks = (
-        lineitem.select(
-            F.col("l_orderkey"),
-            # exact integer division: ids pass 2**53 beyond a million input splits
-            F.call_function("div", F.monotonically_increasing_id(), F.lit(DOCUMENT_CHUNK))
-            .alias("chunk"),
-            F.struct(*fields).alias("trade"))
+        lineitem.select("l_orderkey", F.struct(*fields).alias("trade"))
+        # Order the lines of each scan split by order (a local sort, no
+        # shuffle), so an order's lines are neighbours when they are numbered.
+        .sortWithinPartitions("l_orderkey")
+        .select("l_orderkey", "trade",
+                # exact integer division: ids pass 2**53 beyond a million splits
+                F.call_function("div", F.monotonically_increasing_id(),
+                                F.lit(DOCUMENT_CHUNK)).alias("chunk"))
         .groupBy("l_orderkey", "chunk")
         .agg(F.collect_list("trade").alias("transactions"))
     )
