@@ -46,8 +46,12 @@ _INDEX = {
         SELECT o_orderdate AS "timestamp", CAST(max(o_totalprice) AS DECIMAL(10,2)) AS index_value
         FROM orders GROUP BY 1""",
     "fanout": """
-        SELECT ts AS "timestamp", CAST(value AS DECIMAL(10,2)) AS index_value
-        FROM events WHERE event_type = 'error'""",
+        SELECT date_trunc('hour', ts) AS "timestamp", CAST(max(value) AS DECIMAL(10,2)) AS index_value
+        FROM events WHERE event_type = 'error' GROUP BY 1
+        UNION ALL
+        SELECT date_trunc('hour', ts) + INTERVAL 30 MINUTE AS "timestamp",
+               CAST(min(value) AS DECIMAL(10,2)) AS index_value
+        FROM events WHERE event_type = 'error' GROUP BY date_trunc('hour', ts)""",
 }
 _INDEX["documents"] = _INDEX["lineitem"]
 

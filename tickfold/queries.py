@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tickfold import schemas
 from tickfold.functions.numeric import INDEX_TYPE
-from tickfold.functions.time import LABEL_COLUMNS
+from tickfold.functions.time import LABEL_COLUMNS, bucket
 from tickfold.operators.explode import explode_transactions
 from tickfold.operators.hourly import hourly_vwap
 from tickfold.operators.index import duplicate_hours, index_hourly
@@ -119,12 +119,21 @@ def q_join_index_events(spark, sf_dir):
 
 
 def q_join_index_fanout_events(spark, sf_dir):
-    """J2 with an index that has several rows per hour (every error event):
-    each trade hour is repeated once per index row of its hour."""
+    """J2 with two index rows in every hour - the hour's highest error value
+    stamped at the hour, its lowest at half past: each traded hour is
+    repeated once per index row of its hour, so twice (bounded duplication,
+    not all pairs of a group)."""
     inp = _inputs(spark, sf_dir, "events")
-    raw = adapters.table(spark, sf_dir, "events").where(F.col("event_type") == "error").select(
-        F.col("ts").alias("timestamp"), F.col("value").cast(INDEX_TYPE).alias("index_value"))
-    core = silver.core(inp.trades, raw)
+    errors = adapters.table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    per_hour = errors.groupBy(bucket("ts", "hour").alias("hour")).agg(
+        F.max("value").alias("hi"), F.min("value").alias("lo"))
+    two_rows = per_hour.select(F.explode(F.array(
+        F.struct(F.col("hour").alias("timestamp"), F.col("hi").alias("value")),
+        F.struct((F.col("hour") + F.expr("INTERVAL 30 MINUTES")).alias("timestamp"),
+                 F.col("lo").alias("value")))).alias("r"))
+    index = two_rows.select(F.col("r.timestamp").alias("timestamp"),
+                            F.col("r.value").cast(INDEX_TYPE).alias("index_value"))
+    core = silver.core(inp.trades, index)
     return core.select("datetime", _text("ticker"), "volume",
                        F.col("avg_price").cast(T.DoubleType()).alias("avg_price"),
                        F.col("market_index").cast(T.DoubleType()).alias("market_index"))
