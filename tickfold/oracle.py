@@ -175,5 +175,6 @@ def oracle_sql() -> dict[str, str]:
         SELECT *, CAST(substr(date, 1, 4) AS INTEGER) AS year,
                CAST(substr(date, 6, 2) AS INTEGER) AS month
         FROM ({_gold('events', 'day')}) g"""
+    sql["q_facade_quarterly_lineitem"] = _gold("lineitem", "quarter")
     sql["q_full_run_quarterly"] = _gold("lineitem", "quarter")
     return sql

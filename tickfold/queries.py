@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickfold import schemas
+from tickfold.api import TradeProcessor
 from tickfold.functions.numeric import INDEX_TYPE
 from tickfold.functions.time import LABEL_COLUMNS, bucket
 from tickfold.operators.explode import explode_transactions
@@ -197,6 +198,15 @@ def q_csv_partitioned_daily(spark, sf_dir):
     return read_csv(spark, path, report_schema("date", partitioned=True))
 
 
+def q_facade_quarterly_lineitem(spark, sf_dir):
+    """M1, M4, M7 through the reference-shaped API: unrounded hourly report,
+    then the quarterly rollup of that report."""
+    inp = _inputs(spark, sf_dir, "lineitem")
+    p = TradeProcessor(spark)
+    hourly = p.process_hourly_data(inp.trades, inp.companies, inp.index)
+    return p.process_quarterly_data(hourly)
+
+
 def q_full_run_quarterly(spark, sf_dir):
     """The whole run (silver once, gold from its state, CSV outputs);
     returns the quarterly output as read back from its folder."""
@@ -232,6 +242,7 @@ def queries() -> dict[str, Query]:
         "q_preview_monthly_lineitem": q_preview_monthly_lineitem,
         "q_csv_roundtrip_quarterly": q_csv_roundtrip_quarterly,
         "q_csv_partitioned_daily": q_csv_partitioned_daily,
+        "q_facade_quarterly_lineitem": q_facade_quarterly_lineitem,
         "q_full_run_quarterly": q_full_run_quarterly,
     })
     return out
