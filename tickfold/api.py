@@ -11,6 +11,8 @@ A caller that today does::
 keeps doing so.  Differences, on purpose:
 
 * nothing is printed; ``preview`` returns the first rows as a DataFrame;
+* every step saves only when given an ``output_path`` (the reference's gold
+  steps always save; its own run always passes a path, so runs are alike);
 * ``save_to_csv`` writes a folder named ``filename`` through Spark's committer
   (works on shared storage, no driver-side file moves);
 * gold steps accept the hourly report (text ``datetime``) and read it back to
