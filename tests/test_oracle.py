@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tickfold import oracle as _oracle
+from tickfold import queries as _queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -29,11 +31,15 @@ def _rows(records, columns):
     return sorted(tuple(repr(r[i]) for i in order) for r in records)
 
 
+OWN = sorted(_queries.queries())
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) == set(_oracle.oracle_sql())
+    assert set(OWN) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
