@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickfold.llm import packing, quality_rules
 from tickfold.llm.common import table
 from tickfold.llm.exact_dedup import DigestIndex
 
@@ -13,5 +14,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_rules.score(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op5_exact_dedup,)}
+    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing)}
