@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 #: The word separator of every contract: blank, tab, LF, VT, FF, CR.
 BLANKS = "[\\x20\\x09-\\x0D]+"
+#: A class with more than one in HOT_SHARE of all rows is looked up in a
+#: broadcast table, which by arithmetic has fewer than HOT_SHARE rows.
+HOT_SHARE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,3 +63,24 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``lookup``, which has one row per class ``key``.
+
+    ``classes`` and ``lookup`` have the rows of a class as ``group_size``.
+    Large classes are looked up by broadcast, so their rows never meet in one
+    task; the others go through a sort-merge join.
+    """
+    total = classes.agg(F.coalesce(F.sum("group_size"), F.lit(0))).head()[0]
+    values = [c for c in lookup.columns if c != key]
+    packed = lookup.select(F.col(key).cast("string").alias("at"), F.struct(*values).alias("found"))
+    hot = packed.filter(F.col("found.group_size") * HOT_SHARE > total)
+    hot = hot.select(F.col("at").alias("hot_at"), F.col("found").alias("hot"))
+    marked = rows.join(F.broadcast(hot), F.col(key).cast("string") == F.col("hot_at"), "left")
+    # A hot row has its answer: give it a key that no class has, each another.
+    marked = marked.withColumn("at", F.when(F.col("hot").isNull(), F.col(key).cast("string"))
+                               .otherwise(F.concat(F.lit("~"), F.xxhash64(*rows.columns))))
+    joined = marked.hint("merge").join(packed, "at", "left")
+    return joined.select(*rows.columns, *[
+        F.coalesce(F.col(f"hot.{c}"), F.col(f"found.{c}")).alias(c) for c in values])

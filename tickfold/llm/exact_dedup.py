@@ -14,11 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickfold.llm.common import BLANKS, new_path, stored, text_or_empty, unused
-
-#: A digest with more than this share of all rows is joined by broadcast: at
-#: most HOT_SHARE such digests can exist, whatever the input.
-HOT_SHARE = 1000
+from tickfold.llm.common import BLANKS, join_classes, new_path, stored, text_or_empty, unused
 
 
 def text_digest(text: str = "text"):
@@ -75,32 +71,11 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
         lookup = laid_out.hint("merge").join(self.rows(), "digest").select(
             "digest", "group_size", "id_rows", "keep_id", (F.col("batch") == batch).alias("new"))
-        return join_on_digest(digests, groups, lookup).select(
+        return join_classes(digests, groups, lookup, "digest").select(
             "doc_id", F.col("digest").alias("text_sha256"), "keep_id", "group_size", "id_rows",
             (F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"))
 
 
-def join_on_digest(rows: DataFrame, groups: DataFrame, lookup: DataFrame) -> DataFrame:
-    """``rows`` with the columns of ``lookup``, which has one row per digest.
-
-    Digests above 1/HOT_SHARE of the rows are looked up in a broadcast table,
-    which has at most HOT_SHARE rows by arithmetic; their rows never meet in
-    one task.  The others go through a sort-merge join.
-    """
-    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).head()[0]
-    values = [c for c in lookup.columns if c != "digest"]
-    packed = lookup.select(F.col("digest").alias("key"), F.struct(*values).alias("found"))
-    hot = packed.filter(F.col("found.group_size") * HOT_SHARE > total)
-    hot = hot.select(F.col("key").alias("digest"), F.col("found").alias("hot"))
-    marked = rows.join(F.broadcast(hot), "digest", "left")
-    # A hot row has its answer: give it a key that no digest equals, all different.
-    marked = marked.withColumn("key", F.when(F.col("hot").isNull(), F.col("digest"))
-                               .otherwise(F.xxhash64(*rows.columns).cast("string")))
-    joined = marked.hint("merge").join(packed, "key", "left")
-    return joined.select(*rows.columns, *[
-        F.coalesce(F.col(f"hot.{c}"), F.col(f"found.{c}")).alias(c) for c in values])
-
-
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The documents whose text is new, one row of each text, with their columns.
 

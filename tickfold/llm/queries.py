@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickfold.llm import packing, quality_rules
+from tickfold.llm import packing, quality_rules, simhash
 from tickfold.llm.common import table
 from tickfold.llm.exact_dedup import DigestIndex
 
@@ -24,5 +25,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.label(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def queries():
-    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing)}
+    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash)}
