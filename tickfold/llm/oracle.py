@@ -9,6 +9,25 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+OP8 = """
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM t WHERE len(w) >= 13),
+keyed AS (SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS k FROM win),
+least AS (SELECT k, min(doc_id) AS low FROM keyed GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i
+  FROM keyed JOIN least USING (k) WHERE low < doc_id),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM t),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql():
-    return {"op5_exact_dedup": OP5}
+    return {"op5_exact_dedup": OP5, "op8_substring_dedup": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import packing, quality_rules, simhash
+from tickfold.llm import packing, quality_rules, simhash, substring_dedup
 from tickfold.llm.common import table
 from tickfold.llm.exact_dedup import DigestIndex
 
@@ -30,5 +30,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash)}
+    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash, op8_substring_dedup)}
