@@ -28,6 +28,16 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM t LEFT JOIN kept USING (doc_id)
 """
 
+OP1 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS low FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > low THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > low THEN low END AS refers_to
+FROM f
+"""
+
 
 def oracle_sql():
-    return {"op5_exact_dedup": OP5, "op8_substring_dedup": OP8}
+    return {"op1_warc": OP1, "op5_exact_dedup": OP5, "op8_substring_dedup": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import packing, quality_rules, simhash, substring_dedup
+from tickfold.llm import packing, quality_rules, simhash, substring_dedup, warc
 from tickfold.llm.common import table
 from tickfold.llm.exact_dedup import DigestIndex
 
@@ -34,5 +34,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return warc.with_payloads(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries():
-    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash, op8_substring_dedup)}
+    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash, op8_substring_dedup, op1_warc)}
