@@ -1,5 +1,9 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from __future__ import annotations
+
+from tickfold.llm.licenses import KNOWN, SPELLINGS
+
 OP5 = """
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
@@ -39,5 +43,34 @@ FROM f
 """
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    out = (f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    out = (f"regexp_replace({out}, '(?m)^[^a-z0-9\\n©]*(copyright|\\(c\\)|©|all rights reserved)"
+           "([^a-z0-9\\n][^\\n]*)?$', ' ', 'g')")
+    out = f"regexp_replace(replace({out}, '&', ' and '), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+    for old, new in SPELLINGS:
+        out = f"regexp_replace({out}, '\\b{old}\\b', '{new}', 'g')"
+    return f"sha256(trim({out}))"
+
+
+OP3 = f"""
+WITH known AS (
+  SELECT min(license) AS license, {_canonical('text')} AS digest
+  FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN)}) AS t(license, text) GROUP BY 2),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+hit AS (
+  SELECT DISTINCT doc_id, license FROM line JOIN known ON {_canonical('line')} = digest WHERE line <> ''),
+notice AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS notices FROM hit GROUP BY doc_id),
+whole AS (SELECT doc_id, {_canonical('text')} AS text_digest FROM d)
+SELECT doc_id, text_digest, license, notices
+FROM whole LEFT JOIN known ON text_digest = digest LEFT JOIN notice USING (doc_id)
+"""
+
+
 def oracle_sql():
-    return {"op1_warc": OP1, "op5_exact_dedup": OP5, "op8_substring_dedup": OP8}
+    return {"op1_warc": OP1, "op3_licenses": OP3, "op5_exact_dedup": OP5, "op8_substring_dedup": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import html_text, lm_score, packing, quality_rules, simhash, substring_dedup, warc
+from tickfold.llm import html_text, licenses, lm_score, mixing, packing, quality_rules, simhash, substring_dedup, warc
 from tickfold.llm.common import table
 from tickfold.llm.exact_dedup import DigestIndex
 
@@ -48,5 +48,14 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash, op8_substring_dedup, op1_warc, op4_html_text, op6_lm_score)}
+    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash, op8_substring_dedup, op1_warc, op4_html_text, op6_lm_score, op2_mixing,
+                                    op3_licenses)}
