@@ -20,14 +20,51 @@ def test_facade_chain_matches_plans(spark):
         assert method(hourly).collect() == gold.rollup(core, inp.companies, grain).collect()
 
 
-def test_report_reads_back_exactly(spark):
+def test_report_reads_back(spark):
     inp = adapters.inputs(spark, SF, "events")
     core = silver.core(inp.trades, inp.index)
     report = silver.report(core, inp.companies)
     back = core_from_report(report).drop("company_name")
-    want = core.select(F.col("ticker").cast("string").alias("ticker"), "datetime", "volume",
-                       "avg_price", "market_index")
-    assert back.select(*want.columns).subtract(want).count() == 0
+    price = F.round(F.col("avg_price").cast("double"), 7).alias("avg_price")
+    index = F.col("market_index").cast("double").alias("market_index")
+    want = core.select(F.col("ticker").cast("string").alias("ticker"), "datetime", "volume", price, index)
+    back = back.select("ticker", "datetime", "volume", price, index)
+    assert back.count() > 0 and back.subtract(want).count() == 0
+
+
+def test_gold_from_the_report_and_from_csv_agree_with_plans(spark):
+    """Wide double index, repeated company rows, a report read back from CSV."""
+    from tickfold.sinks.csv import read_csv, report_schema, write_csv
+
+    inp = adapters.inputs(spark, SF, "events")
+    index = inp.index.withColumn("index_value", F.col("index_value").cast("double") / 7)
+    twice = inp.companies.union(inp.companies)
+    p = TradeProcessor(spark)
+    hourly = p.process_hourly_data(inp.trades, twice, index)
+    want = gold.rollup(silver.core(inp.trades, index), twice, "day").collect()
+    assert p.process_daily_data(hourly).collect() == want
+    back = read_csv(spark, write_csv(hourly, scratch_path(spark, "hourly")), report_schema("datetime"))
+    got = p.process_daily_data(back).collect()
+    assert [(r.date, r.ticker, r.volume) for r in got] == [(r.date, r.ticker, r.volume) for r in want]
+    assert max(abs(a.market_index - b.market_index) for a, b in zip(got, want, strict=True)) < 0.011
+    assert max(abs(a.avg_price - b.avg_price) for a, b in zip(got, want, strict=True)) < 0.011
+
+
+def test_callers_session_keeps_its_settings_and_results_dont_depend_on_them(spark):
+    inp = adapters.inputs(spark, SF, "events")
+    want = gold.rollup(silver.core(inp.trades, inp.index), inp.companies, "day").collect()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        p = TradeProcessor(spark)
+        hourly = p.process_hourly_data(inp.trades, inp.companies, inp.index)
+        assert p.process_daily_data(hourly).collect() == want
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+        assert spark.conf.get("spark.sql.ansi.enabled") == "false"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_aggregate_hourly_and_save(spark):
@@ -53,18 +90,21 @@ def test_ingest_and_run_from_config(spark, monkeypatch):
     path = write_documents(docs, scratch_path(spark, "api-docs"))
     seen = {}
 
-    def fake_tables(spark_, url, user, password, company_table, index_table, driver=None):
-        seen.update(url=url, company_table=company_table, index_table=index_table)
+    def fake_tables(spark_, url, user, password, company_table, index_table, driver=None, **split):
+        seen.update(url=url, company_table=company_table, index_table=index_table, **split)
         return (adapters.supplier_companies(spark, SF, "string"), adapters.orders_index(spark, SF))
 
     monkeypatch.setattr(api, "read_tables", fake_tables)
     config = {"mysql_url": "jdbc:mysql://db:3306/market", "mysql_user": "u",
               "mysql_password": "p", "company_info_table": "company_info",
               "market_index_table": "market_index", "documents_path": path,
+              "index_partition_column": "timestamp", "index_partition_lower": "2024-01-01 00:00:00",
+              "index_partition_upper": "2025-01-01 00:00:00", "index_partition_count": "4",
               "output_path": scratch_path(spark, "api-run")}
     p = TradeProcessor(spark)
     companies, index, trades = p.ingest_data(config)
     assert seen["company_table"] == "company_info" and trades.count() == 6000
+    assert (seen["partition_column"], seen["num_partitions"]) == ("timestamp", 4)
     out = p.run(config)
     quarterly = read_csv(spark, out["quarter"], report_schema("quarter"))
     want = gold.rollup(silver.core(trades, index), companies, "quarter")

@@ -56,6 +56,7 @@ def test_hot_order_documents_stay_bounded_and_join_is_split(spark):
     spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1)
          .cast("bigint").alias("l_orderkey"),
+        F.expr("CAST(1 + IF(id % 3 = 0, id div 3, id div 2000) AS INT)").alias("l_linenumber"),
         # varied values, so shuffle bytes follow row counts (identical rows
         # compress to nearly nothing)
         (F.col("id") * 7919 % 100003).alias("l_suppkey"),

@@ -36,12 +36,12 @@ def test_json_documents_explode_and_empty_arrays_vanish(spark):
     rows = explode_transactions(docs).orderBy("ticker").collect()
     assert [(r.ticker, r.action, r.shares, float(r.price)) for r in rows] == [
         ("A", "BUY", 10, 1.5), ("B", "SELL", 30, 2.5)]
-    assert all(str(r.timestamp) == "2024-10-01 09:05:00" for r in rows)
+    assert all(r.timestamp == "2024-10-01T09:05:00" for r in rows)  # text, as the source has it
 
 
 def test_float_price_documents(spark):
     docs = read_documents(spark, _write_text(spark, DOCS[:1], "docs-f"), fmt="json",
-                          schema=schemas.DOCUMENT_FLOAT_PRICE)
+                          schema=schemas.DOCUMENT_OPEN)
     h = silver.core(explode_transactions(docs).where(F.col("ticker") == "A"),
                     index(spark, [("2024-10-01 09:00:00", 1.0)])).first()
     assert float(h.avg_price) == 1.5
@@ -92,7 +92,7 @@ def _daily(spark):
 
 
 def test_csv_single_file_with_header(spark):
-    path = write_csv(_daily(spark), scratch_path(spark, "daily"), single_file=True)
+    path = write_csv(_daily(spark), scratch_path(spark, "daily"), decimals=2)
     parts = [f for f in os.listdir(local_path(path)) if f.startswith("part-")]
     assert len(parts) == 1
     with open(os.path.join(local_path(path), parts[0])) as fh:
@@ -104,7 +104,7 @@ def test_csv_single_file_with_header(spark):
 
 def test_empty_csv_still_has_header(spark):
     empty = _daily(spark).where(F.lit(False))
-    path = write_csv(empty, scratch_path(spark, "empty"), single_file=True)
+    path = write_csv(empty, scratch_path(spark, "empty"))
     files = [f for f in os.listdir(local_path(path)) if f.startswith("part-")]
     text = "".join(open(os.path.join(local_path(path), f)).read() for f in files)
     assert text.splitlines() == ["date,ticker,company_name,avg_price,volume,market_index"]
@@ -120,7 +120,7 @@ def test_partitioned_csv(spark):
 def test_full_run_writes_all_outputs(spark):
     sf = "/root/testdata/sf0.001"
     inp = adapters.inputs(spark, sf, "lineitem")
-    out = medallion.run(spark, inp, scratch_path(spark, "run"), single_file=True)
+    out = medallion.run(spark, inp, scratch_path(spark, "run"))
     assert set(out) == {"hour", "day", "month", "quarter"}
     q = read_csv(spark, out["quarter"], report_schema("quarter")).collect()
     assert q and all(" Q" in r.quarter for r in q)
@@ -153,7 +153,7 @@ def test_report_headers_and_labels_match_reference_layout(spark):
     inp = adapters.inputs(spark, "/root/testdata/sf0.001", "lineitem")
     core = silver.core(inp.trades, inp.index)
     for grain, header in REFERENCE_HEADERS.items():
-        path = write_csv(gold.rollup(core, inp.companies, grain), scratch_path(spark, grain))
+        path = write_csv(gold.rollup(core, inp.companies, grain), scratch_path(spark, grain), decimals=2)
         part = sorted(f for f in os.listdir(local_path(path)) if f.startswith("part-"))[0]
         with open(os.path.join(local_path(path), part)) as fh:
             first, second = fh.readline().strip(), fh.readline().strip()
@@ -163,7 +163,58 @@ def test_report_headers_and_labels_match_reference_layout(spark):
         assert len(index.split(".")[1]) == 2
 
 
-def test_run_work_folder_is_stable_per_output(spark):
-    a = medallion.work_folder(spark, "/shared/reports/out/")
-    assert a == medallion.work_folder(spark, "/shared/reports/out")
-    assert a != medallion.work_folder(spark, "/shared/reports/other")
+def test_run_removes_its_intermediates_and_marks_the_set(spark):
+    from tickfold.session import checkpoint_root
+
+    inp = adapters.inputs(spark, "/root/testdata/sf0.001", "events")
+    out = scratch_path(spark, "run-marked")
+    written = medallion.run(spark, inp, out, time_range=("2024-01-05", "2024-01-10"))
+    left = os.listdir(os.path.join(local_path(checkpoint_root(spark)), "tickfold"))
+    assert not [x for x in left if x.startswith("run-") and len(x) == len("run-") + 32]
+    marks = spark.read.json(f"{out}/_complete").collect()
+    assert {(m.grain, m.path) for m in marks} == set(written.items())
+    days = {r.date for r in read_csv(spark, written["day"], report_schema("date")).collect()}
+    assert days and min(days) >= "2024-01-05" and max(days) <= "2024-01-09"
+
+
+def test_multiline_array_fractions_and_corrupt_lines(spark):
+    from tickfold.sources.documents import document_quality
+
+    text = ('[\n {"timestamp": "2024-10-01 09:06:00", "transactions": [{"ticker": "A", "action": "BUY",'
+            ' "shares": 2.5, "price": 149.7049}]},\n {"timestamp": "2024-10-01T09:07:00Z", "transactions":'
+            ' [{"ticker": "A", "action": "BUY", "shares": 10.0, "price": 1.2e-7}]}\n]')
+    docs = read_documents(spark, _write_text(spark, [text], "docs-array"), multiline=True)
+    h = silver.core(explode_transactions(docs), index(spark, [("2024-10-01 09:00:00", 1.0)])).first()
+    assert h.volume == 12.5 and abs(h.avg_price - (2.5 * 149.7049 + 10 * 1.2e-7) / 12.5) < 1e-12
+    lines = [DOCS[0], "no json", '{"timestamp": "never", "transactions": [{"ticker": "A"}]}']
+    row = document_quality(read_documents(spark, _write_text(spark, lines, "docs-bad"))).first()
+    assert (row.documents, row.corrupt, row.null_stamps, row.unparsed_stamps) == (3, 1, 1, 1)
+    assert row.trades == 2 or row.trades == 3
+    assert row.null_shares == 1 and row.null_prices == 1
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_prices_and_wide_index(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = spark.createDataFrame([("2024-10-01 09:00:00", "A", 2, 1e9), ("2024-10-01 09:01:00", "A", 1, 1e9)],
+                                     "timestamp string, ticker string, shares int, price double")
+        exact = rows.withColumn("price", F.col("price").cast("decimal(18,2)"))
+        wide = index(spark, [("2024-10-01 09:00:00", 100.005)]).withColumn(
+            "index_value", F.lit(100.00504))
+        for trades in (rows, exact):
+            r = silver.core(trades, wide).first()
+            assert float(r.avg_price) == 1e9 and float(r.market_index) == 100.00504
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_jdbc_split_on_a_stamp_reads_it_zoned():
+    from tickfold.sources.jdbc import jdbc_options
+
+    split = {"partition_column": "timestamp", "num_partitions": 4}
+    stamp = jdbc_options("jdbc:x", "t", lower_bound="2024-01-01 00:00:00", upper_bound="2025-01-01", **split)
+    number = jdbc_options("jdbc:x", "t", lower_bound=0, upper_bound=9, **split)
+    assert "preferTimestampNTZ" not in stamp and number["preferTimestampNTZ"] == "true"
+    assert stamp["numPartitions"] == "4" and stamp["lowerBound"] == "2024-01-01 00:00:00"

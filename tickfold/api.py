@@ -15,9 +15,8 @@ keeps doing so.  Differences, on purpose:
   steps always save; its own run always passes a path, so runs are alike);
 * ``save_to_csv`` writes a folder named ``filename`` through Spark's committer
   (works on shared storage, no driver-side file moves);
-* gold steps accept the hourly report (text ``datetime``) and read it back to
-  timestamps and decimals before rolling up, so rounding happens once, at the
-  end, on exact values;
+* gold steps roll up the timestamps and exact sums behind the hourly report
+  they are given; a report from elsewhere (read back from CSV) is parsed;
 * the whole-run path :meth:`run` computes silver once (see ``plans.medallion``).
 """
 
@@ -27,13 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickfold.functions.numeric import INDEX_TYPE, PRICE_TYPE
+from tickfold.functions.numeric import REPORT_DECIMALS
 from tickfold.operators.explode import explode_transactions
 from tickfold.operators.hourly import hourly_vwap
 from tickfold.operators.preview import preview as _preview
 from tickfold.operators.rollup import finish, period_state
 from tickfold.plans import medallion, silver
-from tickfold.session import build_session, configure
+from tickfold.session import build_session, settings
 from tickfold.sinks.csv import OUTPUT_NAMES, write_csv
 from tickfold.sources.adapters import Inputs
 from tickfold.sources.documents import document_store_options, read_documents
@@ -50,23 +49,19 @@ def create_spark_session(jdbc_jar: str | None = None, document_uri: str | None =
 
 
 def core_from_report(hourly_report: DataFrame) -> DataFrame:
-    """Hourly report rows (text ``datetime``, double prices) back to silver
-    core rows (timestamps, decimals)."""
+    """Rows of an hourly report (text ``datetime``) back to silver core rows;
+    numbers keep the types the report has."""
     return hourly_report.select(
         F.try_to_timestamp("datetime", F.lit("yyyy-MM-dd HH:mm:ss"))
         .cast(T.TimestampNTZType()).alias("datetime"),
-        "ticker", "company_name",
-        F.col("volume").cast(T.LongType()).alias("volume"),
-        F.col("avg_price").cast(PRICE_TYPE).alias("avg_price"),
-        F.col("market_index").cast(INDEX_TYPE).alias("market_index"),
-    )
+        "ticker", "company_name", "volume", "avg_price", "market_index")
 
 
 class TradeProcessor:
     """The reference's processor API (M1-M8) over this package's plans."""
 
     def __init__(self, spark: SparkSession):
-        self.spark = configure(spark)
+        self.spark = spark
 
     # M2 ---------------------------------------------------------------------
     def ingest_data(self, config: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -77,19 +72,29 @@ class TradeProcessor:
         optional ``jdbc_driver``).  Documents from the document store
         (``mongodb_uri``, ``mongo_db``, ``mongo_collection``) or, when
         ``documents_path`` is given, from files (``documents_format``, default
-        json).
+        json; ``documents_multiline`` for files that hold one JSON array).
+        ``index_partition_column``, ``_lower``, ``_upper`` and ``_count``
+        (with that prefix) split the index scan; without the bounds they are
+        asked of the database.
         """
+        split = {}
+        if config.get("index_partition_column"):
+            split = {"partition_column": config["index_partition_column"],
+                     "lower_bound": config.get("index_partition_lower"),
+                     "upper_bound": config.get("index_partition_upper"),
+                     "num_partitions": int(config.get("index_partition_count", 8))}
         companies, index = read_tables(
             self.spark, config["mysql_url"], config.get("mysql_user"), config.get("mysql_password"),
             config.get("company_info_table", "company_info"),
             config.get("market_index_table", "market_index"),
-            driver=config.get("jdbc_driver", MYSQL_DRIVER))
+            driver=config.get("jdbc_driver", MYSQL_DRIVER), **split)
         if config.get("documents_path"):
             docs = read_documents(self.spark, config["documents_path"],
-                                  fmt=config.get("documents_format", "json"))
+                                  fmt=config.get("documents_format", "json"),
+                                  multiline=str(config.get("documents_multiline", "")).lower() == "true")
         else:
             docs = read_documents(
-                self.spark, fmt="mongodb", schema=None,
+                self.spark, fmt="mongodb",
                 options=document_store_options(config["mongodb_uri"], config["mongo_db"],
                                                config["mongo_collection"]))
         return companies, index, explode_transactions(docs)
@@ -97,25 +102,32 @@ class TradeProcessor:
     # M3 ---------------------------------------------------------------------
     def aggregate_hourly_transactions(self, transactions: DataFrame) -> DataFrame:
         """(datetime, ticker, volume, avg_stock_price) per traded hour."""
-        h = hourly_vwap(transactions)
-        return h.select("datetime", "ticker", "volume",
-                        F.col("avg_price").cast(T.DoubleType()).alias("avg_stock_price"))
+        with settings(self.spark):
+            h = hourly_vwap(transactions)
+            return h.select("datetime", "ticker", "volume",
+                            F.col("avg_price").cast(T.DoubleType()).alias("avg_stock_price"))
 
     # M4 ---------------------------------------------------------------------
     def process_hourly_data(self, transactions: DataFrame, company_info: DataFrame,
                             market_index: DataFrame, round_decimals: int | None = None,
                             output_path: str | None = None) -> DataFrame:
-        report = silver.hourly(transactions, company_info, market_index, round_decimals)
-        if output_path:
-            self.save_to_csv(report, output_path, f"{OUTPUT_NAMES['hour']}.csv")
+        with settings(self.spark):
+            core = silver.core(transactions, market_index)
+            report = silver.report(core, company_info, round_decimals)
+            # The rows behind the report, for the gold steps.
+            report.hourly_rows = silver.rounded(core, company_info, round_decimals)
+            if output_path:
+                self.save_to_csv(report, output_path, f"{OUTPUT_NAMES['hour']}.csv", round_decimals)
         return report
 
     # M5-M7 ------------------------------------------------------------------
     def _gold(self, hourly_data: DataFrame, grain: str, output_path: str | None) -> DataFrame:
-        state = period_state(core_from_report(hourly_data), grain, keys=("ticker", "company_name"))
-        report = finish(state, None, grain)
-        if output_path:
-            self.save_to_csv(report, output_path, f"{OUTPUT_NAMES[grain]}.csv")
+        with settings(self.spark):
+            rows = vars(hourly_data).get("hourly_rows")
+            rows = core_from_report(hourly_data) if rows is None else rows
+            report = finish(period_state(rows, grain, keys=("ticker", "company_name")), None, grain)
+            if output_path:
+                self.save_to_csv(report, output_path, f"{OUTPUT_NAMES[grain]}.csv", REPORT_DECIMALS)
         return report
 
     def process_daily_data(self, hourly_data: DataFrame, output_path: str | None = None) -> DataFrame:
@@ -129,8 +141,9 @@ class TradeProcessor:
         return self._gold(hourly_data, "quarter", output_path)
 
     # M8, O3 -----------------------------------------------------------------
-    def save_to_csv(self, df: DataFrame, output_path: str, filename: str) -> str:
-        return write_csv(df, f"{output_path.rstrip('/')}/{filename}")
+    def save_to_csv(self, df: DataFrame, output_path: str, filename: str,
+                    decimals: int | None = None) -> str:
+        return write_csv(df, f"{output_path.rstrip('/')}/{filename}", decimals)
 
     @staticmethod
     def preview(report: DataFrame, n: int = 5) -> DataFrame:

@@ -1,13 +1,13 @@
-"""Exact price arithmetic.
+"""Price arithmetic: exact where the input is, double where it is double.
 
-Prices are decimals and sums of decimals are exact, so a result does not
+Sums of decimals and whole numbers are exact, so a result does not
 depend on how Spark splits rows into tasks or in which order partial sums
 meet, as a double sum would.  A mean is one decimal division followed by a
 half-up ``round``:
 
 * the quotient of a sum with at most 18 integer digits by a count is typed
   ``decimal(38,20)`` (Spark's decimal rules, ``allowPrecisionLoss`` on, which
-  ``session.configure`` pins), i.e. rounded half-up at 20 decimals;
+  ``session.settings`` pins), i.e. rounded half-up at 20 decimals;
 * the exact quotient of a sum with ``s`` decimals by ``n`` lies at least
   ``1 / (2 * n * 10**(s + d))`` away from any tie at ``d`` decimals unless it
   is a tie, so rounding the 20-decimal quotient to ``d`` decimals equals
@@ -22,15 +22,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Silver keeps the hourly price with 10 decimals; gold and the
-# rounded silver report print 2 decimals; the index is decimal(10,2).
+# Silver keeps an exact hourly price with 10 decimals; gold and
+# the rounded silver report print 2 decimals.
 PRICE_SCALE = 10
-PRICE_TYPE = T.DecimalType(18, PRICE_SCALE)
+PRICE_TYPE = T.DecimalType(28, PRICE_SCALE)
 REPORT_DECIMALS = 2
-INDEX_TYPE = T.DecimalType(10, 2)
-# A floating price is taken with 8 decimals before it is summed (narrow
-# enough that shares * price keeps all 8 decimals).
-FLOAT_PRICE_TYPE = T.DecimalType(24, 8)
 # Integer digits a summed numerator may have (see the module text).
 SUM_INTEGER_DIGITS = 18
 
@@ -39,19 +35,18 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def price_decimal(col: Column | str, dtype: T.DataType) -> Column:
-    """Decimal prices pass through; floating ones become ``decimal(24,8)``."""
-    c = _c(col)
-    return c if isinstance(dtype, T.DecimalType) else c.cast(FLOAT_PRICE_TYPE)
+def is_whole(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.IntegralType)
 
 
-def decimal_scale(dtype: T.DataType) -> int:
-    return dtype.scale if isinstance(dtype, T.DecimalType) else 0
+def exact_product(shares: T.DataType, price: T.DataType) -> bool:
+    """Whole shares times a decimal price whose product and sum keep all digits."""
+    return (is_whole(shares) and isinstance(price, T.DecimalType)
+            and price.precision - price.scale <= SUM_INTEGER_DIGITS)
 
 
-def price_scale(dtype: T.DataType) -> int:
-    """Decimals of a price column after :func:`price_decimal`."""
-    return dtype.scale if isinstance(dtype, T.DecimalType) else FLOAT_PRICE_TYPE.scale
+def decimal_scale(dtype: T.DataType) -> int:
+    return dtype.scale if isinstance(dtype, T.DecimalType) else 0
 
 
 def mean_half_up(total: Column | str, total_scale: int, count: Column | str,
@@ -63,8 +58,19 @@ def mean_half_up(total: Column | str, total_scale: int, count: Column | str,
     return F.round(F.try_divide(num, _c(count).cast(T.LongType())), decimals)
 
 
+def mean(total: Column | str, dtype: T.DataType, count: Column | str, decimals: int) -> Column:
+    """Mean of a summed column as double, half-up at ``decimals``; a decimal
+    sum is divided exactly, a double one as doubles are.  The last bits of a
+    double sum depend on the order of its rows, so its mean is taken at 9
+    decimals first: a tie is a tie in every order."""
+    if isinstance(dtype, T.DecimalType):
+        return mean_half_up(total, dtype.scale, count, decimals).cast(T.DoubleType())
+    ratio = F.try_divide(_c(total).cast(T.DoubleType()), _c(count).cast(T.DoubleType()))
+    return F.round(F.round(ratio, 9), decimals)
+
+
 def report_value(col: Column | str, decimals: int | None = REPORT_DECIMALS) -> Column:
-    """A decimal handed out as double, half-up rounded first unless
+    """A number handed out as double, half-up rounded first unless
     ``decimals`` is None."""
     c = _c(col)
     return (c if decimals is None else F.round(c, decimals)).cast(T.DoubleType())

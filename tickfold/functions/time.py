@@ -33,7 +33,7 @@ def as_timestamp(col: Column | str, dtype: T.DataType | None = None) -> Column:
 
     Strings go through ``try_to_timestamp`` (a malformed stamp becomes null
     instead of failing the job under ANSI mode); zoned timestamps are read in
-    the session zone, which ``session.configure`` pins to UTC.
+    the session zone, which ``session.settings`` pins to UTC.
     """
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, T.TimestampNTZType):

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickfold.functions.numeric import INDEX_TYPE
 from tickfold.functions.time import as_timestamp, bucket
 
 
@@ -16,14 +14,10 @@ def index_hourly(market_index: DataFrame, ts_col: str = "timestamp",
     hour.  Rows are not de-duplicated: two stamps in one hour give two rows,
     and the join after it repeats the trade row for each (see
     :func:`duplicate_hours`).  Text stamps that do not parse become null and
-    so never join."""
+    so never join.  The value keeps its type."""
     stamp = as_timestamp(ts_col, market_index.schema[ts_col].dataType)
-    value_type = market_index.schema[value_col].dataType
-    value = F.col(value_col)
-    if not isinstance(value_type, T.DecimalType):
-        value = value.cast(INDEX_TYPE)
     return market_index.select(bucket(stamp, "hour").alias("datetime"),
-                               value.alias("market_index"))
+                               F.col(value_col).alias("market_index"))
 
 
 def duplicate_hours(market_index: DataFrame, ts_col: str = "timestamp",

@@ -3,8 +3,7 @@ broadcast they use.
 
 Policy (see ``session.SESSION_CONF``): a side is broadcast only when its size
 is *proven* small - either by :func:`bounded_size` below, which counts rows and
-string bytes with one short job that stops after ``max_rows + 1`` rows, or by
-AQE measuring a materialised shuffle stage.  Anything bigger is a shuffle join
+string bytes with one aggregate, or by AQE measuring a materialised shuffle stage.  Anything bigger is a shuffle join
 on the key, with AQE splitting skewed partitions.
 """
 
@@ -25,8 +24,8 @@ def bounded_size(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """``(rows, bytes)`` of ``df`` if it holds at most ``max_rows`` rows and
     about ``max_bytes`` bytes, else ``None``.
 
-    One job over at most ``max_rows + 1`` rows; only a two-number row comes
-    back to the driver.
+    One aggregate over the pruned columns, combined in the scan tasks; only a
+    two-number row meets in one task and comes back to the driver.
     """
     widths = []
     for field in df.schema.fields:
@@ -35,8 +34,7 @@ def bounded_size(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
         else:
             widths.append(F.lit(_FIXED_WIDTH))
     row_bytes = sum(widths[1:], widths[0]) if widths else F.lit(0)
-    head = df.limit(max_rows + 1)
-    rows, size = head.agg(F.count(F.lit(1)), F.sum(row_bytes.cast("long"))).first()
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes.cast("long"))).first()
     size = size or 0
     if rows > max_rows or size > max_bytes:
         return None
@@ -57,8 +55,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str],
 
 def join_company(hourly: DataFrame, companies: DataFrame, broadcast: str = "adaptive",
                  max_rows: int = BROADCAST_MAX_ROWS,
-                 max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Keep rows whose ticker has a company row, adding ``company_name``.
+                 max_bytes: int = BROADCAST_MAX_BYTES, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Keep rows whose ticker has a company row, adding ``company_name`` and ``extra`` columns.
     A ticker with two company rows appears twice.
 
     ``broadcast="adaptive"`` (default) plans a shuffle join and lets AQE
@@ -68,7 +66,7 @@ def join_company(hourly: DataFrame, companies: DataFrame, broadcast: str = "adap
     with :func:`bounded_size` and broadcasts by hint (a static plan);
     ``"never"`` always shuffles.
     """
-    dim = companies.select("ticker", "company_name").where(F.col("ticker").isNotNull())
+    dim = companies.select("ticker", "company_name", *extra).where(F.col("ticker").isNotNull())
     if broadcast == "check":
         return join_dimension(hourly, dim, "ticker", max_rows=max_rows, max_bytes=max_bytes)
     if broadcast not in ("adaptive", "never"):
@@ -77,12 +75,17 @@ def join_company(hourly: DataFrame, companies: DataFrame, broadcast: str = "adap
     return joined.hint("shuffle_merge") if broadcast == "never" else joined
 
 
-def join_index(hourly: DataFrame, index_by_hour: DataFrame) -> DataFrame:
+def join_index(hourly: DataFrame, index_by_hour: DataFrame, check: bool = False) -> DataFrame:
     """Keep rows whose hour has an index row, adding ``market_index``.
 
     The index side is an aggregate or a scan of unknown size, so the join is
     left to AQE: both sides are shuffled on ``datetime``; once the index stage
     has run and measures below the adaptive threshold, AQE turns the join into
     a broadcast join, else it stays sort-merge with skew splitting.
+    ``check=True`` proves the size first, for an index that is already a
+    written table (``medallion.run``): the fact is then not shuffled on the
+    hour alone while the index stage is still running.
     """
+    if check:
+        return join_dimension(hourly, index_by_hour.where(F.col("datetime").isNotNull()), "datetime")
     return hourly.join(index_by_hour.where(F.col("datetime").isNotNull()), "datetime")

@@ -17,9 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickfold.functions.numeric import REPORT_DECIMALS, decimal_scale, mean_half_up
+from tickfold.functions.numeric import REPORT_DECIMALS, mean
 from tickfold.functions.time import LABEL_COLUMNS, bucket, check_grain, period_label
 from tickfold.operators.joins import join_company
 
@@ -49,25 +48,28 @@ def finish(state: DataFrame, companies: DataFrame | None, grain: str, sort: bool
            decimals: int = REPORT_DECIMALS) -> DataFrame:
     """Report ``(<label>, ticker, company_name, avg_price, volume, market_index)``.
 
-    The company join runs on the rolled-up rows, which is the same as joining
-    every hourly row first (the name only follows the ticker) but joins far
-    fewer rows.  ``companies=None`` means the state already carries
-    ``company_name`` as a key.  Means are half-up rounded to ``decimals`` and
-    given as double; ``sort`` orders by period start, then ticker.
+    The company join runs on the rolled-up rows, far fewer than the hourly
+    ones.  Equal (ticker, company_name) rows of ``companies`` are counted first
+    and their number multiplies the volume, as if each hourly row had been
+    joined with each of them; it cancels out of the means.
+    ``companies=None`` means the state already carries ``company_name`` as a
+    key.  Means are half-up rounded to ``decimals`` and given as double;
+    ``sort`` orders by period start, then ticker.
     """
-    joined = state if companies is None else join_company(state, companies)
-    price_scale = decimal_scale(state.schema["price_sum"].dataType)
-    index_scale = decimal_scale(state.schema["index_sum"].dataType)
+    volume = F.col("volume")
+    joined = state
+    if companies is not None:
+        names = companies.groupBy("ticker", "company_name").agg(F.count(F.lit(1)).alias("copies"))
+        joined = join_company(state, names, extra=("copies",))
+        volume = (volume * F.col("copies")).cast(state.schema["volume"].dataType)
     out = joined.select(
         "period",
         period_label("period", grain).alias(LABEL_COLUMNS[check_grain(grain)]),
         F.col("ticker").cast("string").alias("ticker"),
         "company_name",
-        mean_half_up("price_sum", price_scale, "price_n", decimals)
-        .cast(T.DoubleType()).alias("avg_price"),
-        F.col("volume").cast(T.LongType()).alias("volume"),
-        mean_half_up("index_sum", index_scale, "index_n", decimals)
-        .cast(T.DoubleType()).alias("market_index"),
+        mean("price_sum", state.schema["price_sum"].dataType, "price_n", decimals).alias("avg_price"),
+        volume.alias("volume"),
+        mean("index_sum", state.schema["index_sum"].dataType, "index_n", decimals).alias("market_index"),
     )
     if sort:
         out = out.orderBy("period", "ticker")

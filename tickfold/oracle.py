@@ -69,7 +69,7 @@ def _ctes(adapter: str, index: str | None = None) -> str:
                sum(shares * price) AS notional
         FROM trades GROUP BY 1, 2),
     hourly AS (
-        SELECT datetime, ticker, volume,
+        SELECT datetime, ticker, volume, notional,
                CAST(CASE WHEN volume <> 0 THEN
                    (2 * CAST(notional * 100 AS HUGEINT) * 100000000 + volume) // (2 * volume)
                END AS BIGINT) AS px_e10
@@ -78,12 +78,13 @@ def _ctes(adapter: str, index: str | None = None) -> str:
         SELECT date_trunc('hour', "timestamp") AS datetime, index_value AS market_index
         FROM idx),
     core AS (
-        SELECT h.datetime, h.ticker, h.volume, h.px_e10, i.market_index
+        SELECT h.datetime, h.ticker, h.volume, h.notional, h.px_e10, i.market_index
         FROM hourly h JOIN idx_h i ON h.datetime = i.datetime)
     """
 
 
 _PX = "CAST(px_e10 AS DOUBLE) / CAST(1e10 AS DOUBLE)"
+_PX_RATIO = "CASE WHEN volume <> 0 THEN CAST(notional AS DOUBLE) / CAST(volume AS DOUBLE) END"
 _PX_2 = "CAST((2 * CAST(px_e10 AS HUGEINT) + 100000000) // 200000000 AS BIGINT) / CAST(100 AS DOUBLE)"
 _LABELS = {
     "hour": "strftime({c}, '%Y-%m-%d %H:%M:%S')",
@@ -102,7 +103,7 @@ def _flat_trades(adapter: str) -> str:
 
 
 def _silver(adapter: str, rounded: bool) -> str:
-    px = _PX_2 if rounded else _PX
+    px = _PX_2 if rounded else _PX_RATIO
     return _ctes(adapter) + f"""
     SELECT {_LABELS['hour'].format(c='datetime')} AS datetime, ticker, company_name,
            {px} AS avg_price, volume, CAST(market_index AS DOUBLE) AS market_index
@@ -135,6 +136,71 @@ def _gold(adapter: str, grain: str) -> str:
     FROM ({_gold_select(adapter, grain)}) g"""
 
 
+# -- the same steps over inputs as the sources have them -----------------------------
+# Written from the reference's own expressions: sum(shares * price) / sum(shares),
+# plain means, one rounding at the end (half-up, so over the decimal digits of the mean).
+
+_RAW = """
+    WITH trades AS (
+        SELECT event_id, ts, CAST(user_id AS VARCHAR) AS ticker, event_type AS action,
+               TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS shares, value AS price
+        FROM events),
+    companies AS (SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_name AS company_name FROM customer),
+    idx AS (
+        SELECT date_trunc('hour', ts) AS datetime, max(value) / 7 AS market_index
+        FROM events WHERE event_type = 'error' GROUP BY 1),
+    hourly AS (
+        SELECT date_trunc('hour', ts) AS datetime, ticker, CAST(sum(shares) AS BIGINT) AS volume,
+               CASE WHEN sum(shares) <> 0 THEN sum(shares * price) / sum(shares) END AS avg_price
+        FROM trades GROUP BY 1, 2)
+"""
+_RAW_SILVER = _RAW + """
+    SELECT strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, ticker, company_name,
+           round(avg_price, 6) AS avg_price, volume, round(market_index, 6) AS market_index
+    FROM hourly JOIN companies USING (ticker) JOIN idx USING (datetime)"""
+_RAW_STAMP = """CASE event_id % 5 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
+                WHEN 2 THEN ts END"""
+
+
+def _raw_sql() -> dict[str, str]:
+    return {
+        "q_documents_json_mixed": _RAW + f"""
+            SELECT {_RAW_STAMP} AS "timestamp", ticker, action, shares, price FROM trades""",
+        "q_documents_quality_mixed": _RAW + """
+            SELECT count(*) AS documents, CAST(0 AS BIGINT) AS corrupt,
+                   count(*) FILTER (event_id % 5 = 4) AS null_stamps,
+                   count(*) FILTER (event_id % 5 = 3) AS unparsed_stamps, count(*) AS trades,
+                   count(*) FILTER (shares IS NULL) AS null_shares,
+                   count(*) FILTER (price IS NULL) AS null_prices FROM trades""",
+        "q_silver_unrounded_events_double": _RAW_SILVER,
+        "q_csv_roundtrip_unrounded": _RAW_SILVER,
+        "q_gold_daily_events_wide_index": _ctes("events") + """
+            , wide AS (
+                SELECT date_trunc('hour', ts) AS datetime, max(value) / 7 AS market_index
+                FROM events WHERE event_type = 'error' GROUP BY 1)
+            SELECT strftime(date_trunc('day', h.datetime), '%Y-%m-%d') AS date, ticker, company_name,
+                   CASE WHEN count(px_e10) > 0 THEN
+                       CAST((2 * sum(CAST(px_e10 AS HUGEINT)) + count(px_e10) * 100000000)
+                            // (2 * count(px_e10) * 100000000) AS BIGINT) / CAST(100 AS DOUBLE)
+                   END AS avg_price,
+                   CAST(sum(volume) AS BIGINT) AS volume, CAST(round(CAST(avg(wide.market_index) AS DECIMAL(28,9)), 2) AS DOUBLE) AS market_index
+            FROM hourly h JOIN wide USING (datetime) JOIN companies USING (ticker)
+            GROUP BY date_trunc('day', h.datetime), ticker, company_name""",
+        "q_hourly_vwap_fractional_shares": _RAW + """
+            SELECT date_trunc('hour', ts) AS datetime, ticker, round(sum(shares / 4.0), 6) AS volume,
+                   round(CASE WHEN sum(shares) <> 0
+                         THEN sum(shares / 4.0 * price) / sum(shares / 4.0) END, 6) AS avg_stock_price
+            FROM trades GROUP BY 1, 2""",
+        "q_join_company_duplicates": f"""
+            SELECT date, ticker, company_name, avg_price, CAST(2 * volume AS BIGINT) AS volume, market_index
+            FROM ({_gold_select('events', 'day')}) g""",
+        "q_order_documents_sizes": """
+            SELECT o_orderkey AS order_id, greatest(1, ceil(count(l_orderkey) / 64))::BIGINT AS documents,
+                   count(l_orderkey) AS trades
+            FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "q_explode_documents": _flat_trades("documents"),
@@ -177,4 +243,7 @@ def oracle_sql() -> dict[str, str]:
         FROM ({_gold('events', 'day')}) g"""
     sql["q_facade_quarterly_lineitem"] = _gold("lineitem", "quarter")
     sql["q_full_run_quarterly"] = _gold("lineitem", "quarter")
+    sql["q_facade_daily_events"] = _gold("events", "day")
+    sql["q_facade_monthly_events"] = _gold("events", "month")
+    sql |= _raw_sql()
     return sql

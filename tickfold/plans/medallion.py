@@ -2,10 +2,10 @@
 
 Compared with recomputing every output from the sources, the run
 
-* computes the silver core once and writes it as parquet under the shared
-  checkpoint folder (one work folder per output path, overwritten by a rerun);
-  every later output reads that table, so a lost executor costs a re-read, not
-  a replay from the sources;
+* writes the index by hour first, so the join with it is planned on its true
+  size, then the silver core, as parquet in a folder of this run under the
+  shared checkpoint folder; every later output reads that table, so a lost
+  executor costs a re-read, not a replay from the sources;
 * rolls the finest gold grain once into an additive state (also written),
   and derives the coarser grains from that state;
 * writes every report in parallel, and submits the report writes together
@@ -15,15 +15,18 @@ Compared with recomputing every output from the sources, the run
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickfold.functions.numeric import REPORT_DECIMALS
 from tickfold.functions.time import GRAINS, LABEL_COLUMNS
+from tickfold.operators.index import index_hourly
 from tickfold.operators.rollup import period_state
 from tickfold.plans import gold, silver
-from tickfold.session import checkpoint_root, configure
+from tickfold.session import checkpoint_root, settings
 from tickfold.sinks.csv import OUTPUT_NAMES, write_csv, write_partitioned_csv
 from tickfold.sources.adapters import Inputs
 
@@ -36,12 +39,11 @@ def materialise(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def work_folder(spark: SparkSession, output_path: str) -> str:
-    """Intermediate tables of the run writing to ``output_path``: one stable
-    folder per output, so a rerun overwrites its intermediates instead of
-    leaving another copy in the checkpoint folder."""
-    key = hashlib.sha1(output_path.rstrip("/").encode()).hexdigest()[:16]
-    return f"{checkpoint_root(spark)}/tickfold/run-{key}"
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediates on whatever file system it lies."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def run(
@@ -50,30 +52,51 @@ def run(
     output_path: str,
     hourly_round: int | None = 2,
     grains: tuple[str, ...] = gold.GOLD_GRAINS,
-    single_file: bool = False,
     partitioned: bool = False,
+    time_range: tuple[str, str] | None = None,
+    keep_work: bool = False,
 ) -> dict[str, str]:
     """Run the pipeline and return ``{grain: output folder}`` (``"hour"`` is
-    the silver report)."""
-    configure(spark)
-    work = work_folder(spark, output_path)
-    core = materialise(spark, silver.core(silver.trades_of(inputs), inputs.index),
-                       f"{work}/silver-core")
-    reports = {"hour": silver.report(core, inputs.companies, round_decimals=hourly_round)}
-    if grains:
-        finest = min(grains, key=GRAINS.index)
-        state = materialise(spark, period_state(core, finest), f"{work}/state-{finest}")
-        for grain in grains:
-            reports[grain] = gold.rollup_from_state(state, finest, inputs.companies, grain)
+    the silver report).
 
-    def write(grain: str) -> str:
-        path = f"{output_path.rstrip('/')}/{OUTPUT_NAMES[grain]}"
-        if partitioned:
-            # reports are sorted by period: already range-partitioned by it
-            return write_partitioned_csv(reports[grain], path, LABEL_COLUMNS[grain],
-                                         cluster=False)
-        return write_csv(reports[grain], path, single_file=single_file and grain != "hour")
+    ``time_range`` (from, before) limits a rerun to the trades and index rows
+    of these stamps, a filter that reaches the scan.  The folder
+    ``_complete`` beside the reports lists them and is written last: a set of
+    reports without it, or with another run id, is not whole.  Intermediates go
+    when the run ends, unless ``keep_work``.
+    """
+    run_id = uuid.uuid4().hex
+    work = f"{checkpoint_root(spark)}/tickfold/run-{run_id}"
+    with settings(spark):
+        trades, index = silver.trades_of(inputs), inputs.index
+        if time_range:
+            trades, index = (x.where(F.col("timestamp") >= F.lit(time_range[0]))
+                             .where(F.col("timestamp") < F.lit(time_range[1])) for x in (trades, index))
+        by_hour = materialise(spark, index_hourly(index), f"{work}/index")
+        core = materialise(spark, silver.joined_core(trades, by_hour, check=True), f"{work}/silver-core")
+        reports = {"hour": silver.report(core, inputs.companies, round_decimals=hourly_round)}
+        decimals = {"hour": hourly_round}
+        if grains:
+            finest = min(grains, key=GRAINS.index)
+            state = materialise(spark, period_state(core, finest), f"{work}/state-{finest}")
+            for grain in grains:
+                reports[grain] = gold.rollup_from_state(state, finest, inputs.companies, grain)
+                decimals[grain] = REPORT_DECIMALS
 
-    with ThreadPoolExecutor(max_workers=len(reports)) as pool:
-        paths = dict(zip(reports, pool.map(write, reports)))
+        def write(grain: str) -> str:
+            path = f"{output_path.rstrip('/')}/{OUTPUT_NAMES[grain]}"
+            if partitioned:
+                # reports are sorted by period: already range-partitioned by it
+                return write_partitioned_csv(reports[grain], path, LABEL_COLUMNS[grain],
+                                             cluster=False, decimals=decimals[grain])
+            return write_csv(reports[grain], path, decimals[grain])
+
+        remove_folder(spark, f"{output_path.rstrip('/')}/_complete")
+        with ThreadPoolExecutor(max_workers=len(reports)) as pool:
+            paths = dict(zip(reports, pool.map(write, reports)))
+        done = F.inline(F.array(*[F.struct(F.lit(run_id).alias("run_id"), F.lit(g).alias("grain"),
+                                           F.lit(p).alias("path")) for g, p in paths.items()]))
+        spark.range(1).select(done).write.mode("overwrite").json(f"{output_path.rstrip('/')}/_complete")
+        if not keep_work:
+            remove_folder(spark, work)
     return paths

@@ -36,21 +36,39 @@ def trades_of(inputs: Inputs) -> DataFrame:
 
 
 def core(trades: DataFrame, market_index: DataFrame) -> DataFrame:
-    """``(datetime, ticker, volume, avg_price, market_index)`` per traded hour
-    with an index row; ``avg_price`` is decimal(18,10)."""
+    """``(datetime, ticker, volume, notional, avg_price, market_index)`` per
+    traded hour with an index row, in the types of the sources."""
+    return joined_core(trades, index_hourly(market_index))
+
+
+def joined_core(trades: DataFrame, by_hour: DataFrame, check: bool = False) -> DataFrame:
+    """:func:`core` for an index that is by hour already; see ``join_index``."""
     require(trades, TRADE_COLUMNS, "trades")
-    hourly = hourly_vwap(trades).select("datetime", "ticker", "volume", "avg_price")
-    return join_index(hourly, index_hourly(market_index))
+    # A trade without a stamp joins no hour; the raw column's filter reaches the scan.
+    return join_index(hourly_vwap(trades.where(F.col("timestamp").isNotNull())), by_hour, check)
+
+
+def rounded(core_rows: DataFrame, companies: DataFrame, round_decimals: int | None = None) -> DataFrame:
+    """Core rows with ``company_name``, price and index rounded if asked, as
+    gold rolls them up: timestamps and numbers, nothing printed."""
+    joined = join_company(core_rows, companies)
+    if round_decimals is not None:
+        for c in ("avg_price", "market_index"):
+            joined = joined.withColumn(c, F.round(c, round_decimals))
+    return joined.select("datetime", "ticker", "company_name", "volume", "avg_price", "market_index")
 
 
 def report(core_rows: DataFrame, companies: DataFrame, round_decimals: int | None = None,
            sort: bool = True) -> DataFrame:
     """``(datetime, ticker, company_name, avg_price, volume, market_index)``
     with ``datetime`` as ``yyyy-MM-dd HH:mm:ss`` text.  Prices and index are
-    doubles: exact values, or half-up rounded to ``round_decimals``."""
+    doubles, half-up rounded to ``round_decimals``; unrounded, the price is the
+    plain ratio of the two sums."""
     require(companies, schemas.COMPANIES, "companies")
     joined = join_company(core_rows, companies)
     price = report_value("avg_price", round_decimals)
+    if round_decimals is None:
+        price = F.try_divide(F.col("notional").cast(T.DoubleType()), F.col("volume").cast(T.DoubleType()))
     index = report_value("market_index", round_decimals)
     out = joined.select(
         F.col("datetime").alias("_hour"),

@@ -4,6 +4,7 @@ equal."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,25 +13,23 @@ from pyspark.sql import types as T
 
 from tickfold import schemas
 from tickfold.api import TradeProcessor
-from tickfold.functions.numeric import INDEX_TYPE
-from tickfold.functions.time import LABEL_COLUMNS, bucket
+from tickfold.functions.time import LABEL_COLUMNS, as_timestamp, bucket
 from tickfold.operators.explode import explode_transactions
 from tickfold.operators.hourly import hourly_vwap
 from tickfold.operators.index import duplicate_hours, index_hourly
 from tickfold.operators.joins import join_company, join_index
 from tickfold.operators.preview import preview
 from tickfold.plans import gold, medallion, silver
-from tickfold.session import configure, scratch_path
+from tickfold.session import scratch_path, settings
 from tickfold.sinks.csv import (OUTPUT_NAMES, read_csv, report_schema, write_csv,
                                 write_partitioned_csv)
 from tickfold.sources import adapters
-from tickfold.sources.documents import read_documents, write_documents
+from tickfold.sources.documents import document_quality, read_documents, write_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _inputs(spark: SparkSession, sf_dir: str, adapter: str) -> adapters.Inputs:
-    configure(spark)
     return adapters.inputs(spark, sf_dir, adapter)
 
 
@@ -59,7 +58,6 @@ def q_explode_documents(spark, sf_dir):
 def q_explode_element_stamps(spark, sf_dir):
     """Each trade takes its own element stamp (ship date), not the
     document's (order date)."""
-    configure(spark)
     docs = adapters.order_documents(spark, sf_dir, element_stamps=True)
     return _flat_trades(explode_transactions(docs, timestamp_from="element"))
 
@@ -133,7 +131,7 @@ def q_join_index_fanout_events(spark, sf_dir):
         F.struct((F.col("hour") + F.expr("INTERVAL 30 MINUTES")).alias("timestamp"),
                  F.col("lo").alias("value")))).alias("r"))
     index = two_rows.select(F.col("r.timestamp").alias("timestamp"),
-                            F.col("r.value").cast(INDEX_TYPE).alias("index_value"))
+                            F.col("r.value").cast(adapters.INDEX).alias("index_value"))
     core = silver.core(inp.trades, index)
     return core.select("datetime", _text("ticker"), "volume",
                        F.col("avg_price").cast(T.DoubleType()).alias("avg_price"),
@@ -142,7 +140,6 @@ def q_join_index_fanout_events(spark, sf_dir):
 
 def q_index_duplicate_hours_events(spark, sf_dir):
     """Check: hours with more than one index row, over the raw error events."""
-    configure(spark)
     raw = adapters.table(spark, sf_dir, "events").where(F.col("event_type") == "error").select(
         F.col("ts").alias("timestamp"), F.col("value").alias("index_value"))
     return duplicate_hours(raw)
@@ -215,6 +212,112 @@ def q_full_run_quarterly(spark, sf_dir):
     return read_csv(spark, written["quarter"], report_schema(LABEL_COLUMNS["quarter"]))
 
 
+# -- inputs in the types the reference takes them ----------------------------------
+
+def _mixed_documents(spark, sf_dir):
+    """Raw events as JSON documents of one trade, read back without a schema:
+    double prices, three forms of text stamps, and some that are none."""
+    e = adapters.table(spark, sf_dir, "events")
+    form = F.pmod("event_id", F.lit(5))
+    stamp = (F.when(form == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+             .when(form == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+             .when(form == 2, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+             .when(form == 3, F.lit("no stamp")))
+    trade = F.struct(F.col("user_id").cast("string").alias("ticker"), F.col("event_type").alias("action"),
+                     F.get_json_object("props", "$.k").try_cast("bigint").alias("shares"),
+                     F.col("value").alias("price"))
+    docs = e.select(stamp.alias("timestamp"), F.array(trade).alias("transactions"))
+    return read_documents(spark, write_documents(docs, scratch_path(spark, "documents-mixed")))
+
+
+def q_documents_json_mixed(spark, sf_dir):
+    """Prices and shares keep their types, every form of stamp parses,
+    what is no stamp is null."""
+    trades = explode_transactions(_mixed_documents(spark, sf_dir))
+    stamp = as_timestamp("timestamp", trades.schema["timestamp"].dataType)
+    return trades.select(stamp.alias("timestamp"), "ticker", "action", "shares", "price")
+
+
+def q_documents_quality_mixed(spark, sf_dir):
+    """S3: what cannot be used of the same documents, counted."""
+    return document_quality(_mixed_documents(spark, sf_dir))
+
+
+def _raw_events(spark, sf_dir, shares="bigint"):
+    """Events as trades with undivided double prices, customers, and the undivided
+    double index."""
+    e = adapters.table(spark, sf_dir, "events")
+    trades = e.select(F.col("ts").alias("timestamp"), F.col("user_id").alias("ticker"),
+                      F.get_json_object("props", "$.k").try_cast(shares).alias("shares"),
+                      F.col("value").alias("price"))
+    index = e.where(F.col("event_type") == "error").groupBy(bucket("ts", "hour").alias("timestamp")).agg(
+        (F.max("value") / 7).alias("index_value"))
+    return trades, adapters.customer_companies(spark, sf_dir), index
+
+
+def q_silver_unrounded_events_double(spark, sf_dir):
+    """The unrounded report over double prices; doubles are compared at 6 decimals."""
+    trades, companies, index = _raw_events(spark, sf_dir)
+    report = silver.hourly(trades, companies, index)
+    return report.withColumns({c: F.round(c, 6) for c in ("avg_price", "market_index")})
+
+
+def q_gold_daily_events_wide_index(spark, sf_dir):
+    """A double index with all its digits is averaged before it is rounded."""
+    _, companies, index = _raw_events(spark, sf_dir)
+    core = silver.core(adapters.events_trades(spark, sf_dir), index)
+    return gold.rollup(core, companies, "day")
+
+
+def q_hourly_vwap_fractional_shares(spark, sf_dir):
+    """A2-A4: fractional shares make a fractional volume; compared at 6 decimals."""
+    trades, _, _ = _raw_events(spark, sf_dir)
+    halves = trades.withColumn("shares", F.col("shares").cast("double") / 4)
+    return hourly_vwap(halves).select("datetime", _text("ticker"), F.round("volume", 6).alias("volume"),
+                                      F.round("avg_price", 6).alias("avg_stock_price"))
+
+
+def _facade(grain):
+    def q(spark, sf_dir):
+        inp = _inputs(spark, sf_dir, "events")
+        p = TradeProcessor(spark)
+        hourly = p.process_hourly_data(inp.trades, inp.companies, inp.index)
+        return getattr(p, f"process_{_GRAIN_NAMES[grain]}_data")(hourly)
+    q.__doc__ = f"M4, M5-M7 through the reference-shaped API: {grain} report (events)."
+    return q
+
+
+def q_join_company_duplicates(spark, sf_dir):
+    """J1 with every company listed twice: a day has one row of doubled volume."""
+    inp, core = _core(spark, sf_dir, "events")
+    return gold.rollup(core, inp.companies.union(inp.companies), "day")
+
+
+def q_order_documents_sizes(spark, sf_dir):
+    """G1: trades and documents of each order."""
+    docs = adapters.order_documents(spark, sf_dir)
+    order = F.substring_index("doc_id", "-", 1).cast("bigint")
+    return docs.groupBy(order.alias("order_id")).agg(
+        F.count(F.lit(1)).alias("documents"), F.sum(F.size("transactions")).cast("bigint").alias("trades"))
+
+
+def q_csv_roundtrip_unrounded(spark, sf_dir):
+    """K1: an unrounded report is written with all the digits it has."""
+    trades, companies, index = _raw_events(spark, sf_dir)
+    report = silver.hourly(trades, companies, index)
+    back = read_csv(spark, write_csv(report, scratch_path(spark, "unrounded")), report_schema("datetime"))
+    return back.withColumns({c: F.round(c, 6) for c in ("avg_price", "market_index")})
+
+
+def _pinned(query: Query) -> Query:
+    """``query`` with its plan built under the settings that results depend on."""
+    @functools.wraps(query)
+    def q(spark, sf_dir):
+        with settings(spark):
+            return query(spark, sf_dir)
+    return q
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "q_explode_documents": q_explode_documents,
@@ -244,8 +347,18 @@ def queries() -> dict[str, Query]:
         "q_csv_partitioned_daily": q_csv_partitioned_daily,
         "q_facade_quarterly_lineitem": q_facade_quarterly_lineitem,
         "q_full_run_quarterly": q_full_run_quarterly,
+        "q_documents_json_mixed": q_documents_json_mixed,
+        "q_documents_quality_mixed": q_documents_quality_mixed,
+        "q_silver_unrounded_events_double": q_silver_unrounded_events_double,
+        "q_gold_daily_events_wide_index": q_gold_daily_events_wide_index,
+        "q_hourly_vwap_fractional_shares": q_hourly_vwap_fractional_shares,
+        "q_facade_daily_events": _facade("day"),
+        "q_facade_monthly_events": _facade("month"),
+        "q_join_company_duplicates": q_join_company_duplicates,
+        "q_order_documents_sizes": q_order_documents_sizes,
+        "q_csv_roundtrip_unrounded": q_csv_roundtrip_unrounded,
     })
-    return out
+    return {name: _pinned(q) for name, q in out.items()}
 
 
 _GRAIN_NAMES = {"day": "daily", "month": "monthly", "quarter": "quarterly"}

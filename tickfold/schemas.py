@@ -18,18 +18,20 @@ DOCUMENT = T.StructType([
     T.StructField("transactions", T.ArrayType(TRADE_ELEMENT)),
 ])
 
-# The same document as a document store hands it over (floating prices).
-DOCUMENT_FLOAT_PRICE = T.StructType([
-    T.StructField("timestamp", T.TimestampNTZType()),
+# The same document as a document store hands it over: stamp as text, floating
+# prices and shares.
+DOCUMENT_OPEN = T.StructType([
+    T.StructField("timestamp", T.StringType()),
     T.StructField("transactions", T.ArrayType(T.StructType([
         T.StructField("ticker", T.StringType()),
         T.StructField("action", T.StringType()),
-        T.StructField("shares", T.IntegerType()),
+        T.StructField("shares", T.DoubleType()),
         T.StructField("price", T.DoubleType()),
     ]))),
 ])
 
-# Bronze trade rows (after explode).
+# Bronze trade rows (after explode); numbers may have any numeric type, tickers
+# may be numbers, stamps text.
 TRADES = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()),
     T.StructField("ticker", T.StringType()),
@@ -48,19 +50,6 @@ MARKET_INDEX = T.StructType([
     T.StructField("index_value", T.DecimalType(10, 2)),
 ])
 
-# Silver core: one row per traded (hour, ticker) that has an index value.
-SILVER_CORE = T.StructType([
-    T.StructField("datetime", T.TimestampNTZType()),
-    T.StructField("ticker", T.StringType()),
-    T.StructField("volume", T.LongType()),
-    T.StructField("avg_price", T.DecimalType(18, 10)),
-    T.StructField("market_index", T.DecimalType(10, 2)),
-])
-
-# Report columns after the label (hourly, daily, monthly, quarterly).
-REPORT_COLUMNS = ("ticker", "company_name", "avg_price", "volume", "market_index")
-
-
 def missing_columns(schema: T.StructType, required: T.StructType) -> list[str]:
     have = {f.name for f in schema.fields}
     return [f.name for f in required.fields if f.name not in have]

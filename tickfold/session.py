@@ -1,8 +1,9 @@
 """Session settings and the shared scratch folder.
 
-Every public entry point calls :func:`configure` on the session it is given, so
-plans built by this package see the same time zone and join policy whether the
-caller built the session or we did.
+Entry points build their plans inside :func:`settings`, so results don't depend
+on the caller's time zone or ANSI mode, and the caller's session stays as it
+was.  The join policy of :data:`SESSION_CONF` holds for sessions made by
+:func:`build_session`; in others the caller's thresholds hold.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,12 +38,29 @@ SESSION_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SESSION_CONF` to an existing session (idempotent)."""
-    for key, value in SESSION_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
-    return spark
+#: What results depend on; Spark takes it over when a plan is built.
+RESULT_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.decimalOperations.allowPrecisionLoss": "true",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession) -> Iterator[SparkSession]:
+    """:data:`RESULT_CONF` while plans are built; the caller's values come back."""
+    before = {k: spark.conf.get(k, None) for k in RESULT_CONF}
+    for k, v in RESULT_CONF.items():
+        if before[k] != v:
+            spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            elif v != RESULT_CONF[k]:
+                spark.conf.set(k, v)
 
 
 def build_session(
@@ -63,7 +83,7 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
-    return configure(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -87,7 +107,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(root)
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS, S3, ...)")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickfold-ckpt-"))

@@ -4,8 +4,6 @@ Writes are parallel: every task writes its own part file into the output
 folder, and the committer publishes the folder atomically.  AQE coalesces the
 last shuffle to its advisory partition size, so a small (gold) report comes
 out as one part file and a large one as several, each in sort order.
-``single_file=True`` forces one part file with ``coalesce(1)``: one task then
-writes everything, so use it only for outputs known to be small.
 """
 
 from __future__ import annotations
@@ -16,7 +14,7 @@ from pyspark.sql import types as T
 
 # Fixed value: the index is printed with two decimals (``2277.80``), as a
 # decimal column is; prices print as doubles (``149.7``).
-INDEX_TEXT_TYPE = T.DecimalType(12, 2)
+INDEX_TEXT_TYPE = T.DecimalType(38, 2)
 
 # Output folder name of each report.
 OUTPUT_NAMES = {
@@ -27,18 +25,19 @@ OUTPUT_NAMES = {
 }
 
 
-def as_text_columns(df: DataFrame) -> DataFrame:
-    """Report columns in their printed types (``market_index`` as decimal)."""
-    if "market_index" not in df.columns:
+def as_text_columns(df: DataFrame, decimals: int | None = None) -> DataFrame:
+    """``df``, with ``market_index`` printed with two decimals if the report was
+    rounded to two; any other report is written as it is."""
+    if decimals != INDEX_TEXT_TYPE.scale or "market_index" not in df.columns:
         return df
     return df.withColumn("market_index", F.col("market_index").cast(INDEX_TEXT_TYPE))
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite",
+def write_csv(df: DataFrame, path: str, decimals: int | None = None, mode: str = "overwrite",
               header: bool = True) -> str:
-    """CSV with a header line; an empty frame still writes the header."""
-    df = as_text_columns(df)
-    out = df.coalesce(1) if single_file else df
+    """CSV with a header line; an empty frame still writes the header.
+    ``decimals`` says what the report was rounded to (None: not at all)."""
+    out = as_text_columns(df, decimals)
     out.write.mode(mode).option("header", str(header).lower()).csv(path)
     return path
 
@@ -54,7 +53,8 @@ def with_date_parts(report: DataFrame, label_col: str) -> DataFrame:
 
 
 def write_partitioned_csv(report: DataFrame, path: str, label_col: str,
-                          mode: str = "overwrite", cluster: bool = True) -> str:
+                          mode: str = "overwrite", cluster: bool = True,
+                          decimals: int | None = None) -> str:
     """CSV partitioned by ``year`` (and ``month``) folders, so readers that
     filter on them list only matching folders.
 
@@ -64,7 +64,7 @@ def write_partitioned_csv(report: DataFrame, path: str, label_col: str,
     rows is still cut into many tasks by ticker.  A report already sorted by
     period (range-partitioned the same way) passes ``cluster=False``.
     """
-    df = with_date_parts(as_text_columns(report), label_col)
+    df = with_date_parts(as_text_columns(report, decimals), label_col)
     parts = ["year"] + (["month"] if "month" in df.columns else [])
     if cluster:
         df = df.repartitionByRange(*parts, "ticker")

@@ -109,15 +109,14 @@ def orders_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = False) -> DataFrame:
     """``(doc_id, timestamp, transactions)`` built from orders and lineitem.
 
-    The lines of each scan split are sorted by order (locally, no shuffle) and
-    cut into chunks of at most :data:`DOCUMENT_CHUNK` neighbouring rows; lines
-    are grouped per (order, chunk) *before* any join,
-    so no document - and no group building one - grows with a hot order, and
-    the grouping shuffle spreads a hot order's chunks over many tasks.  The
-    chunks then meet their order's date in an inner join, which nothing
-    downstream needs clustered by order, so AQE is free to split a hot order's
-    partition.  Orders without any line are added by an anti join against the
-    *distinct* line keys, which a partial aggregate shrinks before the shuffle.
+    A document holds an order's lines numbered 1 to 64, the next one 65 to 128,
+    and so on: whichever splits or tasks read them, the same documents come
+    out, and none (and no group building one) grows with a hot order.  Lines
+    are grouped per (order, chunk) *before* any join; the chunks then meet their
+    order's date in an inner join, which nothing downstream needs clustered by
+    order, so AQE is free to split a hot order's partition.  Orders without any
+    line are added by an anti join against the *distinct* line keys, which a
+    partial aggregate shrinks before the shuffle.
     ``element_stamps=True`` also stores each line's ``l_shipdate`` as the
     element's own ``timestamp``.
     """
@@ -126,14 +125,8 @@ def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = Fal
         fields = [F.col("l_shipdate").alias("timestamp"), *fields]
     lineitem = table(spark, sf_dir, "lineitem")
     chunks = (
-        lineitem.select("l_orderkey", F.struct(*fields).alias("trade"))
-        # Order the lines of each scan split by order (a local sort, no
-        # shuffle), so an order's lines are neighbours when they are numbered.
-        .sortWithinPartitions("l_orderkey")
-        .select("l_orderkey", "trade",
-                # exact integer division: ids pass 2**53 beyond a million splits
-                F.call_function("div", F.monotonically_increasing_id(),
-                                F.lit(DOCUMENT_CHUNK)).alias("chunk"))
+        lineitem.select("l_orderkey", F.struct(*fields).alias("trade"),
+                        F.expr(f"(l_linenumber - 1) div {DOCUMENT_CHUNK}").alias("chunk"))
         .groupBy("l_orderkey", "chunk")
         .agg(F.collect_list("trade").alias("transactions"))
     )

@@ -2,41 +2,67 @@
 
 A document store is read through its Spark connector (``fmt="mongodb"`` with
 ``connection.uri`` / ``database`` / ``collection`` options) when that jar is on
-the classpath; files of the same shape are read with an explicit schema so no
-sampling pass runs over the data.
+the classpath; files of the same shape are read with the types they have.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickfold import schemas
+from tickfold.functions.time import as_timestamp
 
 
 def read_documents(
     spark: SparkSession,
     path: str | None = None,
     fmt: str = "json",
-    schema: T.StructType | None = schemas.DOCUMENT,
+    schema: T.StructType | None = None,
     options: dict[str, str] | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read documents ``(timestamp, transactions: array<struct>)``.
 
-    ``schema=None`` lets the source supply it (connectors, parquet).
+    By default the source supplies the types, as the document store's connector
+    does: JSON is read once to infer them (``options={"samplingRatio": ...}``
+    makes that pass smaller), stamps stay text and are parsed by the hourly
+    step, lines that are no JSON are kept in ``_corrupt_record``.  ``schema``
+    (``schemas.DOCUMENT_OPEN``, or ``DOCUMENT`` for files this package wrote)
+    saves the pass.  ``multiline`` reads files that hold one JSON array.
     """
     reader = spark.read.format(fmt)
     if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE").option(
+        reader = reader.option("mode", "PERMISSIVE").option("multiLine", str(multiline).lower()).option(
             "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]")
     if options:
         reader = reader.options(**options)
     if schema is not None and fmt != "parquet":
         reader = reader.schema(schema)
-    df = reader.load(path) if path is not None else reader.load()
-    if schema is not None and fmt == "parquet":
-        df = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
-    return df
+    return reader.load(path) if path is not None else reader.load()
+
+
+def document_quality(documents: DataFrame) -> DataFrame:
+    """One row of counts: what a run over ``documents`` cannot use as it is.
+
+    ``documents``, ``corrupt`` (no JSON), ``null_stamps``, ``unparsed_stamps``
+    (text that is no stamp), ``trades``, ``null_shares``, ``null_prices``.
+    One aggregate; arrays are counted in place.
+    """
+    stamp = as_timestamp("timestamp", documents.schema["timestamp"].dataType)
+    corrupt = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in documents.columns else F.lit(False)
+    trades = F.coalesce(F.col("transactions"), F.array())
+
+    def nulls(field: str):
+        return F.sum(F.size(F.filter(trades, lambda t: t[field].isNull()))).alias(f"null_{field}")
+
+    return documents.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(corrupt).alias("corrupt"),
+        F.count_if(F.col("timestamp").isNull()).alias("null_stamps"),
+        F.count_if(F.col("timestamp").isNotNull() & stamp.isNull()).alias("unparsed_stamps"),
+        F.sum(F.size(trades)).alias("trades"), nulls("shares"),
+        nulls("price").alias("null_prices"))
 
 
 def document_store_options(uri: str, database: str, collection: str) -> dict[str, str]:

@@ -8,6 +8,8 @@ A JDBC scan without partition bounds is one task on one connection.  Pass
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: the MySQL driver class the relational tables are read with.
@@ -29,9 +31,12 @@ def jdbc_options(
 ) -> dict[str, str]:
     """Reader options of one JDBC table.  ``prefer_timestamp_ntz`` reads
     zone-less SQL timestamps (MySQL ``DATETIME``) as ``timestamp_ntz``, so the
-    wall-clock hour does not move with the JVM's zone."""
+    wall-clock hour does not move with the JVM's zone.  Spark splits scans on
+    numbers, dates and zoned timestamps only, so a scan that is split on a
+    stamp (bounds that are no numbers) reads it zoned; it is UTC like the plans."""
     opts = {"url": url, "dbtable": table}
-    if prefer_timestamp_ntz:
+    split_on_stamp = lower_bound is not None and not re.fullmatch(r"-?\d+(\.\d+)?", str(lower_bound))
+    if prefer_timestamp_ntz and not split_on_stamp:
         opts["preferTimestampNTZ"] = "true"
     if driver:
         opts["driver"] = driver
@@ -74,25 +79,23 @@ def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str
                      upper_bound=hi, num_partitions=num_partitions, **kwargs)
 
 
-def read_jdbc_properties(spark: SparkSession, url: str, table: str,
-                         properties: dict[str, str] | None = None, column: str | None = None,
-                         lower_bound: int | None = None, upper_bound: int | None = None,
-                         num_partitions: int | None = None) -> DataFrame:
-    """The ``spark.read.jdbc(url, table, properties=...)`` form of the same
-    scan (S5), with the optional partitioned-read arguments."""
-    return spark.read.jdbc(url, table, column=column, lowerBound=lower_bound,
-                           upperBound=upper_bound, numPartitions=num_partitions,
-                           properties=properties or {})
-
-
 def read_tables(spark: SparkSession, url: str, user: str | None, password: str | None,
                 company_table: str = "company_info", index_table: str = "market_index",
-                driver: str | None = MYSQL_DRIVER, **partitioning) -> tuple[DataFrame, DataFrame]:
-    """Both relational tables of the pipeline; ``partitioning`` goes to the index scan."""
+                driver: str | None = MYSQL_DRIVER, partition_column: str | None = None,
+                lower_bound=None, upper_bound=None,
+                num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both relational tables of the pipeline; the partitioning is that of the
+    index scan, whose bounds are asked of the database if they are not given."""
     companies = read_jdbc(spark, url=url, table=company_table, user=user,
                           password=password, driver=driver)
-    index = read_jdbc(spark, url=url, table=index_table, user=user, password=password,
-                      driver=driver, **partitioning)
+    access = {"url": url, "table": index_table, "user": user, "password": password, "driver": driver}
+    if partition_column and lower_bound is None:
+        index = read_jdbc_partitioned(spark, column=partition_column,
+                                      num_partitions=num_partitions or 8, **access)
+    else:
+        index = read_jdbc(spark, partition_column=partition_column, lower_bound=lower_bound,
+                          upper_bound=upper_bound,
+                          num_partitions=num_partitions if partition_column else None, **access)
     return companies, index
 
 
