@@ -2,7 +2,6 @@
 measured or checked sides, rollups do not sort."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tickfold.operators.joins import bounded_size, join_company, join_dimension

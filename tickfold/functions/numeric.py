@@ -45,10 +45,6 @@ def exact_product(shares: T.DataType, price: T.DataType) -> bool:
             and price.precision - price.scale <= SUM_INTEGER_DIGITS)
 
 
-def decimal_scale(dtype: T.DataType) -> int:
-    return dtype.scale if isinstance(dtype, T.DecimalType) else 0
-
-
 def mean_half_up(total: Column | str, total_scale: int, count: Column | str,
                  decimals: int) -> Column:
     """``round_half_up(total / count, decimals)`` as a decimal; null when
