@@ -193,6 +193,15 @@ def test_multiline_array_fractions_and_corrupt_lines(spark):
     assert row.null_shares == 1 and row.null_prices == 1
 
 
+def test_tiny_prices_keep_their_digits(spark):
+    rows = spark.createDataFrame([("2024-10-01 09:00:00", "A", 3, 1.2e-7)],
+                                 "timestamp string, ticker string, shares long, price double")
+    for kind in ("double", "decimal(18,8)", "decimal(24,8)"):
+        r = silver.core(rows.withColumn("price", F.col("price").cast(kind)),
+                        index(spark, [("2024-10-01 09:00:00", 1.0)])).first()
+        assert abs(float(r.avg_price) - 1.2e-7) < 1e-12, kind
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_large_prices_and_wide_index(spark, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")

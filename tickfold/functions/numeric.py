@@ -40,9 +40,12 @@ def is_whole(dtype: T.DataType) -> bool:
 
 
 def exact_product(shares: T.DataType, price: T.DataType) -> bool:
-    """Whole shares times a decimal price whose product and sum keep all digits."""
-    return (is_whole(shares) and isinstance(price, T.DecimalType)
-            and price.precision - price.scale <= SUM_INTEGER_DIGITS)
+    """Whole shares times a decimal price whose product and sum keep all digits
+    (a product beyond 38 digits keeps 6 decimals by Spark's rules)."""
+    if not (is_whole(shares) and isinstance(price, T.DecimalType)):
+        return False
+    digits = 20 if isinstance(shares, T.LongType) else 10
+    return price.scale <= 6 or price.precision + digits + 1 <= 38
 
 
 def mean_half_up(total: Column | str, total_scale: int, count: Column | str,
