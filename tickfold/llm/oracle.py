@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tickfold.llm.licenses import KNOWN, SPELLINGS
+from tickfold.llm.quality_rules import (FENCE, MAX_REPEAT_PERCENT, MILLION, MIN_GROUP, MIN_WORDS, RATES,
+                                        WINDOW)
 
 OP5 = """
 WITH d AS (
@@ -72,5 +74,75 @@ FROM whole LEFT JOIN known ON text_digest = digest LEFT JOIN notice USING (doc_i
 """
 
 
+def _cutoffs() -> str:
+    rates = ", ".join(f"{{'rate': '{r}', 'v': CASE WHEN {bottom} > 0 THEN {top} * {MILLION} // {bottom} END}}"
+                      for r, (top, bottom, _, _) in RATES.items())
+    least = " ".join(f"WHEN '{r}' THEN {v[2]}" for r, v in RATES.items())
+    both = ", ".join(f"'{r}'" for r, v in RATES.items() if v[3] == "both")
+    quartile = ("min(cell) FILTER (upto * 4 >= docs) AS q1, min(cell) FILTER (upto * 4 >= docs * 3) AS q3, "
+                "any_value(docs) AS docs")
+
+    def grouped(*keys: str) -> str:
+        by = ", ".join([*keys, "rate"])
+        return f"""(
+  SELECT {by}, {quartile} FROM (
+    SELECT {by}, cell, sum(n) OVER (PARTITION BY {by}) AS docs, sum(n) OVER (PARTITION BY {by} ORDER BY cell) AS upto
+    FROM (SELECT {by}, cell, count(*) AS n FROM sketched GROUP BY {by}, cell)) GROUP BY {by})"""
+
+    def pick(q: str) -> str:
+        return (f"CASE WHEN own.docs >= {MIN_GROUP} THEN own.{q} WHEN l.docs >= {MIN_GROUP} THEN l.{q} ELSE a.{q} END")
+
+    return f"""
+rated AS (
+  SELECT doc_id, lang, source, base_failed, unnest([{rates}], recursive := true) FROM judged),
+sketched AS (
+  SELECT lang, source, rate, (v >> greatest(0, length(bin(v)) - 5)) << greatest(0, length(bin(v)) - 5) AS cell
+  FROM rated WHERE NOT base_failed AND v IS NOT NULL),
+cut AS (
+  SELECT own.lang, own.source, own.rate, {pick('q1')} AS low, {pick('q3')} AS high,
+         {FENCE} * greatest(high - low, CASE own.rate {least} END) AS spread
+  FROM {grouped('lang', 'source')} own
+  JOIN {grouped('lang')} l ON own.lang IS NOT DISTINCT FROM l.lang AND own.rate = l.rate
+  JOIN {grouped()} a ON own.rate = a.rate),
+verdict AS (
+  SELECT doc_id, bool_and(coalesce(v <= high + spread AND (r.rate NOT IN ({both}) OR v >= low - spread), true)) AS ok
+  FROM rated r LEFT JOIN cut ON r.lang IS NOT DISTINCT FROM cut.lang
+    AND r.source IS NOT DISTINCT FROM cut.source AND r.rate = cut.rate
+  GROUP BY doc_id)"""
+
+
+OP10 = f"""
+WITH t AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + {WINDOW - 1}], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS s FROM t WHERE len(w) >= {WINDOW})),
+again AS (SELECT doc_id, s FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS n FROM win) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i) AS n
+  FROM (SELECT doc_id, unnest(range(s, s + {WINDOW})) AS i FROM again) GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
+         (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_upper,
+         (length(text) - length(replace(text, '!', '')))::BIGINT AS n_marks
+  FROM t LEFT JOIN covered USING (doc_id)),
+judged AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM counted),{_cutoffs()}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND ok AS kept
+FROM judged JOIN verdict USING (doc_id)
+"""
+
+
 def oracle_sql():
-    return {"op1_warc": OP1, "op3_licenses": OP3, "op5_exact_dedup": OP5, "op8_substring_dedup": OP8}
+    return {"op1_warc": OP1, "op3_licenses": OP3, "op5_exact_dedup": OP5, "op8_substring_dedup": OP8,
+            "op10_quality_rules": OP10}
