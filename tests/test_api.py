@@ -106,6 +106,8 @@ def test_ingest_and_run_from_config(spark, monkeypatch):
     assert seen["company_table"] == "company_info" and trades.count() == 6000
     assert (seen["partition_column"], seen["num_partitions"]) == ("timestamp", 4)
     out = p.run(config)
+    quality = spark.read.json(f"{config['output_path']}/_quality").first()
+    assert (quality.trades, quality.null_stamps, quality.null_shares) == (6000, 0, 0)
     quarterly = read_csv(spark, out["quarter"], report_schema("quarter"))
     want = gold.rollup(silver.core(trades, index), companies, "quarter")
     assert quarterly.exceptAll(want).count() == 0 and want.exceptAll(quarterly).count() == 0

@@ -88,16 +88,18 @@ class TradeProcessor:
             config.get("company_info_table", "company_info"),
             config.get("market_index_table", "market_index"),
             driver=config.get("jdbc_driver", MYSQL_DRIVER), **split)
+        return companies, index, explode_transactions(self.documents(config))
+
+    def documents(self, config: dict[str, str]) -> DataFrame:
+        """The documents that :meth:`ingest_data` explodes, as their source has them."""
         if config.get("documents_path"):
-            docs = read_documents(self.spark, config["documents_path"],
+            return read_documents(self.spark, config["documents_path"],
                                   fmt=config.get("documents_format", "json"),
                                   multiline=str(config.get("documents_multiline", "")).lower() == "true")
-        else:
-            docs = read_documents(
-                self.spark, fmt="mongodb",
-                options=document_store_options(config["mongodb_uri"], config["mongo_db"],
-                                               config["mongo_collection"]))
-        return companies, index, explode_transactions(docs)
+        return read_documents(
+            self.spark, fmt="mongodb",
+            options=document_store_options(config["mongodb_uri"], config["mongo_db"],
+                                           config["mongo_collection"]))
 
     # M3 ---------------------------------------------------------------------
     def aggregate_hourly_transactions(self, transactions: DataFrame) -> DataFrame:
@@ -153,9 +155,10 @@ class TradeProcessor:
     def run(self, config: dict[str, str]) -> dict[str, str]:
         """The whole run: ingest, silver once, gold, CSV outputs under
         ``config["output_path"]``."""
-        companies, index, trades = self.ingest_data(config)
-        return medallion.run(self.spark, Inputs(companies=companies, index=index, trades=trades),
-                             config["output_path"])
+        companies, index, _ = self.ingest_data(config)
+        return medallion.run(
+            self.spark, Inputs(companies=companies, index=index, documents=self.documents(config)),
+            config["output_path"])
 
 
 __all__ = ["TradeProcessor", "create_spark_session", "core_from_report"]

@@ -20,15 +20,17 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickfold.functions.numeric import REPORT_DECIMALS
-from tickfold.functions.time import GRAINS, LABEL_COLUMNS
-from tickfold.operators.index import index_hourly
+from tickfold.functions.time import GRAINS, LABEL_COLUMNS, as_timestamp
+from tickfold.operators.index import duplicate_hours, index_hourly
 from tickfold.operators.rollup import period_state
 from tickfold.plans import gold, silver
 from tickfold.session import checkpoint_root, settings
 from tickfold.sinks.csv import OUTPUT_NAMES, write_csv, write_partitioned_csv
 from tickfold.sources.adapters import Inputs
+from tickfold.sources.documents import document_quality
 
 
 def materialise(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -46,6 +48,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def within(df: DataFrame, time_range: tuple[str, str]) -> DataFrame:
+    """Rows with a stamp from the first time on and before the second."""
+    kind = df.schema["timestamp"].dataType
+    stamp = as_timestamp("timestamp", kind) if isinstance(kind, T.StringType) else F.col("timestamp")
+    first, end = (F.lit(x).cast(T.TimestampNTZType()) for x in time_range)
+    return df.where((stamp >= first) & (stamp < end))
+
+
 def run(
     spark: SparkSession,
     inputs: Inputs,
@@ -59,6 +69,9 @@ def run(
     """Run the pipeline and return ``{grain: output folder}`` (``"hour"`` is
     the silver report).
 
+    Beside the reports, ``_quality`` counts what the documents hold that cannot
+    be used (null or unparsed stamps, null shares and prices, corrupt lines) and
+    ``_duplicate_hours`` lists hours with several index rows.
     ``time_range`` (from, before) limits a rerun to the trades and index rows
     of these stamps, a filter that reaches the scan.  The folder
     ``_complete`` beside the reports lists them and is written last: a set of
@@ -70,8 +83,7 @@ def run(
     with settings(spark):
         trades, index = silver.trades_of(inputs), inputs.index
         if time_range:
-            trades, index = (x.where(F.col("timestamp") >= F.lit(time_range[0]))
-                             .where(F.col("timestamp") < F.lit(time_range[1])) for x in (trades, index))
+            trades, index = within(trades, time_range), within(index, time_range)
         by_hour = materialise(spark, index_hourly(index), f"{work}/index")
         core = materialise(spark, silver.joined_core(trades, by_hour, check=True), f"{work}/silver-core")
         reports = {"hour": silver.report(core, inputs.companies, round_decimals=hourly_round)}
@@ -92,6 +104,10 @@ def run(
             return write_csv(reports[grain], path, decimals[grain])
 
         remove_folder(spark, f"{output_path.rstrip('/')}/_complete")
+        if inputs.documents is not None:
+            document_quality(inputs.documents).write.mode("overwrite").json(f"{output_path.rstrip('/')}/_quality")
+        duplicate_hours(by_hour, "datetime", "market_index").write.mode("overwrite").json(
+            f"{output_path.rstrip('/')}/_duplicate_hours")
         with ThreadPoolExecutor(max_workers=len(reports)) as pool:
             paths = dict(zip(reports, pool.map(write, reports)))
         done = F.inline(F.array(*[F.struct(F.lit(run_id).alias("run_id"), F.lit(g).alias("grain"),
