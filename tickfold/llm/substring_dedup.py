@@ -9,15 +9,18 @@ text is shuffled once and that exchange serves all steps:
 1. Each block sends the distinct 40-bit hashes of its windows, by hash range;
    a range answers which hashes other blocks have as well.  This only sorts out
    windows that cannot repeat; it decides nothing.
-2. The other windows are suffixes to be compared word by word.  A block sends
-   one suffix per distinct window, with the least doc_id it has there, to the
-   group of the suffix's prefix.  Prefixes have 1 to 8 words, or all of the
-   window: as many as it takes until no more than GROUP suffixes of the corpus
-   share the prefix's cell, counted beforehand.  Groups thus fit in memory.
-3. A group sorts its suffixes, and neighbours with common prefixes give its
-   subtree; inner nodes at depth WINDOW are the repeats (a longer, maximal
-   repeat is a run of them in its document).  A window in very many documents
-   is one suffix for each block here, not one for each occurrence.
+2. The other windows are compared word by word, in groups.  A window belongs to
+   the suffix that starts at its anchor (its word with the least hash), and goes
+   to the group of that suffix's prefix: 1 to 8 words within the window, as many
+   as it takes until no more than GROUP windows of the corpus share the
+   prefix's cell, counted beforehand, or else the whole window.  Groups thus fit
+   in memory.  Neighbouring windows mostly share their anchor and travel as one
+   stretch of text.  A block sends each distinct window once, with the least
+   doc_id it has there, so a window in very many documents costs a row for each
+   block, not one for each occurrence.
+3. A group sorts its windows; neighbours with common prefixes give its subtree,
+   whose inner nodes at depth WINDOW are the repeats (a longer, maximal repeat
+   is a run of them in its document).
 4. Blocks mark the words of windows whose repeat starts in a smaller doc_id.
 
 The smallest document that holds a window decides, so a null doc_id counts as
@@ -30,6 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -40,9 +44,9 @@ from tickfold.llm.common import text_or_empty
 WINDOW = 13
 #: Characters of a block of documents.
 BLOCK_CHARS = 4_000_000
-#: Suffixes that a group holds at most (but for one window's own, a row per block).
+#: Windows that a group holds at most (but for one window's own, a row per block).
 GROUP = 250_000
-#: Words of the prefixes, and cells by which their suffixes are counted.
+#: Words of the prefixes, and cells by which their windows are counted.
 PREFIXES = (1, 2, 3, 5, 8)
 CELLS = 1 << 13
 LAST = 2**63 - 1
@@ -56,19 +60,83 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+class Windows:
+    """All windows of some documents, given as lists of words, in their order.
 
+    ``pos``: the place of a window's first word among all words; ``doc``: its
+    document; ``hashes``: 64 bits of its words.
+    """
 
-def prefix_hashes(hashes: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
-    """For each length, the hash of that many words from each window's start on."""
-    n, out = max(0, len(hashes) - WINDOW + 1), []
-    rolled = np.zeros(n, np.uint64)
-    for k in range(max(lengths)):
-        rolled = rolled * _STEP + hashes[k:k + n]
-        if k + 1 in lengths:
-            out.append(mix(rolled + np.uint64(k)))
-    return out
+    def __init__(self, documents: list[list[bytes]]):
+        sizes = np.array([len(x) for x in documents], np.int64)
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        self.words = [w for x in documents for w in x]
+        self.of_word = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+        owner = np.repeat(np.arange(len(documents), dtype=np.int32), sizes)
+        n = max(0, len(self.words) - WINDOW + 1)
+        self.pos = np.flatnonzero(owner[:n] == owner[len(owner) - n:])
+        self.doc = owner[self.pos]
+        self.hashes = self.prefixes((WINDOW,))[0][self.pos]
+
+    def prefixes(self, lengths: tuple[int, ...]) -> list[np.ndarray]:
+        """For each length, the hash of that many words from each word on (0 beyond the last)."""
+        out, n = [], len(self.of_word)
+        rolled = np.zeros(n, np.uint64)
+        for k in range(max(lengths)):
+            rolled *= _STEP
+            rolled[:n - k] += self.of_word[k:]
+            if k + 1 in lengths:
+                out.append(mix(rolled + np.uint64(k)))
+        return out
+
+    def anchors(self, which: np.ndarray) -> np.ndarray:
+        """The place of the word with the least hash (the first such) of each window."""
+        at = self.pos[which].copy()
+        least = self.of_word[at]
+        for k in range(1, WINDOW):
+            h = self.of_word[self.pos[which] + k]
+            less = h < least
+            least[less] = h[less]
+            at[less] = self.pos[which][less] + k
+        return at
+
+    def levels(self, which: np.ndarray):
+        """(anchor prefix hashes, whether the window holds the prefix) by level."""
+        anchor = self.anchors(which)
+        room = self.pos[which] + WINDOW - anchor
+        return [(h[anchor], room >= k) for k, h in zip(PREFIXES, self.prefixes(PREFIXES), strict=True)], anchor
+
+    def groups(self, which: np.ndarray, crowded: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+        """The group and the anchor of each window."""
+        levels, anchor = self.levels(which)
+        key, chosen = self.hashes[which].copy(), np.zeros(len(anchor), bool)
+        for (h, fits), full in zip(levels, crowded, strict=True):
+            now = fits & ~chosen & ~full[(h % np.uint64(CELLS)).astype(np.int64)]
+            key[now] = h[now]
+            chosen |= now
+        return (mix(key) % np.uint64(groups)).astype(np.int64), anchor
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first window of each word sequence, and for each window the number of its own."""
+        _, first, number = np.unique(self.hashes, return_index=True, return_inverse=True)
+        same = first[number]
+        ends = (self.of_word[self.pos + k] == self.of_word[self.pos[same] + k] for k in (0, WINDOW - 1))
+        if not all(x.all() for x in ends):  # equal hashes of unlike windows: by the words
+            seen: dict[bytes, int] = {}
+            texts = [b" ".join(self.words[p:p + WINDOW]) for p in self.pos.tolist()]
+            number = np.array([seen.setdefault(t, len(seen)) for t in texts], np.int64)
+            _, first = np.unique(number, return_index=True)
+        return first, number
+
+
+class Block(Windows):
+    """The windows of a block's documents, smallest id first."""
+
+    def __init__(self, docs: pa.Table):
+        order = np.argsort(docs["doc_id"].to_numpy(), kind="stable")
+        self.ids = docs["doc_id"].to_numpy()[order]
+        texts = docs["text"].to_pylist()
+        super().__init__([texts[i].encode().split() for i in order.tolist()])
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -81,97 +149,53 @@ def unsqueeze(blob: bytes) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(5, -1)
     steps = np.zeros((raw.shape[1], 8), np.uint8)
     steps[:, :5] = raw.T
-    return np.cumsum(steps.view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
-
-
-class Block:
-    """The documents of a block, smallest id first, and all their windows."""
-
-    def __init__(self, docs: pa.Table):
-        order = np.argsort(docs["doc_id"].to_numpy(), kind="stable")
-        self.ids = docs["doc_id"].to_numpy()[order]
-        self.words = [docs["text"][i].as_py().encode().split() for i in order.tolist()]
-        found = [prefix_hashes(word_hashes(w), (WINDOW,))[0] for w in self.words]
-        sizes = np.array([len(x) for x in found], np.int64)
-        self.hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(found), dtype=np.int32), sizes)
-        self.start = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]) \
-            if len(sizes) else np.zeros(0, np.int32)
-
-    def window(self, doc: int, start: int) -> bytes:
-        return b" ".join(self.words[doc][start:start + WINDOW])
-
-    def within(self) -> np.ndarray:
-        """Which windows have a hash that two documents of the block share."""
-        order = np.argsort(self.hashes, kind="stable")
-        h, ids = self.hashes[order], self.ids[self.doc[order]]
-        new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
-        run = np.cumsum(new) - 1
-        ends = np.flatnonzero(np.r_[new[1:], True]) if len(h) else np.zeros(0, np.int64)
-        several = ids[np.flatnonzero(new)] != ids[ends]  # ids ascend within a run
-        out = np.zeros(len(h), bool)
-        out[order] = several[run]
-        return out
-
-    def first(self, which: np.ndarray) -> dict[bytes, tuple[int, int]]:
-        """The first place of each distinct window among ``which``."""
-        found: dict[bytes, tuple[int, int]] = {}
-        for i in np.flatnonzero(which).tolist():
-            at = int(self.doc[i]), int(self.start[i])
-            found.setdefault(self.window(*at), at)
-        return found
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
 def count_prefixes(batches):
-    """(level, cell, n): suffixes of these rows by the cell of each prefix."""
+    """(level, cell, n): windows of these rows by the cell of each anchor prefix."""
     counts = np.zeros((len(PREFIXES), CELLS), np.int64)
+    held, size = [], 0
     for batch in batches:
         for text in batch.column(0):
-            hashes = word_hashes(text.as_py().encode().split())
-            for level, h in enumerate(prefix_hashes(hashes, PREFIXES)):
-                counts[level] += np.bincount((h % CELLS).astype(np.int64), minlength=CELLS)
+            held.append(text.as_py().encode().split())
+            size += len(held[-1])
+            if size > 500_000:
+                counts += _cells(held)
+                held, size = [], 0
+    counts += _cells(held)
     level, cell = np.nonzero(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(level.astype(np.int32)), pa.array(cell.astype(np.int32)),
          pa.array(counts[level, cell])], names=["level", "cell", "n"])
 
 
-def suffix_groups(words: list[list[bytes]], crowded: np.ndarray, groups: int) -> np.ndarray:
-    """The group of each window given by its words: that of its shortest prefix
-    whose cell is not crowded, else of the whole window."""
-    hashes = np.stack([word_hashes(w) for w in words])
-    rolled, out = np.zeros(len(words), np.uint64), np.full(len(words), -1, np.int64)
-    for k in range(WINDOW):
-        rolled = rolled * _STEP + hashes[:, k]
-        if k + 1 in PREFIXES or k + 1 == WINDOW:
-            h = mix(rolled + np.uint64(k))
-            open_ = out < 0
-            if k + 1 in PREFIXES:
-                open_ &= ~crowded[PREFIXES.index(k + 1)][(h % CELLS).astype(np.int64)]
-            out[open_] = (mix(h) % np.uint64(groups)).astype(np.int64)[open_]
-    return out
+def _cells(documents: list[list[bytes]]) -> np.ndarray:
+    windows = Windows(documents)
+    levels, _ = windows.levels(np.arange(len(windows.pos)))
+    return np.stack([np.bincount((h[fits] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+                     for h, fits in levels])
 
 
-def repeats(suffixes: list[bytes], ids: np.ndarray) -> np.ndarray:
-    """For each suffix the least id of those that share its node at depth WINDOW.
+def repeats(windows: list[bytes], ids: np.ndarray) -> np.ndarray:
+    """For each window the least id of those that share its node at depth WINDOW.
 
-    Suffixes are sorted, so the leaves of a subtree lie side by side, and a node
-    is a stretch whose neighbours have that many leading words in common.
+    Sorted, the leaves of a subtree lie side by side, and a node at that depth
+    is a stretch of neighbours that have all their words in common.
     """
-    order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
-    same = [suffixes[a] == suffixes[b] for a, b in zip(order, order[1:], strict=False)]
-    starts = np.flatnonzero(np.r_[True, ~np.array(same, bool)])
+    order = sorted(range(len(windows)), key=windows.__getitem__)
+    unlike = [windows[a] != windows[b] for a, b in zip(order, order[1:], strict=False)]
+    starts = np.flatnonzero(np.array([True, *unlike]))
     order = np.array(order)
     least = np.minimum.reduceat(ids[order], starts)
     out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(least, np.diff(np.r_[starts, len(order)]))
+    out[order] = np.repeat(least, np.diff(np.append(starts, len(order))))
     return out
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the words
     left, joined by one space).  A null text has no words."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
     n_blocks, n_groups = 1 + chars // BLOCK_CHARS, 1 + 2 * chars // (6 * GROUP)
@@ -179,18 +203,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     counts = docs.select("text").mapInArrow(count_prefixes, "level int, cell int, n bigint")
     for level, cell in (counts.groupBy("level", "cell").agg(F.sum("n").alias("n"))
                         .filter(F.col("n") > GROUP).select("level", "cell").collect()):
-        crowded[level, cell] = True  # at most one bit for each prefix length and cell
-
-    def range_of(h: np.ndarray) -> np.ndarray:
-        return (h * np.uint64(n_groups)) >> np.uint64(40) if n_groups < 1 << 24 else h % n_groups
+        crowded[level, cell] = True  # one bit for each prefix length and cell
 
     def send_hashes(key, table):
         h = np.unique(Block(table).hashes >> np.uint64(24))
-        ranges, at = np.unique(range_of(h), return_index=True)
+        ranges, at = np.unique((h >> np.uint64(10)) * np.uint64(n_groups) >> np.uint64(30), return_index=True)
         blobs = [squeeze(x) for x in np.split(h, at[1:])] if len(h) else []
-        return pa.table({"grp": pa.array(ranges.astype(np.int64)), "block": [key[0].as_py()] * len(blobs),
-                         "blob": pa.array(blobs, pa.binary())},
-                        pa.schema([("grp", pa.int64()), ("block", pa.int64()), ("blob", pa.binary())]))
+        return pa.table({"grp": pa.array(ranges.astype(np.int64)), "block": pa.array([key[0].as_py()] * len(blobs), pa.int64()),
+                         "blob": pa.array(blobs, pa.binary())})
 
     def shared_hashes(table):
         sets = [unsqueeze(x) for x in table["blob"].to_pylist()]
@@ -200,73 +220,84 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         return pa.table({"block": table["block"], "blob": pa.array(map(squeeze, replies), pa.binary())})
 
     def send_suffixes(key, table, replies):
-        rows = {k: [] for k in ("grp", "block", "ids", "doc", "start", "blob")}
+        rows = {k: [] for k in ("grp", "block", "places", "blob")}
         known = [unsqueeze(x) for x in replies["blob"].to_pylist()]
         if known and table.num_rows:
             block = Block(table)
-            first = block.first(np.isin(block.hashes >> np.uint64(24), np.concatenate(known)))
-            if first:
-                suffixes, places = list(first), np.array(list(first.values()), np.int32)
-                group = suffix_groups([x.split(b" ") for x in suffixes], crowded, n_groups)
-                order = np.argsort(group, kind="stable")
-                _, at = np.unique(group[order], return_index=True)
-                for part in np.split(order, at[1:]):
-                    rows["grp"].append(int(group[part[0]]))
-                    rows["block"].append(key[0].as_py())
-                    rows["ids"].append(block.ids[places[part, 0]])
-                    rows["doc"].append(places[part, 0])
-                    rows["start"].append(places[part, 1])
-                    rows["blob"].append(zstandard.compress(b"\n".join(suffixes[i] for i in part), 1))
-        return pa.table(rows, pa.schema([
-            ("grp", pa.int64()), ("block", pa.int64()), ("ids", pa.list_(pa.int64())),
-            ("doc", pa.list_(pa.int32())), ("start", pa.list_(pa.int32())), ("blob", pa.binary())]))
+            first, _ = block.distinct()
+            known = np.sort(np.concatenate(known))
+            first = np.sort(first[np.isin(block.hashes[first] >> np.uint64(24), known)])
+            group, anchor = block.groups(first, crowded, n_groups)
+            pos = block.pos[first]
+            # A stretch: windows in a row with the same anchor and group.
+            new = np.flatnonzero((np.diff(pos, prepend=-9) != 1) | (np.diff(anchor, prepend=-9) != 0)
+                                 | (np.diff(group, prepend=-9) != 0))
+            n = np.diff(np.append(new, len(pos)))
+            pos, group, doc = pos[new], group[new], block.doc[first[new]]
+            order = np.argsort(group, kind="stable")
+            _, at = np.unique(group[order], return_index=True)
+            for part in np.split(order, at[1:]) if len(order) else ():
+                rows["grp"].append(int(group[part[0]]))
+                rows["block"].append(key[0].as_py())
+                rows["places"].append(zstandard.compress(
+                    np.stack([pos[part], n[part], block.ids[doc[part]]]).astype("<i8").tobytes(), 1))
+                rows["blob"].append(zstandard.compress(b"\n".join(
+                    [b" ".join(block.words[p:p + k + WINDOW - 1])
+                     for p, k in zip(pos[part].tolist(), n[part].tolist(), strict=True)]), 1))
+        return pa.table(rows, pa.schema([("grp", pa.int64()), ("block", pa.int64()),
+                                         ("places", pa.binary()), ("blob", pa.binary())]))
 
     def subtree(table):
-        sets = [zstandard.decompress(x).split(b"\n") for x in table["blob"].to_pylist()]
-        ids = table["ids"].combine_chunks().flatten().to_numpy()
-        least = repeats([x for s in sets for x in s], ids)
-        rows, at = {k: [] for k in ("block", "doc", "start", "least")}, 0
-        for block, doc, start, own in zip(*(table[c] for c in ("block", "doc", "start", "ids")), strict=True):
-            n = len(own)
-            smaller = least[at:at + n] < ids[at:at + n]
-            if smaller.any():
-                rows["block"].append(block.as_py())
-                rows["doc"].append(doc.values.to_numpy()[smaller])
-                rows["start"].append(start.values.to_numpy()[smaller])
-                rows["least"].append(least[at:at + n][smaller])
-            at += n
-        return pa.table(rows, pa.schema([
-            ("block", pa.int64()), ("doc", pa.list_(pa.int32())), ("start", pa.list_(pa.int32())),
-            ("least", pa.list_(pa.int64()))]))
+        places = [np.frombuffer(zstandard.decompress(x), "<i8").reshape(3, -1)
+                  for x in table["places"].to_pylist()]
+        windows: list[bytes] = []
+        for blob, (_, n, _) in zip(table["blob"].to_pylist(), places, strict=True):
+            for text, k in zip(zstandard.decompress(blob).split(b"\n"), n.tolist(), strict=True):
+                if k == 1:
+                    windows.append(text)
+                else:
+                    words = text.split(b" ")
+                    windows += [b" ".join(words[j:j + WINDOW]) for j in range(k)]
+        every = np.concatenate(places, axis=1)
+        ids = np.repeat(every[2], every[1])
+        least = repeats(windows, ids)
+        rows, at = {"block": [], "found": []}, 0
+        for block, (pos, n, own) in zip(table["block"].to_pylist(), places, strict=True):
+            size = int(n.sum())
+            low, mine = least[at:at + size], np.repeat(own, n)
+            where = np.repeat(pos - np.cumsum(n) + n, n) + np.arange(size)
+            at += size
+            less = low < mine
+            low, where = low[less], where[less]
+            if len(low):  # as runs of neighbours with the same least id
+                new = np.flatnonzero((np.diff(where, prepend=-9) != 1) | (np.diff(low, prepend=-1) != 0))
+                runs = np.stack([where[new], np.diff(np.append(new, len(low))), low[new]])
+                rows["block"].append(block)
+                rows["found"].append(zstandard.compress(runs.astype("<i8").tobytes(), 1))
+        return pa.table(rows, pa.schema([("block", pa.int64()), ("found", pa.binary())]))
 
     def finish(table, replies):
         block = Block(table)
-        least: dict[bytes, int] = {}
-        doc, start, low = (replies[c].combine_chunks().flatten().to_pylist()
-                           for c in ("doc", "start", "least"))
-        for d, s, x in zip(doc, start, low, strict=True):
-            least[block.window(d, s)] = x
-        offsets = np.searchsorted(block.doc, np.arange(len(block.ids)))
-        sent = block.hashes[offsets[doc] + np.array(start, np.int64)] if doc else block.hashes[:0]
-        which = block.within() | np.isin(block.hashes, sent)
-        covered = [None] * len(block.ids)
-        for i in np.flatnonzero(which).tolist():
-            d, s = int(block.doc[i]), int(block.start[i])
-            own = int(block.ids[d])
-            if least.setdefault(block.window(d, s), own) < own:
-                if covered[d] is None:
-                    covered[d] = np.zeros(len(block.words[d]) + 1, np.int64)
-                covered[d][s] += 1
-                covered[d][s + WINDOW] -= 1
+        first, number = block.distinct()
+        least = block.ids[block.doc[first]] if len(first) else np.zeros(0, np.int64)
+        for found in replies["found"].to_pylist():
+            pos, n, low = np.frombuffer(zstandard.decompress(found), "<i8").reshape(3, -1)
+            where = np.repeat(pos - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            sent = number[np.searchsorted(block.pos, where)]
+            least[sent] = np.minimum(least[sent], np.repeat(low, n))
+        gone = block.pos[least[number] < block.ids[block.doc]] if len(first) else block.pos
+        marks = np.zeros(len(block.words) + WINDOW + 1, np.int64)
+        np.add.at(marks, gone, 1)
+        np.add.at(marks, gone + WINDOW, -1)
+        covered = np.cumsum(marks) > 0
         out = {k: [] for k in ("doc_id", "n_words", "n_removed", "kept_sha256")}
-        for own, words, marks in zip(block.ids.tolist(), block.words, covered, strict=True):
-            kept = words
-            if marks is not None:
-                gone = np.cumsum(marks[:-1]) > 0
-                kept = [words[i] for i in np.flatnonzero(~gone).tolist()]
+        for own, a, z in zip(block.ids.tolist(), block.begin.tolist(), block.begin[1:].tolist(), strict=False):
+            kept = block.words[a:z]
+            if covered[a:z].any():
+                kept = [kept[i] for i in np.flatnonzero(~covered[a:z]).tolist()]
             out["doc_id"].append(None if own == LAST else own)
-            out["n_words"].append(len(words))
-            out["n_removed"].append(len(words) - len(kept))
+            out["n_words"].append(z - a)
+            out["n_removed"].append(z - a - len(kept))
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
         return pa.table(out, pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
                                         ("n_removed", pa.int64()), ("kept_sha256", pa.string())]))
@@ -277,9 +308,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shared = (by_block.applyInArrow(send_hashes, "grp bigint, block bigint, blob binary")
               .groupBy("grp").applyInArrow(shared_hashes, "block bigint, blob binary"))
     suffixes = by_block.cogroup(shared.groupBy("block")).applyInArrow(
-        send_suffixes, "grp bigint, block bigint, ids array<bigint>, doc array<int>, "
-        "start array<int>, blob binary")
-    nodes = suffixes.groupBy("grp").applyInArrow(
-        subtree, "block bigint, doc array<int>, start array<int>, least array<bigint>")
+        send_suffixes, "grp bigint, block bigint, places binary, blob binary")
+    nodes = suffixes.groupBy("grp").applyInArrow(subtree, "block bigint, found binary")
     return by_block.cogroup(nodes.groupBy("block")).applyInArrow(
         finish, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
