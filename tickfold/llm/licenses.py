@@ -64,15 +64,22 @@ SPELLINGS = (
 )
 
 
-def canonical(text: Column) -> Column:
-    """Lower case; without copyright lines; punctuation as one blank; one spelling."""
+def canonical_lines(text: Column) -> Column:
+    """Lower case; without copyright lines; punctuation as one blank; one spelling;
+    line breaks as they were."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     out = F.translate(text, upper, lower)
-    out = F.regexp_replace(out, r"(?m)^[^a-z0-9\n©]*(copyright|\(c\)|©|all rights reserved)([^a-z0-9\n][^\n]*)?$", " ")
-    out = F.regexp_replace(F.replace(out, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}]+", " ")
+    out = F.regexp_replace(
+        out, r"(?md)^[^a-z0-9\n©]*(copyright|\(c\)|©|all rights reserved)([^a-z0-9\n][^\n]*)?$", " ")
+    out = F.regexp_replace(F.replace(out, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}\n]+", " ")
     for old, new in SPELLINGS:
         out = F.regexp_replace(out, rf"\b{old}\b", new)
-    return F.trim(out)
+    return out
+
+
+def canonical(text: Column) -> Column:
+    """:func:`canonical_lines` as one line."""
+    return F.trim(F.regexp_replace(canonical_lines(text), "[ \n]+", " "))
 
 
 def digest(text: Column) -> Column:
@@ -98,8 +105,10 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     docs = docs.select("doc_id", text_or_empty().alias("text"))
     whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"))
     whole = whole.join(known.select(F.col("digest").alias("text_digest"), "license"), "text_digest", "left")
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
-    found = lines.select("doc_id", digest(F.col("line")).alias("digest")).join(known, "digest")
+    # The whole text is made canonical at once; its lines then only need their ends trimmed.
+    lines = docs.select("doc_id", F.explode(F.split(canonical_lines(F.col("text")), "\n")).alias("line"))
+    lines = lines.select("doc_id", F.trim("line").alias("line")).filter("line <> ''")
+    found = lines.select("doc_id", F.sha2("line", 256).alias("digest")).join(known, "digest")
     notices = found.groupBy("doc_id").agg(
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("notices"))
     notices = stored(notices, "license-notices").withColumnRenamed("doc_id", "id")
