@@ -18,8 +18,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -39,7 +41,7 @@ BUFFER_IDS = 1 << 19
 #: Ids of a full step group.
 STEP_IDS = 1 << 16
 #: Chunks of text whose ids a task remembers.
-CACHE = 400_000
+CACHE = 500_000
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, tier int, step_group bigint")
@@ -63,6 +65,8 @@ class Encoder:
     The vocabulary's splitting rule joins one blank to what follows and looks
     no further, so where every blank is followed by something else than white
     space, a text may be cut before its blanks and the ids of a chunk remembered.
+    In a new chunk, letters and the punctuation or line break after them are
+    parts of their own by the same rule, and remembered too.
     Other texts are encoded as they are.
     """
 
@@ -72,21 +76,74 @@ class Encoder:
         self.tokenizer = _tokenizer(path)
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def split(chunk: str) -> list[str]:
+        word, last = chunk[:-1], chunk[-1:]
+        if last in ".," and word.strip(" ").isalpha() and word.rfind(" ") < 1:
+            return [word, last]
+        left, line, right = chunk.partition("\n")
+        if line and not (left and right and not left[-1].isspace() and not right[0].isspace()):
+            return [chunk]
+        out = []
+        for part in (left, line, right) if line else (chunk,):
+            word = part.rstrip(".,!?;:")
+            if len(word) < len(part) and (word[1:] if word[:1] == " " else word).isalpha():
+                out += [word, part[len(word):]]
+            else:
+                out.append(part)
+        return out
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of texts that are a blank and letters: strung together, they are
+        split before each blank again, and the library says which ids are whose."""
+        strings = [words[at:at + 512] for at in range(0, len(words), 512)]
+        out: list[bytes] = []
+        for own, found in zip(strings, self.tokenizer.encode_batch(
+                ["".join(x) for x in strings], add_special_tokens=False), strict=True):
+            ids, of = array("I", found.ids).tobytes(), np.array(found.word_ids)
+            at = [*(4 * np.flatnonzero(np.diff(of, prepend=-1))).tolist(), len(ids)]
+            out += [ids[a:b] for a, b in pairwise(at)] if len(at) == len(own) + 1 else self._encode(own)
+        return out
+
+    def _learn(self, new: set[str]) -> None:
+        known = self.known
+        split = {c: self.split(c) for c in new if not c[1:].isalpha()}
+        parts = {p for c in split.values() for p in c if p not in known}
+        parts.update(c for c in new if c not in split)
+        words = [p for p in parts if p[:1] == " " and p[1:].isalpha()]
+        known.update(zip(words, self._encode_words(words), strict=True))
+        others = [p for p in parts if p not in known]
+        known.update(zip(others, self._encode(others), strict=True))
+        known.update((c, b"".join([known[p] for p in found])) for c, found in split.items())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [None if self.UNSAFE.search(x) else x.replace(" ", "\0 ").split("\0")
-                  if "\0" not in x else None for x in texts]
         if len(self.known) > CACHE:
             self.known.clear()
-        known = self.known
-        new = list({c for x in chunks if x for c in x if c not in known})
-        known.update(zip(new, self._encode(new), strict=True))
-        whole = [x for x, c in zip(texts, chunks, strict=True) if c is None]
-        rest = iter(self._encode(whole))
-        return [next(rest) if c is None else b"".join(map(known.__getitem__, c)) for c in chunks]
+        safe = ["\0" not in x and not self.UNSAFE.search(x) for x in texts]
+        flat: list[str] = []
+        ends = []
+        for x, ok in zip(texts, safe, strict=True):
+            if ok:
+                flat += x.replace(" ", "\0 ").split("\0")
+            ends.append(len(flat))
+        found = list(map(self.known.get, flat))
+        missing = [i for i, x in enumerate(found) if x is None]
+        self._learn({flat[i] for i in missing})
+        for i in missing:
+            found[i] = self.known[flat[i]]
+        whole = iter(self._encode([x for x, ok in zip(texts, safe, strict=True) if not ok]))
+        return [b"".join(found[a:b]) if ok else next(whole)
+                for a, b, ok in zip([0, *ends], ends, safe, strict=False)]
+
+
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 class Rest:
@@ -197,7 +254,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches):
-        encoder, packer = Encoder(path), Packer(TaskContext.get().partitionId())
+        encoder, packer = encoder_of(path), Packer(TaskContext.get().partitionId())
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for at, n in slices(batch.column(1)):
