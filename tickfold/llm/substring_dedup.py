@@ -11,7 +11,7 @@ text is shuffled once and that exchange serves all steps:
    windows that cannot repeat; it decides nothing.
 2. The other windows are compared word by word, in groups.  A window belongs to
    the suffix that starts at its anchor (its word with the least hash), and goes
-   to the group of that suffix's prefix: 1 to 8 words within the window, as many
+   to the group of that suffix's prefix: 1, 2 or 4 words within the window, as many
    as it takes until no more than GROUP windows of the corpus share the
    prefix's cell, counted beforehand, or else the whole window.  Groups thus fit
    in memory.  Neighbouring windows mostly share their anchor and travel as one
@@ -47,7 +47,7 @@ BLOCK_CHARS = 4_000_000
 #: Windows that a group holds at most (but for one window's own, a row per block).
 GROUP = 250_000
 #: Words of the prefixes, and cells by which their windows are counted.
-PREFIXES = (1, 2, 3, 5, 8)
+PREFIXES = (1, 2, 4)
 CELLS = 1 << 13
 LAST = 2**63 - 1
 
@@ -91,14 +91,14 @@ class Windows:
 
     def anchors(self, which: np.ndarray) -> np.ndarray:
         """The place of the word with the least hash (the first such) of each window."""
-        at = self.pos[which].copy()
-        least = self.of_word[at]
+        n = max(0, len(self.of_word) - WINDOW + 1)
+        least, offset = self.of_word[:n].copy(), np.zeros(n, np.int8)
         for k in range(1, WINDOW):
-            h = self.of_word[self.pos[which] + k]
-            less = h < least
-            least[less] = h[less]
-            at[less] = self.pos[which][less] + k
-        return at
+            h = self.of_word[k:n + k]
+            offset[h < least] = k
+            np.minimum(least, h, out=least)
+        at = self.pos[which]
+        return at + offset[at]
 
     def levels(self, which: np.ndarray):
         """(anchor prefix hashes, whether the window holds the prefix) by level."""
