@@ -346,6 +346,23 @@ def test_raking_meets_all_margins(spark):
     assert 0.8 <= share < 0.81
 
 
+def test_the_sample_has_the_target_margins(spark):
+    sizes = {("a", "en"): 300, ("a", "de"): 40, ("b", "en"): 60, ("b", "de"): 5}
+    body = " ".join(f"w{i}" for i in range(20))
+    rows = [(i, f"{body} {s}", g, s) for i, (s, g) in enumerate(k for k, n in sizes.items() for _ in range(n))]
+    scored = mixing.score(spark.createDataFrame(rows, DOCS)).collect()
+    total, sampled = sum(x.tokens for x in scored), sum(x.tokens * x.probability for x in scored)
+    assert all(0 < x.probability <= 1 for x in scored) and sampled <= mixing.KEEP * total + 1e-6
+    for d in mixing.DIMENSIONS:
+        have, got = collections.Counter(), collections.Counter()
+        for x in scored:
+            have[x[d]] += x.tokens
+            got[x[d]] += x.tokens * x.probability
+        whole = sum(n ** mixing.TEMPER for n in have.values())
+        for value, n in have.items():
+            assert abs(got[value] / sampled - n ** mixing.TEMPER / whole) < 1e-3
+
+
 def test_sampling_is_repeatable_and_near_its_probabilities(spark):
     _, _, _, docs = quality_docs(spark)
     docs = docs.withColumn("cell", F.lit("x")).withColumn("Features", F.lit(0)).withColumn("topic", F.lit(9))

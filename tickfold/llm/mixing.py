@@ -3,7 +3,8 @@
 Documents fall into cells of (source, lang, topic).  The token weights of the
 cells are raked to the target share of each source, then each language, then
 each topic, until all three margins hold; documents are then sampled with a
-probability that is proportional to their cell's weight.
+probability that is proportional to their cell's weight, so the margins hold in
+the sample too.
 
 Raking runs on the table of cells, by ordinary aggregates and joins, one
 written table a round; the documents are read once for the cells and once to
@@ -27,7 +28,7 @@ TOPICS = 8
 #: A category's default target is its token share to this power: 1 leaves the
 #: mix as it is, 0 makes all categories alike.
 TEMPER = 0.7
-#: Share of all tokens that the sample keeps in expectation.
+#: Share of all tokens that the sample keeps in expectation, if the targets allow it.
 KEEP = 0.9
 #: Raking ends when no margin is off by more than this share of all tokens.
 TOLERANCE = 1e-4
@@ -112,9 +113,29 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     return current
 
 
+def faithful(raked: DataFrame, keep: float = KEEP) -> DataFrame:
+    """``raked`` with ``probability``: scale * weight, with one scale for all cells.
+
+    The margins of the sample are those of the weights.  It keeps the given
+    share of all tokens in expectation, or as much as the most wanted cell
+    allows, which then stays whole.
+    """
+    high, total, wanted = raked.filter("weight > 0 AND tokens > 0").agg(
+        F.max("weight"), F.coalesce(F.sum("tokens"), F.lit(0)), F.sum(F.col("tokens") * F.col("weight"))).head()
+    if not total:
+        return raked.withColumn("probability", F.lit(1.0))
+    whole = raked.agg(F.sum("tokens")).head()[0]
+    scale = min(keep * whole / wanted, 1 / high)
+    return raked.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * scale))
+
+
 def probabilities(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     """``raked`` with ``probability``: min(1, scale * weight), with the scale that
-    keeps the given share of all tokens in expectation."""
+    keeps the given share of all tokens in expectation.
+
+    For callers that must have the share: where a cell is cut at 1, the margins
+    of the weights are lost.  The operator samples by ``faithful``.
+    """
     low, high, total = raked.filter("weight > 0 AND tokens > 0").agg(
         F.min("weight"), F.max("weight"), F.coalesce(F.sum("tokens"), F.lit(0))).head()
     if not total:
@@ -134,7 +155,7 @@ def _sampled(marked: DataFrame, f: str, targets, keep: float) -> DataFrame:
         F.sum(f"{f}.tokens").alias("tokens"))
     cells = stored(cells, "mixing-cells")
     targets = targets or {d: tempered(cells, d) for d in DIMENSIONS}
-    return stored(probabilities(rake(cells, targets), keep), "mixing-probabilities")
+    return stored(faithful(rake(cells, targets), keep), "mixing-probabilities")
 
 
 def _chance():
