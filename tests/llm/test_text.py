@@ -91,6 +91,14 @@ def test_without_landmarks_the_varying_slots_are_the_content(spark):
     assert {r.text for r in got} == {f"Text {i}\nMore {i}" for i in range(9)}
 
 
+def test_the_whole_article_is_read():
+    page = ("<body><svg width='1' /><main><h1>Title</h1><p>intro <math/>x</p><article><p>one</p></article>"
+            "<article class=b><h2>two</h2></article><svg a=b/>no</svg></main><article>aside</article>")
+    assert html_text.text_of(page, None) == "Title\nintro x\none\ntwo"
+    page = "<body><p>top</p><article><p>a</p></article><article class=b><h2>b</h2><svg hidden/>c</article>"
+    assert html_text.text_of(page, None) == "a\nb\nc"
+
+
 def naive_matching(a, b):
     if a.key != b.key:
         return 0

@@ -60,6 +60,8 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 WORD = re.compile(r"[a-z]+")
+#: Attributes that end in the slash of a self-closed element, not in an unquoted value.
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])[^\s=\"'/>]*/\s*$")
 
 
 class Node:
@@ -122,6 +124,8 @@ def parse(html: str) -> Node:
                 break
         node = _element(tag, token.group(3))
         stack[-1].children.append(node)
+        if tag in ("svg", "math") and SELF_CLOSED.search(token.group(3)):
+            continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
             at = close.end() if close else end
@@ -272,17 +276,7 @@ def text_of(html: str | None, template: Slot | None) -> str:
                 found.append(x) if x.tag in ("article", "main") else landmarks(x)
 
     landmarks(page)
-    mains = [x for x in found if x.tag == "main"]
-    if mains:  # an article inside <main> is closer
-        inner: list[Node] = []
-        found = mains
-        for m in mains:
-            found = inner
-            landmarks(m)
-        found = [x for x in inner if x.tag == "article"] or mains
-    if found:
-        most = max(mass.get(id(x), 0) for x in found)
-        found = [x for x in found if mass.get(id(x), 0) == most]
+    found = [x for x in found if x.tag == "main"] or found
     blocks: list[str] = []
     line: list[str] = []
 
