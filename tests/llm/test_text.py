@@ -94,11 +94,38 @@ def test_without_landmarks_the_varying_slots_are_the_content(spark):
 def test_the_whole_article_is_read():
     page = ("<body><svg width='1' /><main><h1>Title</h1><p>intro <math/>x</p><article><p>one</p></article>"
             "<article class=b><h2>two</h2></article><svg a=b/>no</svg></main><article>aside</article>")
-    assert html_text.text_of(page, None) == "Title\nintro x\none\ntwo"
+    assert html_text.text_of(page, None) == "Title\nintro\nx\none\ntwo"
     page = "<body><p>top</p><article><p>a</p></article><article class=b><h2>b</h2><svg hidden/>c</article>"
     assert html_text.text_of(page, None) == "a\nb\nc"
 
 
+def test_template_of_any_tags_goes_though_a_page_differs(spark):
+    page = ("<body><div class=top><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></div><div><span>site name</span></div>"
+            "<div class=x><p>Text {0} <b>in bold</b> and more</p></div><a>Imprint</a></body>")
+    rows = [(i, "http://h/", page.format(i)) for i in range(20)]
+    rows += [(20, "http://h/", page.format(20).replace("Home", "Start")), (21, "http://h/", page.format(21).replace("site", "my"))]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert {got[i] for i in range(20)} == {f"Text {i} in bold and more" for i in range(20)}
+    assert got[20] == "Start\nNews\nText 20 in bold and more" and got[21] == "my name\nText 21 in bold and more"
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    copy = "<body><nav>{0}</nav><article><h1>Copied</h1><pre>code</pre><p>same</p></article></body>"
+    rows = [(i, "http://a/", copy.format(i)) for i in range(12)]
+    rows += [(100 + i, "http://a/", f"<body><article><h1>T {i}</h1><p>x {i}</p></article></body>") for i in range(9)]
+    rows += [(200 + i, "http://b/", "<p>one</p><div class=d>two</div>") for i in range(8)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    assert {got[i] for i in range(12)} == {"Copied\ncode\nsame"} and {got[200 + i] for i in range(8)} == {"one\ntwo"}
+    assert all(got[100 + i] == f"T {i}\nx {i}" for i in range(9))
+
+
+def test_a_host_of_many_layouts_keeps_its_template(spark):
+    layout = "".join(f"<div class=k{{0}}q{chr(97 + k % 26)}{chr(97 + k // 26)}><p>t {{1}}</p></div>" for k in range(300))
+    rows = [(i, "http://h/", f"<body><div class=b><p>boiler</p></div>{layout.format(chr(97 + i % 26), i)}</body>") for i in range(40)]
+    got = html_text.main_text(spark.createDataFrame(rows, PAGES).repartition(8)).collect()
+    assert all(r.text == "\n".join([f"t {r.page_id}"] * 300) for r in got)
+
+
 def naive_matching(a, b):
     if a.key != b.key:
         return 0

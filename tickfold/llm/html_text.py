@@ -1,24 +1,23 @@
 """Main text of web pages by wrapper induction (operator 4).
 
-All pages of a host are folded into one template: DOM trees are aligned level
-by level with simple tree matching (the largest order-keeping matching of nodes
-with equal tag and class), so each template node counts the pages that have it
-and knows whether its text was the same on all of them.  Constant nodes are
-template, varying ones are slots; the article is the slot with the most text
-under <article> or <main>, or else what varies in the body.
-
-Folding is associative in what it counts, so tasks fold what they read and the
-partial templates of a host are merged in two salted steps: no host's pages
-ever meet in one task.  Pages are then aligned with their host's template and
-read out block by block.
+Each page is cut into slots: an element, or a run of like neighbours such as
+the items of a list, at its path of tags and classes.  A slot's value is a hash
+of all structure and text under it.  Pages of a host are counted for each value,
+pages of equal content once; a value that a large share of the host's pages has
+is template, whatever else a slot holds on other pages.  The article is what
+varies under <main> or <article>, or else in the body.
+
+Counts are rows summed by groupBy, combined in the tasks that read the pages: no
+host's pages ever meet in one task and no rare value is dropped.  By arithmetic,
+a host has fewer template values than a few pages have slots.  Pages are then
+read out block by block, without the topmost slots that are template.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
-import json
 import re
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,13 +25,14 @@ from pyspark.sql import functions as F
 
 from tickfold.llm.common import stored
 
-#: Pages a node must have been constant on to count as template.
+#: Distinct pages that must have a value for it to count as template, and one in
+#: how many of the host's distinct pages.
 SUPPORT = 8
+ONE_IN = 5
 #: Deeper elements hang on the one at this depth.
 DEPTH = 150
-#: Hosts that a task holds, nodes that a template keeps (its most frequent ones).
-HOSTS, NODES = 2000, 4000
-SALTS = 16
+#: Hosts whose templates a task holds at once.
+HOSTS = 2000
 
 # Element kinds of HTML, and words that mark what is not the article.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,6 +43,8 @@ BLOCKS = set("address article blockquote body caption center dd details div dl d
              "h1 h2 h3 h4 h5 h6 header hgroup hr html li main ol p pre section summary table tbody td "
              "tfoot th thead tr ul".split()) | DROPPED
 REPEATED = set("p li tr td th dt dd h2 h3 h4 br a span b i em strong img hr blockquote pre".split())
+TEXTS = set("p li td th dt dd h1 h2 h3 h4 h5 h6 pre blockquote figcaption caption summary address".split())
+LANDMARKS = {"html", "body", "main", "article"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
           "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
@@ -139,48 +141,69 @@ def clean(text: str) -> str:
 
 
 class Slot:
-    """A template node: pages that have it, hash of its own text (-1: it varies),
-    characters under it, and the slots below."""
+    """A page's slot: the hash of its path and all that is under it, the characters
+    under it, the slots below, and its nodes."""
 
     __slots__ = ("below", "chars", "key", "nodes", "pages", "text")
 
     def __init__(self, key, pages, text, chars, below, nodes=()):
         self.key, self.pages, self.text, self.chars, self.below = key, pages, text, chars, below
-        self.nodes = nodes  # of one page, for reading it out
+        self.nodes = nodes
 
-    def dump(self):
-        return [self.key, self.pages, self.text, self.chars, [x.dump() for x in self.below]]
 
-    @staticmethod
-    def load(x) -> Slot:
-        return Slot(x[0], x[1], x[2], x[3], [Slot.load(y) for y in x[4]])
+def _hash(*parts: bytes) -> bytes:
+    return hashlib.blake2b(b"\0".join(parts), digest_size=8).digest()
 
 
-def shape(node: Node) -> tuple:
-    return node.key, tuple(shape(x) for x in node.children if type(x) is Node)
+def slots(nodes: list[Node], above: bytes = b"") -> Slot:
+    """The slot tree of one page; neighbours of a kind that repeats share a slot.
 
-
-def slots(nodes: list[Node]) -> Slot:
-    """The slot tree of one page; like neighbours share a slot."""
-    texts = [x for n in nodes for x in n.children if type(x) is str]
-    own = zlib.crc32("\n".join(filter(None, map(clean, texts))).encode())
+    Marked elements are never content and not part of any value; headings in a
+    <header> may be.
+    """
+    path = _hash(above, nodes[0].key.encode(errors="surrogatepass"))
+    content: list[str] = []
+    chars = 0
     runs: list[list[Node]] = []
     for n in nodes:
+        content.append("<>")
+        last = None
         for x in n.children:
-            if type(x) is not Node:
-                continue
-            if runs and runs[-1][0].key == x.key and (x.tag in REPEATED or shape(runs[-1][0]) == shape(x)):
-                runs[-1].append(x)
-            else:
-                runs.append([x])
-    if len(runs) > 24:
-        by_key: dict[str, list[Node]] = {}
-        for r in runs:
-            by_key.setdefault(r[0].key, []).extend(r)
-        runs = list(by_key.values())
-    below = [slots(r) for r in runs]
-    return Slot(nodes[0].key, 1, own, sum(map(len, texts)) + sum(x.chars for x in below), below, nodes)
+            if type(x) is str:
+                text = " ".join(x.split())
+                if text:
+                    content.append(text)
+                    chars += len(text)
+                    last = None
+            elif not x.marked or x.tag == "header":
+                content.append("<" + x.key)
+                if last and last[0].key == x.key and x.tag in REPEATED:
+                    last.append(x)
+                else:
+                    last = [x]
+                    runs.append(last)
+    below = [slots(r, path) for r in runs]
+    own = _hash(path, "\n".join(content).encode(errors="surrogatepass"),
+                b"".join(x.text.to_bytes(8, "little", signed=True) for x in below))
+    return Slot(nodes[0].key, 1, int.from_bytes(own, "little", signed=True),
+                chars + sum(x.chars for x in below), below, nodes)
+
+
+def values(slot: Slot) -> set[int]:
+    """The values of all slots below."""
+    out, todo = set(), list(slot.below)
+    while todo:
+        x = todo.pop()
+        out.add(x.text)
+        todo.extend(x.below)
+    return out
+
 
+def has_landmark(slot: Slot) -> bool:
+    return slot.nodes[0].tag in LANDMARKS or any(map(has_landmark, slot.below))
+
+
+# Simple tree matching: values need no alignment, so the query does without it.
 
 def matching(a: Slot, b: Slot) -> int:
     """Simple tree matching: nodes in the largest order-keeping match."""
@@ -228,46 +251,29 @@ def fold(a: Slot, b: Slot) -> Slot:
     return Slot(a.key, a.pages + b.pages, a.text if a.text == b.text else -1, a.chars + b.chars, below)
 
 
-def pruned(root: Slot) -> Slot:
-    """Without the rarest nodes, if there are more than NODES."""
-    counts: list[int] = []
-
-    def walk(x):
-        counts.append(x.pages)
-        for y in x.below:
-            walk(y)
-
-    walk(root)
-    if len(counts) > NODES:
-        least = sorted(counts)[-NODES]
-
-        def cut(x):
-            x.below = [y for y in x.below if y.pages > least]
-            for y in x.below:
-                cut(y)
-
-        cut(root)
-    return root
-
-
-def text_of(html: str | None, template: Slot | None) -> str:
+def text_of(html: str | None, template: set[int] | None) -> str:
     """The article's blocks of one page, joined by line breaks."""
     if not html:
         return ""
     page = parse(html)
     constant: set[int] = set()  # page nodes that the host's template holds
-    mass: dict[int, int] = {}
-
-    def compare(own: Slot, host: Slot):
-        for node in own.nodes:
-            mass[id(node)] = host.chars
-            if host.pages >= SUPPORT and host.text >= 0 and not own.below:
-                constant.add(id(node))
-        for x, y in aligned(own.below, host.below):
-            compare(x, y)
-
-    if template is not None:
-        compare(slots([page]), template)
+
+    def compare(own: Slot):
+        for x in own.below:
+            if x.text not in template:
+                compare(x)
+            elif not has_landmark(x):  # an article that pages share is no template, nor are its parts
+                constant.update(map(id, x.nodes))
+
+    if template:
+        compare(slots([page]))
+
+    def in_text(node: Node) -> bool:
+        """Whether inline elements of ``node`` are parts of a running text."""
+        return node.tag in TEXTS or (node.tag not in BLOCKS and node.tag != "#page") or any(
+            not x.isspace() if type(x) is str else
+            not (x.marked or x.tag in BLOCKS or x.tag in VOID or id(x) in constant) for x in node.children)
+
     found: list[Node] = []
 
     def landmarks(node: Node):
@@ -297,7 +303,8 @@ def text_of(html: str | None, template: Slot | None) -> str:
                 continue
             heading = x.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
             is_header = x.tag == "header"
-            if (x.marked and not is_header) or (id(x) in constant and x.tag in BLOCKS):
+            if (x.marked and not is_header) or (
+                    id(x) in constant and (x.tag in BLOCKS or not in_text(node))):
                 if x.tag in BLOCKS:
                     close()
                 continue
@@ -322,39 +329,30 @@ def host_of(url: str):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the folded template of each host of ``pages`` (host, html)."""
-    schema = pa.schema([("host", pa.string()), ("template", pa.string())])
-
-    def rows(held):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.string()),
-             pa.array([json.dumps(pruned(t).dump()) for t in held.values()], pa.string())], schema=schema)
+    """(host, template): the template values of each host of ``pages`` (host, html)."""
+    schema = pa.schema([("host", pa.string()), ("content", pa.int64()), ("found", pa.list_(pa.int64()))])
 
     def induce(batches):
-        held: dict[str, Slot] = {}
         for batch in batches:
+            rows = []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if not html.as_py():
-                    continue
-                own = slots([parse(html.as_py())])
-                held[host] = fold(held[host], own) if host in held else own
-                if len(held) > HOSTS:
-                    yield rows(held)
-                    held = {}
-        yield rows(held)
-
-    def merge(table):
-        found = None
-        for x in table["template"]:
-            own = Slot.load(json.loads(x.as_py()))
-            found = own if found is None else fold(found, own)
-        return pa.table({"host": table["host"][:1], "template": [json.dumps(pruned(found).dump())]}, schema)
-
-    ddl = "host string, template string"
-    part = pages.select("host", "html").mapInArrow(induce, ddl)
-    part = part.withColumn("salt", F.pmod(F.xxhash64("template"), F.lit(SALTS)))
-    part = part.groupBy("host", "salt").applyInArrow(merge, ddl)
-    return part.groupBy("host").applyInArrow(merge, ddl)
+                html = html.as_py()
+                if html:
+                    root = slots([parse(html)])
+                    rows.append((host, root.text, sorted(values(root))))
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+    part = pages.select("host", "html").mapInArrow(induce, "host string, content bigint, found array<bigint>")
+    part = part.groupBy("host", "content").agg(F.first("found").alias("found"))
+    # null counts the host's pages
+    part = part.select("host", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "found")).alias("value"))
+    counts = part.groupBy("host", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SUPPORT)
+    counts = stored(counts, "html-counts")
+    whole = counts.filter("value IS NULL").select("host", F.col("n").alias("whole"))
+    held = counts.filter("value IS NOT NULL").join(whole, "host").filter(F.col("n") * ONE_IN >= F.col("whole"))
+    return held.groupBy("host").agg(F.sort_array(F.collect_list("value")).alias("template"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -370,16 +368,15 @@ def main_text(pages: DataFrame) -> DataFrame:
                         ("n_chars", pa.int64())])
 
     def run(batches):
-        known: dict[str, Slot] = {}
+        known: dict[str, set[int]] = {}
         for batch in batches:
             texts = []
-            for html, host, dumped in zip(*(batch.column(i) for i in (2, 3, 4)), strict=True):
+            for html, host, held in zip(*(batch.column(i) for i in (2, 3, 4)), strict=True):
                 host = host.as_py()
                 if host not in known:
                     if len(known) > HOSTS:
                         known.clear()
-                    dumped = dumped.as_py()
-                    known[host] = Slot.load(json.loads(dumped)) if dumped else None
+                    known[host] = set(held.as_py() or ())
                 texts.append(text_of(html.as_py(), known[host]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
