@@ -421,6 +421,17 @@ def test_topics_read_the_whole_text():
 
 # -- 3: licences ---------------------------------------------------------------------
 
+def test_whole_licences_and_notices_of_any_version_are_found(spark):
+    whole = dict(licenses.texts())
+    rows = [(0, whole["GPL-2.0"]), (1, whole["MPL-2.0"].replace("\n", " \r\n")), (2, licenses.BSD3), (3, whole["LGPL-3.0"].upper()),
+            (4, "x\nLicensed under the GNU General Public License, version 2\nThis file is released under CC BY-SA 3.0."),
+            (5, "This software is distributed under version 2.0 of the Mozilla Public License."), (6, "Licensed under the Apache License"),
+            (7, whole["Apache-2.0"]), (8, whole["GPL-2.0"] + " but")]
+    got = {x.doc_id: (x.license, x.notices) for x in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i][0] for i in (0, 1, 2, 3, 5, 7)] == ["GPL-2.0", "MPL-2.0", "BSD-3-Clause", "LGPL-3.0", "MPL-2.0", "Apache-2.0"]
+    assert got[4] == (None, "CC-BY-SA-3.0,GPL-2.0") and got[5][1] == "MPL-2.0" and got[6] == (None, None) and got[8][0] is None
+
+
 def test_licences_in_other_clothes_are_found(spark):
     mit = licenses.MIT
     same = [mit, mit.upper(), mit.replace("\n\n", "\r\n"), mit.replace("(c) <year> <copyright holders>", "2024 Someone"),

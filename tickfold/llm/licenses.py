@@ -4,10 +4,17 @@ A text is reduced to a canonical form (case, punctuation, copyright lines,
 equivalent spellings), and the digest of the whole form is hash-joined with
 those of known licences.  The same is done for each line, which finds one-line
 notices.  All DataFrame functions.
+
+Whole texts are those in ``license_texts`` (from Debian's common-licenses) and
+the short ones here; notices are made from the licences' names and versions.
 """
 
 from __future__ import annotations
 
+import json
+import os
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +51,11 @@ Redistribution and use in source and binary forms, with or without modification,
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD3 = BSD2.replace("BSD 2-Clause", "BSD 3-Clause").replace("""with the distribution.
+""", """with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+""")
 KNOWN = (
     ("MIT", MIT),
     ("ISC", ISC),
@@ -54,6 +66,59 @@ KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
 )
+#: Files of ``license_texts`` and their licences.
+FILES = {"Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0",
+         "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "GFDL-1.2": "GFDL-1.2",
+         "GFDL-1.3": "GFDL-1.3", "CC0-1.0": "CC0-1.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause"}
+#: (identifier, name in prose, versions); "" is a licence without versions.
+FAMILIES = (
+    ("MIT", "MIT", [""]), ("ISC", "ISC", [""]), ("0BSD", "Zero-Clause BSD", [""]), ("BSD-2-Clause", "BSD 2-Clause", [""]),
+    ("BSD-3-Clause", "BSD 3-Clause", [""]), ("Apache", "Apache", ["1.1", "2.0"]),
+    ("GPL", "GNU General Public", ["1.0", "2.0", "3.0"]), ("LGPL", "GNU Lesser General Public", ["2.1", "3.0"]),
+    ("LGPL", "GNU Library General Public", ["2.0"]), ("AGPL", "GNU Affero General Public", ["3.0"]),
+    ("GFDL", "GNU Free Documentation", ["1.1", "1.2", "1.3"]), ("MPL", "Mozilla Public", ["1.0", "1.1", "2.0"]),
+    ("EPL", "Eclipse Public", ["1.0", "2.0"]))
+CC = (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+      ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+LEADS = tuple(f"{s}{v} under " for s, v in product(
+    ("", *(f"This {x} is " for x in ("work", "software", "program", "project", "file", "document"))), ("licensed", "released", "distributed")))
+
+
+def notices() -> list[tuple[str, str]]:
+    """(licence, notice) for each licence, version and usual wording."""
+    out = []
+    for key, name, versions in FAMILIES:
+        for v in versions:
+            spdx = f"{key}-{v}" if v else key
+            ways = {f"the {name} License", spdx, f"the {spdx} License"}
+            for n in {v, v.removesuffix(".0")} if v else ():
+                ways |= {f"the {name} License, version {n}", f"version {n} of the {name} License", f"the {name} License {n}"}
+                ways |= {f"{key} version {n}", f"the {key} version {n}", f"{key} {n}", f"the {key} {n}"}
+            if v:  # a name without its version is not one licence
+                ways.discard(f"the {name} License")
+            out += [(spdx, lead + way) for lead in LEADS for way in ways] + [(spdx, f"SPDX-License-Identifier: {spdx}")]
+    for (key, name), v in product(CC, ("1.0", "2.0", "2.5", "3.0", "4.0")):
+        spdx, kind = f"CC-{key}-{v}", "International" if v == "4.0" else "Unported" if v == "3.0" else "Generic"
+        ways = (f"CC {key} {v}", f"a Creative Commons {name} {v} License", f"the Creative Commons {name} {v} License",
+                f"a Creative Commons {name} {v} {kind} License", f"the Creative Commons {name} {v} {kind} License")
+        out += [(spdx, lead + way) for lead in LEADS for way in ways] + [(spdx, f"SPDX-License-Identifier: {spdx}")]
+    return out
+
+
+def texts() -> list[tuple[str, str]]:
+    """(licence, whole text): with the appendix on how to apply it, and without."""
+    out = [("BSD-3-Clause", BSD3)]
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+    for file, name in FILES.items():
+        with open(os.path.join(folder, file), encoding="utf-8") as f:
+            text = f.read()
+        out.append((name, text))
+        terms, end, rest = text.partition("END OF TERMS AND CONDITIONS")
+        if rest:
+            out += [(name, terms), (name, terms + end)]
+    return out
+
+
 #: Canonical words for spellings that licences use alike.
 SPELLINGS = (
     ("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"),
@@ -86,11 +151,13 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_licenses(spark: SparkSession, texts=KNOWN) -> DataFrame:
+def known_licenses(spark: SparkSession, known=None) -> DataFrame:
     """(license, digest) of the given (name, text) pairs; equal digests count once."""
-    rows = F.inline(F.array(*[F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in texts]))
-    known = spark.range(1).select(rows)
-    return known.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    rows = [*KNOWN, *texts(), *notices()] if known is None else list(known)
+    # as JSON: a local table without Python
+    rows = json.dumps([{"license": n, "text": t} for n, t in rows])
+    frame = spark.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<license: string, text: string>>")))
+    return frame.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -101,7 +168,10 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     nothing.  Rows that repeat a doc_id share their notices, null ids among them.
     """
     spark = docs.sparkSession
-    known = stored(known_licenses(spark) if known is None else known, "known-licenses")
+    built_in = known is None
+    known = stored(known_licenses(spark) if built_in else known, "known-licenses")
+    if built_in:  # a few thousand rows, whatever the documents
+        known = F.broadcast(known)
     docs = docs.select("doc_id", text_or_empty().alias("text"))
     whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"))
     whole = whole.join(known.select(F.col("digest").alias("text_digest"), "license"), "text_digest", "left")
