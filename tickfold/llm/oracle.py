@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tickfold.llm.divergence import MIN_DOCS, TOP_TERMS
 from tickfold.llm.licenses import KNOWN, SPELLINGS
 from tickfold.llm.quality_rules import (FENCE, MAX_REPEAT_PERCENT, MILLION, MIN_GROUP, MIN_WORDS, RATES,
                                         WINDOW)
@@ -143,6 +144,62 @@ FROM judged JOIN verdict USING (doc_id)
 """
 
 
+# CRC-32 (polynomial 0xEDB88320, reflected) byte by byte, with its table made by the same rule.
+OP11 = """
+WITH step AS (
+  SELECT list(list_reduce(list_concat([i], range(8)),
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS v
+  FROM range(256) r(i)),
+d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS b
+  FROM documents),
+s AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(b, lambda x: ('0x' || x)::BIGINT)),
+           lambda c, x: xor(c >> 8, v[1 + (xor(c, x) & 255)]))) AS text_crc32,
+         sum(size) OVER (ORDER BY doc_id) AS upto, sum(size) OVER () AS total
+  FROM d, step),
+cut AS (SELECT *, least(39, (2 * upto - size) * 40 // (2 * total)) AS shard FROM s)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INT AS grown_shard
+FROM cut
+"""
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+word AS (SELECT doc_id, lang, source, unnest(w) AS term FROM d),
+kept AS (
+  SELECT lang, term, count(*) AS n_lang FROM word GROUP BY lang, term HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+own AS (SELECT lang, source, term, count(*) AS n FROM word GROUP BY ALL),
+grp AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total
+  FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, count(*) AS v, sum(n_lang) AS lang_total FROM kept GROUP BY lang) USING (lang)),
+counted AS (
+  SELECT lang, source, term, v, n_lang, lang_total, coalesce(n, 0) AS n,
+         sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total
+  FROM grp JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)),
+shared AS (
+  SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 1) // (total + v)::HUGEINT AS p,
+         1 + 1000000000::HUGEINT * (n_lang + 1) // (lang_total + v)::HUGEINT AS q FROM counted),
+summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shared a JOIN shared b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shared WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM part)
+WHERE part = 'pair' OR rank <= {TOP_TERMS}
+"""
+
+
 def oracle_sql():
     return {"op1_warc": OP1, "op3_licenses": OP3, "op5_exact_dedup": OP5, "op8_substring_dedup": OP8,
-            "op10_quality_rules": OP10}
+            "op10_quality_rules": OP10, "op11_sharding": OP11, "op12_divergence": OP12}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import html_text, licenses, lm_score, mixing, packing, quality_rules, simhash, substring_dedup, warc
-from tickfold.llm.common import table
+from tickfold.llm import alignment, divergence, html_text, licenses, lm_score, mixing, packing, quality_rules
+from tickfold.llm import sharding, simhash, substring_dedup, warc
+from tickfold.llm.common import table, text_or_empty
 from tickfold.llm.exact_dedup import DigestIndex
 
 
@@ -56,6 +57,24 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", sharding.document_size().alias("size"),
+        F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"))
+    return sharding.assign(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op5_exact_dedup, op10_quality_rules, op7_packing, op9_simhash, op8_substring_dedup, op1_warc, op4_html_text, op6_lm_score, op2_mixing,
-                                    op3_licenses)}
+    return {f.__name__: f for f in (
+        op1_warc, op2_mixing, op3_licenses, op4_html_text, op5_exact_dedup, op6_lm_score, op7_packing,
+        op8_substring_dedup, op9_simhash, op10_quality_rules, op11_sharding, op12_divergence, op13_alignment)}
