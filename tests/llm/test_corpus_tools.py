@@ -110,7 +110,7 @@ def plain_audit(rows, top):
     return out
 
 
-@pytest.mark.parametrize(("groups", "terms", "held"), [(16, 4096, 200_000), (2, 8, 50), (1, 1, 1)])
+@pytest.mark.parametrize(("groups", "terms", "held"), [(16, 4096, 750_000), (2, 8, 50), (1, 1, 1)])
 def test_divergence_against_plain_python(spark, monkeypatch, groups, terms, held):
     monkeypatch.setattr(divergence, "GROUP_BLOCK", groups)
     monkeypatch.setattr(divergence, "TERM_BLOCK", terms)

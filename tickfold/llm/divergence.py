@@ -32,7 +32,7 @@ TOP_TERMS = 200
 GROUP_BLOCK = 16
 TERM_BLOCK = 4096
 #: Terms that a task counts before it hands its counts on.
-HELD_TERMS = 200_000
+HELD_TERMS = 750_000
 
 #: What separates terms becomes a blank, A-Z lower case; bytes of other letters stay.
 FOLD = bytes(x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x > 127 else 32 for x in range(256))
@@ -160,6 +160,8 @@ def audit(docs: DataFrame, top: int = TOP_TERMS) -> DataFrame:
     placed = kept.join(langs.select("lang", "terms", "lang_total", blocks), "lang").withColumn(
         "tb", F.expr("pmod(xxhash64(term), term_blocks)").cast("int"))
     order = Window.partitionBy("lang", "tb").orderBy("term")
+    # Dealt out by block: the join before it leaves each language in one piece.
+    placed = placed.repartition("lang", "tb")
     placed = stored(placed.withColumn("place", F.row_number().over(order) - 1), "divergence-places")
     in_block = placed.groupBy("lang", "tb").agg(F.count(F.lit(1)).alias("in_block"))
 
