@@ -1,0 +1,194 @@
+"""Batches, published sets, replaced periods: reruns and failures leave whole results."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import companies, index, trades
+from tickfold.plans import gold, incremental, medallion, silver
+from tickfold.session import local_path, scratch_path
+from tickfold.sinks import csv, published
+from tickfold.sinks.csv import OUTPUT_NAMES, read_csv, report_schema
+from tickfold.sources import adapters
+from tickfold.sources.adapters import Inputs
+
+NAMES = [("A", "Alpha"), ("B", "Beta"), ("C", "Gamma")]
+
+
+def some_trades(seed, n=60):
+    rng = random.Random(seed)
+    return [(f"2024-{rng.choice(['01', '02', '04'])}-0{rng.randrange(1, 5)} {rng.randrange(9, 12):02d}:"
+             f"{rng.randrange(60):02d}:00", rng.choice("ABC"), rng.randrange(0, 9), rng.choice([None, "1.50", "2.25", "7.01"]))
+            for _ in range(n)]
+
+
+HOURS = [(f"2024-{m}-0{d} {h:02d}:00:00", f"{100 + d + h}.5") for m in ("01", "02", "04") for d in range(1, 5) for h in (9, 10, 11)]
+
+
+def whole(spark, rows, hours, grain):
+    core = silver.core(trades(spark, rows), index(spark, hours))
+    return gold.rollup(core, companies(spark, NAMES), grain).collect()
+
+
+def test_batches_add_up_to_the_whole_run(spark):
+    root = scratch_path(spark, "inc")
+    a, b, c = some_trades(1), some_trades(2), some_trades(3)
+    # Hours are split among batches; half of the index comes last.
+    for key, rows, hours in (("a", a, HOURS[::2]), ("b", b, []), ("c", c, HOURS[1::2])):
+        incremental.add_batch(spark, root, key, trades(spark, rows), index(spark, hours))
+    for grain in gold.GOLD_GRAINS:
+        got = incremental.report(spark, root, companies(spark, NAMES), grain).collect()
+        assert got == whole(spark, a + b + c, HOURS, grain)
+
+
+def test_a_repeated_batch_changes_nothing_and_a_corrected_one_replaces(spark):
+    root = scratch_path(spark, "inc")
+    a, b = some_trades(4), some_trades(5)
+    incremental.add_batch(spark, root, "a", trades(spark, a), index(spark, HOURS))
+    wrong = [("2024-04-01 09:00:00", "A", 1000, "9.00"), ("2024-03-01 09:00:00", "B", 1, "1.00")]
+    incremental.add_batch(spark, root, "b", trades(spark, wrong), index(spark, [("2024-03-01 09:00:00", "1.0")]))
+    for _ in range(2):
+        incremental.add_batch(spark, root, "b", trades(spark, b), None)
+        got = incremental.report(spark, root, companies(spark, NAMES), "day").collect()
+        assert got == whole(spark, a + b, HOURS, "day")
+    gone = incremental.vacuum(spark, root)
+    assert gone and incremental.vacuum(spark, root) == []
+    assert incremental.report(spark, root, companies(spark, NAMES), "day").collect() == got
+
+
+def test_a_batch_that_dies_leaves_the_state_before_it(spark, monkeypatch):
+    root = scratch_path(spark, "inc")
+    a = some_trades(6)
+    incremental.add_batch(spark, root, "a", trades(spark, a), index(spark, HOURS))
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "publish", lambda *x: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            incremental.add_batch(spark, root, "b", trades(spark, some_trades(7)), None)
+    got = incremental.report(spark, root, companies(spark, NAMES), "month").collect()
+    assert got == whole(spark, a, HOURS, "month")
+    # No days but those of the batch are read or written again.
+    state = incremental.add_batch(spark, root, "c", trades(spark, [("2024-01-01 09:10:00", "A", 5, "2.00")]), None)
+    assert len({v for d, v in state["days"].items() if d != "2024-01-01"}) == 1
+    assert state["days"]["2024-01-01"] == state["batches"]["c"]["attempt"]
+
+
+def test_empty_batches_and_other_types(spark):
+    root = scratch_path(spark, "inc")
+    incremental.add_batch(spark, root, "none", trades(spark, []), index(spark, []))
+    assert incremental.report(spark, root, companies(spark, NAMES), "quarter").collect() == []
+    incremental.add_batch(spark, root, "x", trades(spark, [("2024-01-01 09:00:00", "A", 1, "1.00")]), index(spark, HOURS))
+    assert len(incremental.report(spark, root, companies(spark, NAMES), "quarter").collect()) == 1
+    doubles = trades(spark, [("2024-01-01 09:00:00", "A", 1, "1.00")]).withColumn("price", F.lit(1.5))
+    with pytest.raises(ValueError, match="earlier batches"):
+        incremental.add_batch(spark, root, "y", doubles, None)
+
+
+def test_two_writers_of_one_manifest(spark):
+    root = scratch_path(spark, "pub")
+    assert published.current(spark, root) is None
+    first = published.publish(spark, root, {"tables": {"t": "one"}}, None)
+    published.publish(spark, root, {"tables": {"t": "two"}}, first)
+    with pytest.raises(published.PublishedMeanwhile):
+        published.publish(spark, root, {"tables": {"t": "three"}}, first)
+    assert published.resolve(spark, f"{root}/t") == "two" and published.resolve(spark, f"{root}/u") == f"{root}/u"
+    assert [x for x in os.listdir(os.path.join(local_path(root), published.FOLDER)) if "draft" in x] == []
+
+
+def test_a_run_that_stops_leaves_the_old_set(spark, monkeypatch):
+    inp = adapters.inputs(spark, "/root/testdata/sf0.001", "events")
+    out = scratch_path(spark, "set")
+    medallion.run(spark, inp, out)
+    old = read_csv(spark, f"{out}/{OUTPUT_NAMES['day']}", report_schema("date")).collect()
+    calls = []
+
+    def failing(*args, **kw):
+        calls.append(args)
+        if len(calls) > 2:
+            raise OSError("disk")
+        return csv.write_csv(*args, **kw)
+
+    doubled = Inputs(companies=inp.companies, index=inp.index, trades=inp.trades.union(inp.trades))
+    with monkeypatch.context() as m:
+        m.setattr(medallion, "write_csv", failing)
+        with pytest.raises(OSError, match="disk"):
+            medallion.run(spark, doubled, out)
+    assert read_csv(spark, f"{out}/{OUTPUT_NAMES['day']}", report_schema("date")).collect() == old
+    medallion.run(spark, doubled, out)
+    new = read_csv(spark, f"{out}/{OUTPUT_NAMES['day']}", report_schema("date")).collect()
+    assert [r.volume for r in new] == [2 * r.volume for r in old]
+    with pytest.raises(ValueError, match="only partitioned"):
+        medallion.run(spark, inp, out, time_range=("2024-01-01", "2024-02-01"))
+
+
+def test_one_month_is_replaced_and_the_others_keep_their_files(spark):
+    rows = some_trades(8) + [("2024-02-01 09:00:00", "A", 3, "5.00")]
+    inp = Inputs(companies=companies(spark, NAMES), index=index(spark, HOURS), trades=trades(spark, rows))
+    out, grains = scratch_path(spark, "months"), ("day", "month")
+    first = medallion.run(spark, inp, out, grains=grains, partitioned=True)
+
+    def files(month):
+        folder = os.path.join(local_path(first["day"]), "year=2024", f"month={month}")
+        return sorted(x for x in os.listdir(folder) if x.startswith("part-")) if os.path.isdir(folder) else None
+
+    before = {m: files(m) for m in (1, 2, 4)}
+    assert all(before.values())
+    left = [r for r in rows if not r[0].startswith("2024-02") or r[1] == "B"]
+    again = Inputs(companies=inp.companies, index=inp.index, trades=trades(spark, left))
+    medallion.run(spark, again, out, grains=grains, partitioned=True, time_range=("2024-02-01", "2024-03-01"))
+    assert files(1) == before[1] and files(4) == before[4] and files(2) != before[2]
+
+    def read(grain, label):
+        got = read_csv(spark, f"{out}/{OUTPUT_NAMES[grain]}", report_schema(label, partitioned=True))
+        if grain == "month":  # its label is the folder's
+            got = got.selectExpr("format_string('%04d-%02d', year, month) AS label", *[
+                c for c in got.columns if c not in ("year", "month")])
+        return sorted(map(tuple, got.drop("year", "month").collect()))
+
+    for grain, label in (("day", "date"), ("month", "month")):
+        assert read(grain, label) == sorted(map(tuple, whole(spark, left, HOURS, grain)))
+    # A month that has no trades any more leaves no folder.
+    none = Inputs(companies=inp.companies, index=inp.index, trades=trades(spark, [r for r in left if "-04-" not in r[0]]))
+    medallion.run(spark, none, out, grains=grains, partitioned=True, time_range=("2024-04-01", "2024-05-01"))
+    assert files(4) is None and files(1) == before[1]
+    for bad in (("2024-02-01", "2024-02-15"), ("2024-02-01 01:00:00", "2024-03-01")):
+        with pytest.raises(ValueError, match="whole months"):
+            medallion.run(spark, inp, out, grains=grains, partitioned=True, time_range=bad)
+
+
+def test_quality_is_counted_in_the_pass_that_reads_the_documents(spark):
+    from tickfold.sources.documents import document_quality
+
+    inp = adapters.inputs(spark, "/root/testdata/sf0.001", "documents")
+    read = spark.sparkContext.accumulator(0)
+    out = scratch_path(spark, "observed")
+
+    def counting(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = inp.documents.select("timestamp", "transactions")
+    counted = docs.mapInArrow(counting, docs.schema)
+    medallion.run(spark, Inputs(companies=inp.companies, index=inp.index, documents=counted), out)
+    assert read.value == docs.count()
+    got = spark.read.json(published.resolve(spark, f"{out}/_quality")).first().asDict()
+    assert got == document_quality(docs).first().asDict()
+
+
+def test_equal_height_splits_of_a_jdbc_scan():
+    from tickfold.sources.jdbc import quantile_predicates, quantiles_query
+
+    assert quantile_predicates("k", [30, 1, 10, 10, 20]) == [
+        "k < 10 OR k IS NULL", "k >= 10 AND k < 20", "k >= 20 AND k < 30", "k >= 30"]
+    assert quantile_predicates("t", ["2024-01-01 09:00:00", "2024-01-02 00:00:00"]) == [
+        "t < '2024-01-02 00:00:00' OR t IS NULL", "t >= '2024-01-02 00:00:00'"]
+    assert quantile_predicates("k", [5, 5]) == [] and quantile_predicates("k", []) == []
+    rows = [None, *[7] * 50, *range(100)]
+    lows = sorted(x for x in rows if x is not None)[::10]
+    parts = quantile_predicates("k", lows)
+    held = [sum(eval(p.replace("k IS NULL", "k is None").replace("OR", "or").replace("AND", "and"), {"k": k})
+                if k is not None else "NULL" in p for k in rows) for p in parts]
+    assert sum(held) == len(rows)
+    assert "NTILE(8) OVER (ORDER BY ts)" in quantiles_query("market_index", "ts", 8)

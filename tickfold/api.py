@@ -72,17 +72,20 @@ class TradeProcessor:
         optional ``jdbc_driver``).  Documents from the document store
         (``mongodb_uri``, ``mongo_db``, ``mongo_collection``) or, when
         ``documents_path`` is given, from files (``documents_format``, default
-        json; ``documents_multiline`` for files that hold one JSON array).
+        json; ``documents_multiline`` or, by many tasks, ``documents_json_array``
+        for files that hold one JSON array; ``documents_variant`` for lines whose
+        types need not be inferred).
         ``index_partition_column``, ``_lower``, ``_upper`` and ``_count``
         (with that prefix) split the index scan; without the bounds they are
-        asked of the database.
+        asked of the database; ``_equal`` makes parts of equal row counts.
         """
         split = {}
         if config.get("index_partition_column"):
             split = {"partition_column": config["index_partition_column"],
                      "lower_bound": config.get("index_partition_lower"),
                      "upper_bound": config.get("index_partition_upper"),
-                     "num_partitions": int(config.get("index_partition_count", 8))}
+                     "num_partitions": int(config.get("index_partition_count", 8)),
+                     "equal_parts": str(config.get("index_partition_equal", "")).lower() == "true"}
         companies, index = read_tables(
             self.spark, config["mysql_url"], config.get("mysql_user"), config.get("mysql_password"),
             config.get("company_info_table", "company_info"),
@@ -95,7 +98,9 @@ class TradeProcessor:
         if config.get("documents_path"):
             return read_documents(self.spark, config["documents_path"],
                                   fmt=config.get("documents_format", "json"),
-                                  multiline=str(config.get("documents_multiline", "")).lower() == "true")
+                                  **{to: str(config.get(key, "")).lower() == "true" for key, to in (
+                                      ("documents_multiline", "multiline"), ("documents_json_array", "json_array"),
+                                      ("documents_variant", "variant"))})
         return read_documents(
             self.spark, fmt="mongodb",
             options=document_store_options(config["mongodb_uri"], config["mongo_db"],

@@ -207,6 +207,8 @@ def oracle_sql() -> dict[str, str]:
         "q_explode_element_stamps": _flat_trades("element_stamps"),
         "q_documents_json": _flat_trades("documents"),
         "q_documents_parquet": _flat_trades("documents"),
+        "q_documents_json_array": _flat_trades("documents"),
+        "q_documents_variant": _flat_trades("documents"),
     }
     for adapter in ("events", "lineitem"):
         sql[f"q_hourly_vwap_{adapter}"] = _ctes(adapter) + f"""
@@ -246,4 +248,8 @@ def oracle_sql() -> dict[str, str]:
     sql["q_facade_daily_events"] = _gold("events", "day")
     sql["q_facade_monthly_events"] = _gold("events", "month")
     sql |= _raw_sql()
+    sql["q_full_run_documents"] = _gold("documents", "quarter")
+    sql["q_full_run_quality"] = sql["q_documents_quality_mixed"]
+    sql["q_incremental_quarterly"] = _gold("events", "quarter")
+    sql["q_replace_month_daily"] = sql["q_csv_partitioned_daily"]
     return sql

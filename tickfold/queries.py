@@ -4,8 +4,10 @@ equal."""
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,11 @@ from tickfold.operators.hourly import hourly_vwap
 from tickfold.operators.index import duplicate_hours, index_hourly
 from tickfold.operators.joins import join_company
 from tickfold.operators.preview import preview
-from tickfold.plans import gold, medallion, silver
+from tickfold.plans import gold, incremental, medallion, silver
 from tickfold.session import scratch_path, settings
 from tickfold.sinks.csv import (OUTPUT_NAMES, read_csv, report_schema, write_csv,
                                 write_partitioned_csv)
+from tickfold.sinks.published import resolve
 from tickfold.sources import adapters
 from tickfold.sources.documents import document_quality, read_documents, write_documents
 
@@ -75,6 +78,24 @@ def q_documents_json(spark, sf_dir):
     return _documents_roundtrip(spark, sf_dir, "json")
 
 
+def q_documents_json_array(spark, sf_dir):
+    """S3: documents as files of one JSON array each, every file read by several tasks."""
+    docs = _inputs(spark, sf_dir, "documents").documents.select("timestamp", "transactions")
+    path = write_documents(docs, scratch_path(spark, "documents-array"), fmt="json_array")
+    # The files of these tables are of a few megabytes.
+    back = read_documents(spark, path, json_array=True, split_bytes=1 << 18, schema=schemas.DOCUMENT)
+    return _flat_trades(explode_transactions(back))
+
+
+def q_documents_variant(spark, sf_dir):
+    """S3: JSON lines taken in as VARIANT, without a pass that infers types."""
+    docs = _inputs(spark, sf_dir, "documents").documents.select("timestamp", "transactions")
+    path = write_documents(docs, scratch_path(spark, "documents-variant"))
+    trades = explode_transactions(read_documents(spark, path, variant=True))
+    stamp = as_timestamp("timestamp", trades.schema["timestamp"].dataType)
+    return _flat_trades(trades.withColumns({"timestamp": stamp, "shares": F.col("shares").cast("int")}))
+
+
 def q_documents_parquet(spark, sf_dir):
     """S3: documents written as parquet, read back."""
     return _documents_roundtrip(spark, sf_dir, "parquet")
@@ -212,6 +233,48 @@ def q_full_run_quarterly(spark, sf_dir):
     return read_csv(spark, written["quarter"], report_schema(LABEL_COLUMNS["quarter"]))
 
 
+def q_full_run_documents(spark, sf_dir):
+    """M10 over nested documents, counted for quality in the pass that reads them;
+    the quarterly report is found through the published set."""
+    out = scratch_path(spark, "run-documents")
+    medallion.run(spark, _inputs(spark, sf_dir, "documents"), out)
+    return read_csv(spark, f"{out}/{OUTPUT_NAMES['quarter']}", report_schema("quarter"))
+
+
+def q_full_run_quality(spark, sf_dir):
+    """The counts that the run observes while it reads the documents."""
+    out = scratch_path(spark, "run-quality")
+    inp = _inputs(spark, sf_dir, "documents")
+    medallion.run(spark, dataclasses.replace(inp, documents=_mixed_documents(spark, sf_dir)), out, grains=())
+    names = ("documents", "corrupt", "null_stamps", "unparsed_stamps", "trades", "null_shares", "null_prices")
+    return spark.read.schema(", ".join(f"{n} bigint" for n in names)).json(resolve(spark, f"{out}/_quality"))
+
+
+def q_incremental_quarterly(spark, sf_dir):
+    """M10, A5-A9 in batches: trades and index rows of the same hours come in three
+    batches, one of them twice, the index partly after its trades."""
+    inp, root = _inputs(spark, sf_dir, "events"), scratch_path(spark, "incremental")
+    batch = F.pmod(F.xxhash64("ticker", "shares", "price"), F.lit(3))
+    for k in (0, 1, 2, 1):
+        index = inp.index.where(F.pmod(F.xxhash64("timestamp"), F.lit(3)) == (k + 1) % 3)
+        incremental.add_batch(spark, root, f"batch-{k}", inp.trades.where(batch == k), index)
+    return incremental.report(spark, root, inp.companies, "quarter")
+
+
+def q_replace_month_daily(spark, sf_dir):
+    """K4: a set of partitioned reports whose last month was made from doubled volumes
+    is put right by a run over that month alone."""
+    inp, out = _inputs(spark, sf_dir, "events"), scratch_path(spark, "replace")
+    last = inp.trades.agg(F.date_trunc("month", F.max("timestamp"))).first()[0]
+    end = (last.replace(day=1) + timedelta(days=32)).replace(day=1)
+    wrong = inp.trades.withColumn("shares", F.when(F.col("timestamp") >= F.lit(last), F.col("shares") * 2)
+                                  .otherwise(F.col("shares")))
+    grains = ("day", "month")
+    medallion.run(spark, dataclasses.replace(inp, trades=wrong), out, grains=grains, partitioned=True)
+    medallion.run(spark, inp, out, grains=grains, partitioned=True, time_range=(last.isoformat(), end.isoformat()))
+    return read_csv(spark, f"{out}/{OUTPUT_NAMES['day']}", report_schema("date", partitioned=True))
+
+
 # -- inputs in the types the reference takes them ----------------------------------
 
 def _mixed_documents(spark, sf_dir):
@@ -357,6 +420,12 @@ def queries() -> dict[str, Query]:
         "q_join_company_duplicates": q_join_company_duplicates,
         "q_order_documents_sizes": q_order_documents_sizes,
         "q_csv_roundtrip_unrounded": q_csv_roundtrip_unrounded,
+        "q_documents_json_array": q_documents_json_array,
+        "q_documents_variant": q_documents_variant,
+        "q_full_run_documents": q_full_run_documents,
+        "q_full_run_quality": q_full_run_quality,
+        "q_incremental_quarterly": q_incremental_quarterly,
+        "q_replace_month_daily": q_replace_month_daily,
     })
     return {name: _pinned(q) for name, q in out.items()}
 

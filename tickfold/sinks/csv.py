@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickfold.sinks.published import folders, remove_folder, resolve
+
 # Fixed value: the index is printed with two decimals (``2277.80``), as a
 # decimal column is; prices print as doubles (``149.7``).
 INDEX_TEXT_TYPE = T.DecimalType(38, 2)
@@ -54,10 +56,13 @@ def with_date_parts(report: DataFrame, label_col: str) -> DataFrame:
 
 def write_partitioned_csv(report: DataFrame, path: str, label_col: str,
                           mode: str = "overwrite", cluster: bool = True,
-                          decimals: int | None = None) -> str:
+                          decimals: int | None = None, replace: bool = False) -> str:
     """CSV partitioned by ``year`` (and ``month``) folders, so readers that
     filter on them list only matching folders.
 
+    ``replace=True`` replaces only the folders that the report has rows for
+    (dynamic partition overwrite); the files of all others stay as they are.
+
     ``cluster=True`` range-partitions the rows by (year, month, ticker) first,
     so each task holds one or two months and writes one or two files instead
     of one per month it happens to see, while a month holding a third of the
@@ -68,12 +73,29 @@ def write_partitioned_csv(report: DataFrame, path: str, label_col: str,
     parts = ["year"] + (["month"] if "month" in df.columns else [])
     if cluster:
         df = df.repartitionByRange(*parts, "ticker")
-    df.write.mode(mode).option("header", "true").partitionBy(*parts).csv(path)
+    df.write.mode("overwrite" if replace else mode).option("header", "true").option(
+        "partitionOverwriteMode", "dynamic" if replace else "static").partitionBy(*parts).csv(path)
     return path
 
 
+def drop_periods(report: DataFrame, path: str, label_col: str, periods: list[tuple[int, ...]]) -> None:
+    """Remove the folders of those ``periods`` ((year,) or (year, month)) that the
+    report has no rows for, which a dynamic overwrite leaves as they were."""
+    names = ("year", "month")
+    parts = with_date_parts(report, label_col)
+    names = tuple(n for n in names if n in parts.columns)
+    left = {tuple(r) for r in parts.select(*names).distinct().collect()}  # a calendar's worth
+    for period in sorted({p[:len(names)] for p in periods} - left):
+        *above, last = [f"{n}={v}" for n, v in zip(names, period, strict=True)]
+        folder = "/".join([path, *above])
+        if last in folders(report.sparkSession, folder):
+            remove_folder(report.sparkSession, f"{folder}/{last}")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a written report back (header line, explicit schema when given)."""
+    """Read a written report back (header line, explicit schema when given).
+    A report of a published set is read where the last set has it."""
+    path = resolve(spark, path)
     reader = spark.read.option("header", "true")
     if schema is not None:
         reader = reader.schema(schema)

@@ -9,6 +9,8 @@ A JDBC scan without partition bounds is one task on one connection.  Pass
 from __future__ import annotations
 
 import re
+from decimal import Decimal
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,17 +81,56 @@ def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str
                      upper_bound=hi, num_partitions=num_partitions, **kwargs)
 
 
+def quantiles_query(table: str, column: str, n: int) -> str:
+    """Sub-query (for ``dbtable``) giving the least value of each of ``n`` parts of
+    equal row counts; the database computes it, ``n`` rows come back."""
+    return (f"(SELECT MIN(v) AS lo, part FROM (SELECT {column} AS v, NTILE({n}) OVER (ORDER BY {column}) AS part "
+            f"FROM {table} WHERE {column} IS NOT NULL) ranked GROUP BY part) quantiles")
+
+
+def _literal(value) -> str:
+    return str(value) if isinstance(value, (int, float, Decimal)) else "'" + str(value).replace("'", "''") + "'"
+
+
+def quantile_predicates(column: str, lows: list) -> list[str]:
+    """A WHERE clause for each part, from the parts' least values: every row is in
+    one, nulls in the first.  A value that fills several parts makes one."""
+    cuts = [_literal(x) for x in sorted(set(lows))[1:]]
+    if not cuts:
+        return []
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in pairwise(cuts)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *between, f"{column} >= {cuts[-1]}"]
+
+
+def read_jdbc_equal_parts(spark: SparkSession, url: str, table: str, column: str, num_partitions: int,
+                          **kwargs) -> DataFrame:
+    """Parallel JDBC scan in parts of equal row counts: where most rows lie in a few
+    hours, equal widths of ``column`` leave them to one task.  The bounds are
+    asked of the database; fewer values than parts make fewer parts."""
+    found = read_jdbc(spark, url=url, table=quantiles_query(table, column, num_partitions), **kwargs)
+    predicates = quantile_predicates(column, [r[0] for r in found.select("lo").collect()])
+    if not predicates:
+        return read_jdbc(spark, url=url, table=table, **kwargs)
+    options = jdbc_options(url, table, **kwargs)
+    properties = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
+
+
 def read_tables(spark: SparkSession, url: str, user: str | None, password: str | None,
                 company_table: str = "company_info", index_table: str = "market_index",
                 driver: str | None = MYSQL_DRIVER, partition_column: str | None = None,
                 lower_bound=None, upper_bound=None,
-                num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+                num_partitions: int | None = None,
+                equal_parts: bool = False) -> tuple[DataFrame, DataFrame]:
     """Both relational tables of the pipeline; the partitioning is that of the
-    index scan, whose bounds are asked of the database if they are not given."""
+    index scan, whose bounds are asked of the database if they are not given:
+    equal widths of the column, or with ``equal_parts`` equal row counts."""
     companies = read_jdbc(spark, url=url, table=company_table, user=user,
                           password=password, driver=driver)
     access = {"url": url, "table": index_table, "user": user, "password": password, "driver": driver}
-    if partition_column and lower_bound is None:
+    if partition_column and equal_parts:
+        index = read_jdbc_equal_parts(spark, column=partition_column, num_partitions=num_partitions or 8, **access)
+    elif partition_column and lower_bound is None:
         index = read_jdbc_partitioned(spark, column=partition_column,
                                       num_partitions=num_partitions or 8, **access)
     else:
