@@ -88,7 +88,7 @@ def join_classes(rows: DataFrame, classes: DataFrame, lookup: DataFrame, key: st
     marked = rows.join(F.broadcast(hot), F.col(key).cast("string") == F.col("hot_at"), "left")
     # A hot row has its answer: give it a key that no class has, each another.
     marked = marked.withColumn("at", F.when(F.col("hot").isNull(), F.col(key).cast("string"))
-                               .otherwise(F.concat(F.lit("~"), F.xxhash64(*rows.columns))))
+                               .otherwise(F.concat(F.lit("~"), F.monotonically_increasing_id())))
     joined = marked.hint("merge").join(packed, "at", "left")
     return joined.select(*rows.columns, *[
         F.coalesce(F.col(f"hot.{c}"), F.col(f"found.{c}")).alias(c) for c in values])

@@ -12,8 +12,9 @@ from tickfold.llm.exact_dedup import DigestIndex
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decided = DigestIndex(spark).add(table(spark, sf_dir, "documents"))
-    return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    with DigestIndex(spark) as index:
+        decided = index.add(table(spark, sf_dir, "documents"))
+        return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
