@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tickfold.llm import exact_dedup, simhash, substring_dedup
 from tickfold.llm.components import components
@@ -59,6 +60,31 @@ def test_exact_index_persists_between_batches_and_sessions(spark, tmp_path):
     assert again.rows().count() == 4
 
 
+def test_a_batch_added_again_gets_the_same_answer(spark, tmp_path, monkeypatch):
+    one = docs_of(spark, [(5, "a"), (6, "b"), (7, "b")])
+    two = docs_of(spark, [(1, "a"), (2, "c")])
+    decided = lambda df: sorted(map(str, df.collect()))
+    with exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", 4) as index:
+        first = decided(index.add(one, "day-1"))
+        assert sum("kept=True" in x for x in first) == 2
+        assert decided(index.add(one, "day-1")) == first
+        second = decided(index.add(two, "day-2"))
+        # a failure after the append: the digests are there, the caller has no answer
+        monkeypatch.setattr(exact_dedup, "join_classes", lambda *x: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            index.add(two, "day-2")
+        monkeypatch.undo()
+        assert decided(index.add(two, "day-2")) == second and decided(index.add(one, "day-1")) == first
+        small = index.compacted(f"file://{tmp_path}/compacted")
+        assert small.rows().count() == index.rows().count() == 3
+        again = small.add(docs_of(spark, [(9, "c"), (10, "d")])).collect()
+        assert {(r.doc_id, r.keep_id, r.kept) for r in again} == {(9, 2, False), (10, 10, True)}
+        name = index.name
+    assert not spark.catalog.tableExists(name)
+    with pytest.raises(ValueError, match="batch id"):
+        small.add(one, "../x")
+
+
 def test_exact_index_needs_no_shuffle_of_its_own(spark):
     index = exact_dedup.DigestIndex(spark, buckets=4)
     index.add(docs_of(spark, [(1, "a")])).collect()
@@ -213,6 +239,26 @@ def test_substring_removal_against_brute_force(spark, monkeypatch, group, chars)
     assert sorted((str(x.doc_id), x.n_words, x.n_removed, x.kept_sha256) for x in got) == naive_removal(rows)
 
 
+@pytest.mark.parametrize("sizes", [(0,), (1,), (2,), (5, 6), (11,), (12, 1), (13,), (14, 13), (20, 30), (2, 3, 4, 1)])
+def test_substring_removal_of_few_words(spark, sizes):
+    rows = [(i, " ".join(f"w{k}" for k in range(n))) for i, n in enumerate(sizes)]
+    for parts in (1, len(rows)):
+        got = substring_dedup.remove_repeats(docs_of(spark, rows).repartition(parts)).collect()
+        assert sorted((str(x.doc_id), x.n_words, x.n_removed, x.kept_sha256) for x in got) == naive_removal(rows)
+
+
+def test_repeated_rows_are_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK_CHARS", 3000)
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(7, text)] * 500 + [(None, text)] * 100 + [(9, text), (2**63 - 1, "end of all ids")]
+    got = substring_dedup.remove_repeats(docs_of(spark, rows).withColumn("block", F.lit(1)).withColumn("Words", F.lit("x")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "monotonically_increasing_id" in plan
+    got = got.collect()
+    assert sorted({(str(x.doc_id), x.n_removed) for x in got}) == [("7", 0), ("9", 30), (str(2**63 - 1), 0), ("None", 30)]
+    assert len(got) == len(rows)
+
+
 def test_substring_removal_of_nothing(spark):
     assert substring_dedup.remove_repeats(docs_of(spark, [])).collect() == []
 

@@ -3,7 +3,7 @@
 A window is WINDOW consecutive words of one document.  A word goes where a
 window that covers it also starts in a document with a smaller doc_id.
 
-Documents are dealt to blocks of bounded text by a hash of their id; a block's
+Documents are dealt to blocks of bounded text by a hash of their place; a block's
 text is shuffled once and that exchange serves all steps:
 
 1. Each block sends the distinct 40-bit hashes of its windows, by hash range;
@@ -24,7 +24,8 @@ text is shuffled once and that exchange serves all steps:
 4. Blocks mark the words of windows whose repeat starts in a smaller doc_id.
 
 The smallest document that holds a window decides, so a null doc_id counts as
-larger than all others; rows that repeat a doc_id don't remove each other.
+larger than all others (and as alike with the largest of all ids, 2^63 - 1);
+rows that repeat a doc_id don't remove each other.
 """
 
 from __future__ import annotations
@@ -84,7 +85,8 @@ class Windows:
         rolled = np.zeros(n, np.uint64)
         for k in range(max(lengths)):
             rolled *= _STEP
-            rolled[:n - k] += self.of_word[k:]
+            if k < n:  # a block may have fewer words than a prefix
+                rolled[:n - k] += self.of_word[k:]
             if k + 1 in lengths:
                 out.append(mix(rolled + np.uint64(k)))
         return out
@@ -135,6 +137,7 @@ class Block(Windows):
     def __init__(self, docs: pa.Table):
         order = np.argsort(docs["doc_id"].to_numpy(), kind="stable")
         self.ids = docs["doc_id"].to_numpy()[order]
+        self.no_id = np.array(docs["no_id"].to_pylist(), bool)[order]
         texts = docs["text"].to_pylist()
         super().__init__([texts[i].encode().split() for i in order.tolist()])
 
@@ -195,7 +198,7 @@ def repeats(windows: list[bytes], ids: np.ndarray) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the words
-    left, joined by one space).  A null text has no words."""
+    left, joined by one space).  A null text has no words; an empty table gives no rows."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
     n_blocks, n_groups = 1 + chars // BLOCK_CHARS, 1 + 2 * chars // (6 * GROUP)
@@ -291,19 +294,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         np.add.at(marks, gone + WINDOW, -1)
         covered = np.cumsum(marks) > 0
         out = {k: [] for k in ("doc_id", "n_words", "n_removed", "kept_sha256")}
-        for own, a, z in zip(block.ids.tolist(), block.begin.tolist(), block.begin[1:].tolist(), strict=False):
+        for own, none, a, z in zip(block.ids.tolist(), block.no_id.tolist(), block.begin.tolist(),
+                                   block.begin[1:].tolist(), strict=False):
             kept = block.words[a:z]
             if covered[a:z].any():
                 kept = [kept[i] for i in np.flatnonzero(~covered[a:z]).tolist()]
-            out["doc_id"].append(None if own == LAST else own)
+            out["doc_id"].append(None if none else own)
             out["n_words"].append(z - a)
             out["n_removed"].append(z - a - len(kept))
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
         return pa.table(out, pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
                                         ("n_removed", pa.int64()), ("kept_sha256", pa.string())]))
 
-    blocks = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text",
-                         F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n_blocks)).alias("block"))
+    # By place, not by value: repeated rows and null ids are spread like all others.
+    blocks = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text",
+                         F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_blocks)).alias("block"))
     by_block = blocks.groupBy("block")
     shared = (by_block.applyInArrow(send_hashes, "grp bigint, block bigint, blob binary")
               .groupBy("grp").applyInArrow(shared_hashes, "block bigint, blob binary"))
