@@ -166,7 +166,8 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     base_score, score.
 
     A null text is empty (its only token is the end); a null doc_id counts as
-    the empty string for the split; rows that repeat are scored each.
+    the empty string for the split; rows that repeat are scored each; an empty
+    table gives no rows.
     """
     path = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"),
@@ -188,7 +189,8 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 names=["word", "n", "marginal"])
 
     scored = words.mapInArrow(marginal, "word string, n bigint, marginal double")
-    blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")),
+    # By place, not by value: repeated rows and null ids are spread like all others.
+    blocks = docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()),
                                              F.lit(1 + chars // BLOCK_CHARS)))
     asked_schema = pa.schema([("block", pa.int64()), ("word", pa.string())])
 
