@@ -58,9 +58,9 @@ def judged(rows):
                 for key in ((r["lang"], r["source"]), (r["lang"],), ()):
                     groups[key, k].append(v >> shift << shift)
 
-    def quartiles(key, k):
+    def quantiles(key, k):
         x = sorted(groups[key, k])
-        return x[-(-len(x) // 4) - 1], x[-(-3 * len(x) // 4) - 1]
+        return [x[-(-len(x) * a // 4) - 1] for a in (1, 3)]
 
     kept = []
     for i, (r, c) in counted.items():
@@ -70,9 +70,10 @@ def judged(rows):
             if not groups[own, k] or v is None:
                 continue
             key = next((x for x in (own, own[:1]) if len(groups[x, k]) >= quality_rules.MIN_GROUP), ())
-            q1, q3 = quartiles(key, k)
-            spread = quality_rules.FENCE * max(q3 - q1, quality_rules.RATES[k][2])
-            ok = ok and v <= q3 + spread and (quality_rules.RATES[k][3] != "both" or v >= q1 - spread)
+            low, high = quantiles(key, k)
+            _, _, least, side = quality_rules.RATES[k]
+            apart = quality_rules.FENCE * ((high - low) or least)
+            ok = ok and v <= high + apart and (side != "both" or v >= low - apart)
         if ok:
             kept.append(i)
     return kept

@@ -339,6 +339,19 @@ def test_quality_stage_keeps_columns_and_rows(spark):
     assert quality_rules.keep_good(docs.limit(0)).collect() == [] == quality_rules.score(docs.limit(0)).collect()
 
 
+def test_most_groups_have_cutoffs_of_their_own(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    counted = docs.select("lang", "source", quality_rules.counts_udf("text").alias("counts"))
+    sketch = quality_rules.sketches(counted).cache()
+    cuts = quality_rules.cutoffs(sketch).collect()
+    assert len(cuts) == 80
+    every = quality_rules.quantiles(sketch, "lang", "source").collect()
+    for rate in ("upper", "word_length"):
+        apart = [r for r in every if r.rate == rate and r.high > r.low]
+        assert len(apart) > 60
+        assert len({c.cuts[rate].high for c in cuts}) > 2
+
+
 def test_sketches_merge_and_are_near_the_quantiles(spark):
     r = np.random.default_rng(3)
     values = r.lognormal(9, 2, 4000).astype(int)
@@ -346,9 +359,9 @@ def test_sketches_merge_and_are_near_the_quantiles(spark):
                                   "lang string, source string, rate string, v long")
     sketch = cells.withColumn("cell", quality_rules.cell(F.col("v"))).groupBy("lang", "source", "rate", "cell").agg(
         F.count(F.lit(1)).alias("n"))
-    row = quality_rules.quartiles(sketch.union(sketch)).first()  # merging doubles counts only
+    row = quality_rules.quantiles(sketch.union(sketch)).first()  # merging doubles counts only
     assert row.docs == 8000
-    for q, got in ((0.25, row.q1), (0.75, row.q3)):
+    for q, got in ((0.25, row.low), (0.75, row.high)):
         exact = np.quantile(values, q, method="inverted_cdf")
         assert exact * (1 - 1 / 16) <= got <= exact
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from tickfold.llm.divergence import MIN_DOCS, TOP_TERMS
 from tickfold.llm.licenses import KNOWN, SPELLINGS
-from tickfold.llm.quality_rules import (FENCE, MAX_REPEAT_PERCENT, MILLION, MIN_GROUP, MIN_WORDS, RATES,
-                                        WINDOW)
+from tickfold.llm.quality_rules import (FENCE, MAX_REPEAT_PERCENT, MILLION, MIN_GROUP, MIN_WORDS, QUANTILES,
+                                        RATES, WINDOW)
 
 OP5 = """
 WITH d AS (
@@ -80,13 +80,13 @@ def _cutoffs() -> str:
                       for r, (top, bottom, _, _) in RATES.items())
     least = " ".join(f"WHEN '{r}' THEN {v[2]}" for r, v in RATES.items())
     both = ", ".join(f"'{r}'" for r, v in RATES.items() if v[3] == "both")
-    quartile = ("min(cell) FILTER (upto * 4 >= docs) AS q1, min(cell) FILTER (upto * 4 >= docs * 3) AS q3, "
-                "any_value(docs) AS docs")
+    quantile = ", ".join(f"min(cell) FILTER (upto * {b} >= docs * {a}) AS {q}" for q, (a, b) in QUANTILES.items())
+    quantile += ", any_value(docs) AS docs"
 
     def grouped(*keys: str) -> str:
         by = ", ".join([*keys, "rate"])
         return f"""(
-  SELECT {by}, {quartile} FROM (
+  SELECT {by}, {quantile} FROM (
     SELECT {by}, cell, sum(n) OVER (PARTITION BY {by}) AS docs, sum(n) OVER (PARTITION BY {by} ORDER BY cell) AS upto
     FROM (SELECT {by}, cell, count(*) AS n FROM sketched GROUP BY {by}, cell)) GROUP BY {by})"""
 
@@ -100,13 +100,14 @@ sketched AS (
   SELECT lang, source, rate, (v >> greatest(0, length(bin(v)) - 5)) << greatest(0, length(bin(v)) - 5) AS cell
   FROM rated WHERE NOT base_failed AND v IS NOT NULL),
 cut AS (
-  SELECT own.lang, own.source, own.rate, {pick('q1')} AS low, {pick('q3')} AS high,
-         {FENCE} * greatest(high - low, CASE own.rate {least} END) AS spread
+  SELECT own.lang, own.source, own.rate, {pick('low')} AS ql, {pick('high')} AS qh,
+         {FENCE} * CASE WHEN qh > ql THEN qh - ql ELSE CASE own.rate {least} END END AS apart,
+         ql - apart AS low, qh + apart AS high
   FROM {grouped('lang', 'source')} own
   JOIN {grouped('lang')} l ON own.lang IS NOT DISTINCT FROM l.lang AND own.rate = l.rate
   JOIN {grouped()} a ON own.rate = a.rate),
 verdict AS (
-  SELECT doc_id, bool_and(coalesce(v <= high + spread AND (r.rate NOT IN ({both}) OR v >= low - spread), true)) AS ok
+  SELECT doc_id, bool_and(coalesce(v <= high AND (r.rate NOT IN ({both}) OR v >= low), true)) AS ok
   FROM rated r LEFT JOIN cut ON r.lang IS NOT DISTINCT FROM cut.lang
     AND r.source IS NOT DISTINCT FROM cut.source AND r.rate = cut.rate
   GROUP BY doc_id)"""

@@ -1,15 +1,16 @@
 """Quality rules with adaptive thresholds (operator 10).
 
 Each document gets a few whole-text counts.  Every rate built from them is
-summarised per (lang, source) by a mergeable quantile sketch, and the sketch's
-quartiles give that group its own cut-offs; documents are then joined with the
-cut-offs of their group and filtered.
+summarised per (lang, source) by a mergeable quantile sketch.  The sketch's quartiles
+give that group its own cut-offs: how far beyond them a document may be depends on
+how far apart they are there.  Documents are then joined with the cut-offs of their
+group and filtered.
 
 The sketch is a histogram whose cells keep the five leading binary digits of an
 integer (rates are in millionths), so a quantile is off by at most 1/16 of its
 value.  Sketches merge by adding counts, which is an ordinary ``groupBy`` with
 map-side combine: no group's rows ever meet in one task, and a group too small
-for quartiles of its own uses the merged sketch of its language, or of all.
+for quantiles of its own uses the merged sketch of its language, or of all.
 """
 
 from __future__ import annotations
@@ -32,15 +33,18 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 #: A group with fewer sketched documents takes the cut-offs of its language, then of all.
 MIN_GROUP = 100
-#: Cut-off: third quartile + FENCE * max(spread between quartiles, least spread).
-FENCE = 6.0
-#: Rates in millionths, as (numerator, denominator, least spread, which side is cut).
+#: Cut-off: quartile + FENCE * the distance between the quartiles.
+FENCE = 12.0
+#: The quantiles taken from a sketch, as fractions.
+QUANTILES = {"low": (1, 4), "high": (3, 4)}
+#: Rates in millionths, as (numerator, denominator, distance taken where a group's
+#: quartiles are the same, which side is cut).
 RATES = {
-    "symbols": ("n_symbols", "word_chars", 10_000, "high"),
-    "dup_lines": ("n_dup_lines", "n_lines", 100_000, "high"),
-    "upper": ("n_upper", "word_chars", 50_000, "high"),
-    "marks": ("n_marks", "n_words", 50_000, "high"),
-    "word_length": ("word_chars", "n_words", 700_000, "both"),
+    "symbols": ("n_symbols", "word_chars", 5_000, "high"),
+    "dup_lines": ("n_dup_lines", "n_lines", 50_000, "high"),
+    "upper": ("n_upper", "word_chars", 25_000, "high"),
+    "marks": ("n_marks", "n_words", 25_000, "high"),
+    "word_length": ("word_chars", "n_words", 350_000, "both"),
 }
 MILLION = 1_000_000
 
@@ -122,37 +126,37 @@ def sketches(counted: DataFrame, m: str = "counts") -> DataFrame:
             .groupBy("lang", "source", "rate", "cell").agg(F.count(F.lit(1)).alias("n")))
 
 
-def quartiles(sketch: DataFrame, *group: str) -> DataFrame:
-    """Documents and the quartile cells of each group, from merged sketches."""
+def quantiles(sketch: DataFrame, *group: str) -> DataFrame:
+    """Documents and the QUANTILES cells of each group, from merged sketches."""
     keys = [*group, "rate"]
     merged = sketch.groupBy(*keys, "cell").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys)
     ranked = merged.withColumn("docs", F.sum("n").over(by)).withColumn(
         "upto", F.sum("n").over(by.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)))
     return ranked.groupBy(*keys, "docs").agg(
-        F.min(F.when(F.col("upto") * 4 >= F.col("docs"), F.col("cell"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("docs") * 3, F.col("cell"))).alias("q3"))
+        *[F.min(F.when(F.col("upto") * b >= F.col("docs") * a, F.col("cell"))).alias(q)
+          for q, (a, b) in QUANTILES.items()])
 
 
 def cutoffs(sketch: DataFrame) -> DataFrame:
     """One row per (lang, source) with a map rate -> (low, high) in millionths."""
-    own = quartiles(sketch, "lang", "source")
-    lang = quartiles(sketch, "lang").select(
+    own = quantiles(sketch, "lang", "source")
+    lang = quantiles(sketch, "lang").select(
         F.col("lang").alias("l"), F.col("rate").alias("lr"), F.col("docs").alias("ld"),
-        F.col("q1").alias("l1"), F.col("q3").alias("l3"))
-    every = quartiles(sketch).select(F.col("rate").alias("ar"), F.col("q1").alias("a1"),
-                                     F.col("q3").alias("a3"))
+        *[F.col(q).alias(f"l_{q}") for q in QUANTILES])
+    every = quantiles(sketch).select(F.col("rate").alias("ar"), *[F.col(q).alias(f"a_{q}") for q in QUANTILES])
     best = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rate") == F.col("lr")))
     best = best.join(F.broadcast(every), F.col("rate") == F.col("ar"))  # one row per rate
-    pick = lambda q: (F.when(F.col("docs") >= MIN_GROUP, F.col(f"q{q}"))
-                      .when(F.col("ld") >= MIN_GROUP, F.col(f"l{q}")).otherwise(F.col(f"a{q}")))
-    least = F.create_map(*[F.lit(x) for r, v in RATES.items() for x in (r, v[2])])
+    pick = lambda q: (F.when(F.col("docs") >= MIN_GROUP, F.col(q))
+                      .when(F.col("ld") >= MIN_GROUP, F.col(f"l_{q}")).otherwise(F.col(f"a_{q}")))
+    low, high = map(pick, QUANTILES)
+    least = F.create_map(*[F.lit(x) for r, v in RATES.items() for x in (r, v[2])])[F.col("rate")]
+    apart = FENCE * F.when(high > low, high - low).otherwise(least)
     low_cut = F.col("rate").isin([r for r, v in RATES.items() if v[3] == "both"])
-    spread = FENCE * F.greatest(pick(3) - pick(1), least[F.col("rate")])
     return best.select(
         "lang", "source", "rate",
-        F.when(low_cut, pick(1) - spread).otherwise(F.lit(-1.0)).alias("low"),
-        (pick(3) + spread).alias("high")).groupBy("lang", "source").agg(
+        F.when(low_cut, low - apart).otherwise(F.lit(-1.0)).alias("low"),
+        (high + apart).alias("high")).groupBy("lang", "source").agg(
         F.map_from_entries(F.collect_list(F.struct("rate", F.struct("low", "high")))).alias("cuts"))
 
 
@@ -175,7 +179,8 @@ def score(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the counts, base_failed, kept.
 
     A null text counts as empty, so it fails the fixed rules; null lang or
-    source is a group like any other; repeated rows are judged each.
+    source is a group like any other; repeated rows are judged each; an empty
+    table gives no rows.
     """
     counted = stored(docs.select("doc_id", "lang", "source", counts_udf("text").alias("counts")),
                      "quality-counts")
