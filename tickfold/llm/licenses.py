@@ -81,7 +81,16 @@ FAMILIES = (
 CC = (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
       ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
 LEADS = tuple(f"{s}{v} under " for s, v in product(
-    ("", *(f"This {x} is " for x in ("work", "software", "program", "project", "file", "document"))), ("licensed", "released", "distributed")))
+    ("", *(f"This {x} is " for x in ("work", "software", "program", "project", "file", "document"))),
+    ("licensed", "released", "distributed", "available")))
+#: Licences that are also given "or any later version", and how.
+LATER = ("GPL", "LGPL", "AGPL")
+LATER_WAYS = (" or later", " or any later version", " or (at your option) any later version")
+#: Titles that stand above a text, or don't.
+TITLES = {"MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+          "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"), "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License"),
+          "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License"),
+          "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License")}
 
 
 def notices() -> list[tuple[str, str]]:
@@ -97,6 +106,14 @@ def notices() -> list[tuple[str, str]]:
             if v:  # a name without its version is not one licence
                 ways.discard(f"the {name} License")
             out += [(spdx, lead + way) for lead in LEADS for way in ways] + [(spdx, f"SPDX-License-Identifier: {spdx}")]
+            if key in LATER:
+                later = f"{spdx}-or-later"
+                ways = {way + end for way in ways if "ersion" in way or way.startswith(key) for end in LATER_WAYS}
+                ways |= {f"the {name} License, version {n}, or later" for n in {v, v.removesuffix(".0")}} | {f"{key}, version {v.removesuffix('.0')} or later"}
+                out += [(later, lead + way) for lead in LEADS for way in ways]
+                out += [(later, way) for way in ways if way.startswith(key)]
+                out += [(n, f"SPDX-License-Identifier: {n}") for n in (later, f"{spdx}-only")]
+                out += [(later, f"SPDX-License-Identifier: {spdx}+")]
     for (key, name), v in product(CC, ("1.0", "2.0", "2.5", "3.0", "4.0")):
         spdx, kind = f"CC-{key}-{v}", "International" if v == "4.0" else "Unported" if v == "3.0" else "Generic"
         ways = (f"CC {key} {v}", f"a Creative Commons {name} {v} License", f"the Creative Commons {name} {v} License",
@@ -106,8 +123,12 @@ def notices() -> list[tuple[str, str]]:
 
 
 def texts() -> list[tuple[str, str]]:
-    """(licence, whole text): with the appendix on how to apply it, and without."""
+    """(licence, whole text): under each of its titles and none, with the appendix on
+    how to apply it and without."""
     out = [("BSD-3-Clause", BSD3)]
+    for name, text in (("MIT", MIT), ("ISC", ISC), ("0BSD", ZERO_BSD), ("BSD-2-Clause", BSD2), ("BSD-3-Clause", BSD3)):
+        body = text.split("\n", 1)[1]
+        out += [(name, f"{title}\n{body}") for title in ("", *TITLES[name])]
     folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
     for file, name in FILES.items():
         with open(os.path.join(folder, file), encoding="utf-8") as f:
@@ -142,13 +163,14 @@ def canonical_lines(text: Column) -> Column:
     return out
 
 
-def canonical(text: Column) -> Column:
-    """:func:`canonical_lines` as one line."""
-    return F.trim(F.regexp_replace(canonical_lines(text), "[ \n]+", " "))
+def lines_of(text: Column) -> Column:
+    """The lines of :func:`canonical_lines` that hold anything, as an array."""
+    return F.filter(F.transform(F.split(canonical_lines(text), "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+def digest(lines: Column) -> Column:
+    """Of the whole text: its lines as one."""
+    return F.sha2(F.array_join(lines, " "), 256)
 
 
 def known_licenses(spark: SparkSession, known=None) -> DataFrame:
@@ -157,7 +179,7 @@ def known_licenses(spark: SparkSession, known=None) -> DataFrame:
     # as JSON: a local table without Python
     rows = json.dumps([{"license": n, "text": t} for n, t in rows])
     frame = spark.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<license: string, text: string>>")))
-    return frame.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    return frame.groupBy(digest(lines_of(F.col("text"))).alias("digest")).agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -165,22 +187,23 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     text, or null), notices (licences of single lines, sorted, joined by commas, or null).
 
     Null counts as empty.  Texts and lines without a letter or digit match
-    nothing.  Rows that repeat a doc_id share their notices, null ids among them.
+    nothing.  Rows that repeat a doc_id share their notices, null ids among them; an
+    empty table gives no rows.
     """
     spark = docs.sparkSession
     built_in = known is None
     known = stored(known_licenses(spark) if built_in else known, "known-licenses")
     if built_in:  # a few thousand rows, whatever the documents
         known = F.broadcast(known)
-    docs = docs.select("doc_id", text_or_empty().alias("text"))
-    whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"))
-    whole = whole.join(known.select(F.col("digest").alias("text_digest"), "license"), "text_digest", "left")
-    # The whole text is made canonical at once; its lines then only need their ends trimmed.
-    lines = docs.select("doc_id", F.explode(F.split(canonical_lines(F.col("text")), "\n")).alias("line"))
-    lines = lines.select("doc_id", F.trim("line").alias("line")).filter("line <> ''")
-    found = lines.select("doc_id", F.sha2("line", 256).alias("digest")).join(known, "digest")
-    notices = found.groupBy("doc_id").agg(
+    # Each text is read and made canonical once: its own digest and those of its lines
+    # are looked up together, and of the lines only those that are known are kept.
+    lines = docs.select("doc_id", lines_of(text_or_empty()).alias("lines"))
+    each = lambda whole, value: F.struct(F.lit(whole).alias("whole"), value.alias("digest"))
+    digests = lines.select("doc_id", F.inline(F.concat(
+        F.array(each(True, digest(F.col("lines")))), F.transform("lines", lambda x: each(False, F.sha2(x, 256))))))
+    found = stored(digests.join(known, "digest", "left").filter("whole OR license IS NOT NULL"), "license-digests")
+    whole = found.filter("whole").select("doc_id", F.col("digest").alias("text_digest"), "license")
+    notices = found.filter("NOT whole").groupBy(F.col("doc_id").alias("id")).agg(
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("notices"))
-    notices = stored(notices, "license-notices").withColumnRenamed("doc_id", "id")
     return whole.join(notices, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
         "doc_id", "text_digest", "license", "notices")

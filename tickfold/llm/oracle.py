@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tickfold.llm.divergence import MIN_DOCS, TOP_TERMS
-from tickfold.llm.licenses import KNOWN, SPELLINGS
+from tickfold.llm.licenses import KNOWN, SPELLINGS, notices, texts
 from tickfold.llm.quality_rules import (FENCE, MAX_REPEAT_PERCENT, MILLION, MIN_GROUP, MIN_WORDS, QUANTILES,
                                         RATES, WINDOW)
 
@@ -63,7 +63,7 @@ def _canonical(text: str) -> str:
 OP3 = f"""
 WITH known AS (
   SELECT min(license) AS license, {_canonical('text')} AS digest
-  FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN)}) AS t(license, text) GROUP BY 2),
+  FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in sorted({*KNOWN, *texts(), *notices()}))}) AS t(license, text) GROUP BY 2),
 d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
 hit AS (
