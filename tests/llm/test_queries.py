@@ -122,12 +122,9 @@ def fitted(rows):
     for _ in range(500):
         for label, goal in margins:
             weight *= (goal * total / np.bincount(label, tokens * weight))[label]
-    low, high = 0.0, 1 / weight.min()
-    for _ in range(100):
-        middle = (low + high) / 2
-        low, high = (low, middle) if (tokens * np.minimum(1, weight * middle)).sum() >= mixing.KEEP * total \
-            else (middle, high)
-    return dict(zip(keys, np.minimum(1, weight * high), strict=True))
+    high = weight[tokens >= mixing.LEAST_SHARE * total].max()
+    scale = min(mixing.KEEP * total / (tokens * weight).sum(), 1 / high)
+    return dict(zip(keys, np.minimum(1, weight * scale), strict=True))
 
 
 def test_pipeline_against_brute_force(spark):

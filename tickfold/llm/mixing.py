@@ -30,6 +30,8 @@ TOPICS = 8
 TEMPER = 0.7
 #: Share of all tokens that the sample keeps in expectation, if the targets allow it.
 KEEP = 0.9
+#: A cell with a smaller share of all tokens doesn't set the scale of the sample.
+LEAST_SHARE = 1e-4
 #: Raking ends when no margin is off by more than this share of all tokens.
 TOLERANCE = 1e-4
 ROUNDS = 50
@@ -117,37 +119,20 @@ def faithful(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     """``raked`` with ``probability``: scale * weight, with one scale for all cells.
 
     The margins of the sample are those of the weights.  It keeps the given
-    share of all tokens in expectation, or as much as the most wanted cell
-    allows, which then stays whole.
+    share of all tokens in expectation, or as much as the most wanted cell of at
+    least LEAST_SHARE of the tokens allows, which then stays whole.  Smaller cells
+    that are wanted more stay whole too, and are short by less than that share each.
     """
-    high, total, wanted = raked.filter("weight > 0 AND tokens > 0").agg(
-        F.max("weight"), F.coalesce(F.sum("tokens"), F.lit(0)), F.sum(F.col("tokens") * F.col("weight"))).head()
-    if not total:
+    whole = raked.agg(F.coalesce(F.sum("tokens"), F.lit(0))).head()[0]
+    if not whole:
         return raked.withColumn("probability", F.lit(1.0))
-    whole = raked.agg(F.sum("tokens")).head()[0]
-    scale = min(keep * whole / wanted, 1 / high)
-    return raked.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * scale))
-
-
-def probabilities(raked: DataFrame, keep: float = KEEP) -> DataFrame:
-    """``raked`` with ``probability``: min(1, scale * weight), with the scale that
-    keeps the given share of all tokens in expectation.
-
-    For callers that must have the share: where a cell is cut at 1, the margins
-    of the weights are lost.  The operator samples by ``faithful``.
-    """
-    low, high, total = raked.filter("weight > 0 AND tokens > 0").agg(
-        F.min("weight"), F.max("weight"), F.coalesce(F.sum("tokens"), F.lit(0))).head()
-    if not total:
+    high, wanted = raked.filter("weight > 0 AND tokens > 0").agg(
+        F.max(F.when(F.col("tokens") >= LEAST_SHARE * whole, F.col("weight"))),
+        F.sum(F.col("tokens") * F.col("weight"))).head()
+    if not wanted:
         return raked.withColumn("probability", F.lit(1.0))
-    whole = raked.agg(F.sum("tokens")).head()[0]
-    least, most, steps = keep / high, 1 / low, 32
-    for _ in range(3):  # each pass narrows the scale's range 32-fold
-        grid = [least * (most / least) ** (k / steps) for k in range(steps + 1)]
-        kept = raked.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * s)) for s in grid]).head()
-        at = next((k for k, x in enumerate(kept) if x >= keep * whole), steps)
-        least, most = grid[max(0, at - 1)], grid[at]
-    return raked.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * most))
+    scale = min(keep * whole / wanted, 1 / high if high else 1.0)
+    return raked.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * scale))
 
 
 def _sampled(marked: DataFrame, f: str, targets, keep: float) -> DataFrame:
@@ -175,7 +160,7 @@ def score(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: fl
     """One row per document: doc_id, source, lang, topic, tokens, weight, probability, kept.
 
     A null text has no tokens and topic 0; null source or lang is a category.
-    Rows that repeat are alike in all columns.
+    Rows that repeat are alike in all columns; an empty table gives no rows.
     """
     marked = with_features(docs.select("doc_id", "text", "source", "lang"), "cell")
     marked = stored(marked.select("doc_id", "cell", _chance().alias("chance")), "mixing-docs")
