@@ -18,9 +18,9 @@ text is shuffled once and that exchange serves all steps:
    stretch of text.  A block sends each distinct window once, with the least
    doc_id it has there, so a window in very many documents costs a row for each
    block, not one for each occurrence.
-3. A group sorts its windows; neighbours with common prefixes give its subtree,
-   whose inner nodes at depth WINDOW are the repeats (a longer, maximal repeat
-   is a run of them in its document).
+3. A group sorts its windows, and neighbours that are equal are repeats: the nodes
+   that a suffix tree would have at depth WINDOW.  Suffixes are not followed
+   beyond it; a longer repeat is a run of windows in its document.
 4. Blocks mark the words of windows whose repeat starts in a smaller doc_id.
 
 The smallest document that holds a window decides, so a null doc_id counts as
