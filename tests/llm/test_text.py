@@ -1,6 +1,7 @@
 """WARC, HTML, LM scores, packing, quality rules, mixing and licences."""
 
 import collections
+import gzip
 import hashlib
 import math
 import random
@@ -44,6 +45,22 @@ def test_warc_round_trip(spark):
     assert warc.read(warc.write(spark.createDataFrame([], PAGES))).collect() == []
 
 
+DATE = "2024-01-02T03:04:05Z"
+
+
+def test_records_have_dates_and_ids_of_their_own(spark, tmp_path):
+    rows = [(7, "http://a/", "x" * 200, "clash")] * 3 + [(8, "http://b/", "x" * 200, "clash")]
+    index = warc.write(spark.createDataFrame(rows, PAGES + ", archive string").repartition(1), str(tmp_path / "w"), DATE)
+    (path,) = {r.archive for r in index.collect()}
+    heads = [x.partition("\r\n\r\n")[0].split("\r\n") for x in gzip.open(path, "rt", newline="").read().split("WARC/1.1")[1:]]
+    ids = [next(f for f in h if f.startswith("WARC-Record-ID")) for h in heads]
+    assert len(set(ids)) == 4 and all(f"WARC-Date: {DATE}" in h for h in heads)
+    records = warc.read(index)
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in records.collect()) == \
+        [(7, "response", None)] * 3 + [(8, "revisit", 7)]
+    assert records.rdd.getNumPartitions() > 1 or spark.sparkContext.defaultParallelism == 1
+
+
 def test_ranges_are_joined_up_to_a_gap_and_a_size():
     gap, most = warc.GAP, warc.READ
     rows = [(0, 10), (10, 5), (15 + gap, 10), (26 + 2 * gap, most), (30 + 2 * gap + most, 1)]
@@ -52,7 +69,7 @@ def test_ranges_are_joined_up_to_a_gap_and_a_size():
 
 
 def test_a_damaged_record_is_noticed():
-    raw = warc.record(1, "u", b"payload", hashlib.sha256(b"payload").hexdigest(), None)
+    raw = warc.record(1, "u", b"payload", hashlib.sha256(b"payload").hexdigest(), None, DATE, "a/0")
     assert warc.parse(raw)[-1] == "payload"
     with pytest.raises(ValueError):
         warc.parse(raw.replace(b"payload", b"pAyload"))

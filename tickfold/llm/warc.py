@@ -17,6 +17,7 @@ import gzip
 import hashlib
 import uuid
 import zlib
+from datetime import UTC, datetime
 from itertools import groupby
 
 import pyarrow as pa
@@ -32,6 +33,8 @@ LEAST_REVISIT = 100
 ARCHIVE = 256 << 20
 GAP = 64 << 10
 READ = 8 << 20
+#: Bytes of archives that a reading task gets, about.
+TASK = 64 << 20
 
 INDEX = ("page_id bigint, url string, digest string, type string, refers_to bigint, "
          "archive string, offset bigint, length bigint")
@@ -44,17 +47,22 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[t]) for n, t in (x.split() for x in ddl.split(", "))])
 
 
-def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
-    """One WARC/1.1 record; a revisit leaves its payload out."""
+def record(page_id, url, payload: bytes, digest: str, refers_to, date: str, place: str) -> bytes:
+    """One WARC/1.1 record; a revisit leaves its payload out.
+
+    ``place`` names the archive and offset, so that no two records share an id;
+    pages are told apart by fields of our own.
+    """
     kind = "response" if refers_to is None else "revisit"
     body = payload if refers_to is None else b""
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{_text(page_id)}>",
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, place)}>",
+            f"WARC-Date: {date}", f"Page-ID: {_text(page_id)}",
             f"WARC-Payload-Digest: sha256:{digest}", f"Content-Length: {len(body)}"]
     if url is not None:  # one line, whatever the URL holds
         head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
     if refers_to is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"WARC-Refers-To: <urn:page:{refers_to}>"]
+                 f"WARC-Refers-To-Date: {date}", f"Page-Refers-To: {refers_to}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
@@ -74,7 +82,7 @@ def parse(raw: bytes) -> tuple:
         raise ValueError("a WARC record is cut off")
 
     def page(name):
-        found = field.get(name, "")[len("<urn:page:"):-1]
+        found = field.get(name)
         return int(found) if found else None
 
     url = field.get("WARC-Target-URI")
@@ -83,7 +91,7 @@ def parse(raw: bytes) -> tuple:
     digest = field["WARC-Payload-Digest"].removeprefix("sha256:")
     if field["WARC-Type"] == "response" and hashlib.sha256(body).hexdigest() != digest:
         raise ValueError("a payload doesn't have its digest")
-    return (page("WARC-Record-ID"), url, field["WARC-Type"], digest, page("WARC-Refers-To"),
+    return (page("Page-ID"), url, field["WARC-Type"], digest, page("Page-Refers-To"),
             body.decode() if field["WARC-Type"] == "response" else None)
 
 
@@ -94,13 +102,17 @@ def first_pages(pages: DataFrame) -> DataFrame:
     return sizes.filter("n > 1 AND first_id IS NOT NULL").select("digest", "first_id")
 
 
-def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
+def write(pages: DataFrame, folder: str | None = None, date: str | None = None) -> DataFrame:
     """Archive ``pages`` (page_id, url, html) and return the stored index.
 
+    ``date`` is the WARC-Date of all records, the time of the call if not given.
+
     A null html is an empty payload, a null url leaves its line out; a null
     page_id is kept and never a revisit's target.  Rows that repeat a page_id
     and its payload are archived each, as responses if the id is the smallest.
+    An empty table gives an empty index; other columns are left out.
     """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     folder = folder or new_path(pages.sparkSession, "warc")
     payload = F.coalesce(F.col("html"), F.lit(""))
     pages = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url",
@@ -127,7 +139,8 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
                         out.close()
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = files.open_output_stream(f"{root}/{name}", compression=None)
-                raw = record(row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"])
+                raw = record(row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"],
+                             date, f"{name}/{at}")
                 member = gzip.compress(raw, 4, mtime=0)
                 out.write(member)
                 kind = "response" if row["refers_to"] is None else "revisit"
@@ -156,7 +169,11 @@ def ranges(rows: list[tuple[int, int]]):
 
 
 def read(index: DataFrame) -> DataFrame:
-    """The records of the given index rows; see RECORD."""
+    """The records of the given index rows; see RECORD.
+
+    Tasks are cut by the bytes of the records, not of the index; an empty index
+    gives no rows, a row given twice is read twice.
+    """
     schema = _schema(RECORD)
 
     def run(batches):
@@ -181,7 +198,9 @@ def read(index: DataFrame) -> DataFrame:
         if opened is not None:
             opened.close()
 
-    ordered = (index.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0))).head()[0]
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, 1 + size // TASK)
+    ordered = (index.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset")
                .sortWithinPartitions("archive", "offset"))
     return ordered.mapInArrow(run, RECORD)
 
