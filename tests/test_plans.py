@@ -5,7 +5,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tickfold.operators.joins import bounded_size, join_company, join_dimension
+from tickfold.operators.rollup import coarsen, finish, period_state
 from tickfold.plans import gold, silver
+from tickfold.plans.by_ticker import TickerTables
 from tickfold.sources import adapters
 
 SF = "/root/testdata/sf0.001"
@@ -65,6 +67,26 @@ def test_unsorted_rollup_has_no_range_shuffle(spark):
     assert "rangepartitioning" not in plan_text(core)
 
 
+def test_tables_by_ticker_need_no_exchange(spark, tmp_path):
+    inp = adapters.inputs(spark, SF, "lineitem")
+    with TickerTables(spark, str(tmp_path)) as tables:
+        core = tables.write(silver.core(inp.trades, inp.index), "core", "datetime")
+        day = period_state(core, "day")
+        assert "Exchange" not in plan_text(day) and "HashAggregate" in plan_text(day)
+        state = tables.write(day, "day", "period", placed=True)
+        files = [x for x in (tmp_path / "day").iterdir() if x.suffix == ".parquet"]
+        assert 0 < len(files) <= tables.buckets  # a file a bucket
+        months = coarsen(state, "month")
+        assert "Exchange" not in plan_text(months)
+        assert plan_text(join_company(core, inp.companies, broadcast="never")).count("Exchange hashpartitioning(ticker") == 1
+        want = gold.rollup(silver.core(inp.trades, inp.index), inp.companies, "month").collect()
+        assert finish(months, inp.companies, "month").collect() == want and want
+        none = tables.write(silver.core(inp.trades, inp.index).limit(0), "none", "datetime")
+        assert none.count() == 0 and period_state(none, "day").collect() == []
+        names = list(tables.names)
+    assert not any(spark.catalog.tableExists(n) for n in names)
+
+
 def test_hourly_aggregate_is_two_phase(spark):
     text = plan_text(silver.core(adapters.events_trades(spark, SF), adapters.events_index(spark, SF)))
     assert "partial_sum(shares" in text

@@ -248,6 +248,7 @@ def oracle_sql() -> dict[str, str]:
     sql["q_facade_daily_events"] = _gold("events", "day")
     sql["q_facade_monthly_events"] = _gold("events", "month")
     sql |= _raw_sql()
+    sql["q_full_run_by_ticker"] = sql["q_full_run_quarterly"]
     sql["q_full_run_documents"] = _gold("documents", "quarter")
     sql["q_full_run_quality"] = sql["q_documents_quality_mixed"]
     sql["q_incremental_quarterly"] = _gold("events", "quarter")

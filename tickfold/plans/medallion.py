@@ -20,6 +20,7 @@ from __future__ import annotations
 import dataclasses
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,6 +32,7 @@ from tickfold.functions.time import GRAINS, LABEL_COLUMNS, as_timestamp
 from tickfold.operators.index import duplicate_hours, index_hourly
 from tickfold.operators.rollup import period_state
 from tickfold.plans import gold, silver
+from tickfold.plans.by_ticker import TickerTables
 from tickfold.session import checkpoint_root, settings
 from tickfold.sinks.csv import OUTPUT_NAMES, drop_periods, write_csv, write_partitioned_csv
 from tickfold.sinks.published import current, folders, publish, remove_folder
@@ -78,6 +80,7 @@ def run(
     partitioned: bool = False,
     time_range: tuple[str, str] | None = None,
     keep_work: bool = False,
+    by_ticker: bool = False,
 ) -> dict[str, str]:
     """Run the pipeline and return ``{grain: output folder}`` (``"hour"`` is
     the silver report).
@@ -96,6 +99,10 @@ def run(
     already, the range must be whole months (whole years with the quarterly
     report) of a partitioned set: these folders of its reports are replaced, one
     report after the other, and all others stay.
+
+    ``by_ticker`` lays the silver core and the state out by ticker (``TickerTables``):
+    one shuffle of the hourly rows, none after it.  It pays where companies are
+    too many to broadcast; else shuffling the day state is less.
     """
     root = output_path.rstrip("/")
     before = current(spark, root)
@@ -112,7 +119,8 @@ def run(
     work = f"{checkpoint_root(spark)}/tickfold/run-{run_id}"
     folder, published = f"{root}/sets/{run_id}", False
     try:
-        with settings(spark):
+        with ExitStack() as open_tables, settings(spark):
+            tables_by_ticker = open_tables.enter_context(TickerTables(spark, work)) if by_ticker else None
             seen = None
             if inputs.documents is not None and inputs.trades is None and not time_range:
                 seen = Observation()
@@ -122,12 +130,16 @@ def run(
             if time_range:
                 trades, index = within(trades, time_range), within(index, time_range)
             by_hour = materialise(spark, index_hourly(index), f"{work}/index")
-            core = materialise(spark, silver.joined_core(trades, by_hour, check=True), f"{work}/silver-core")
+            core = silver.joined_core(trades, by_hour, check=True)
+            core = tables_by_ticker.write(core, "silver_core", "datetime") if by_ticker \
+                else materialise(spark, core, f"{work}/silver-core")
             reports = {"hour": silver.report(core, inputs.companies, round_decimals=hourly_round)}
             decimals = {"hour": hourly_round}
             if grains:
                 finest = min(grains, key=GRAINS.index)
-                state = materialise(spark, period_state(core, finest), f"{work}/state-{finest}")
+                state = period_state(core, finest)
+                state = tables_by_ticker.write(state, f"state_{finest}", "period", placed=True) if by_ticker \
+                    else materialise(spark, state, f"{work}/state-{finest}")
                 for grain in grains:
                     reports[grain] = gold.rollup_from_state(state, finest, inputs.companies, grain)
                     decimals[grain] = REPORT_DECIMALS

@@ -233,6 +233,13 @@ def q_full_run_quarterly(spark, sf_dir):
     return read_csv(spark, written["quarter"], report_schema(LABEL_COLUMNS["quarter"]))
 
 
+def q_full_run_by_ticker(spark, sf_dir):
+    """The whole run over silver and state tables laid out by ticker."""
+    out = scratch_path(spark, "run-by-ticker")
+    medallion.run(spark, _inputs(spark, sf_dir, "lineitem"), out, by_ticker=True)
+    return read_csv(spark, f"{out}/{OUTPUT_NAMES['quarter']}", report_schema("quarter"))
+
+
 def q_full_run_documents(spark, sf_dir):
     """M10 over nested documents, counted for quality in the pass that reads them;
     the quarterly report is found through the published set."""
@@ -424,6 +431,7 @@ def queries() -> dict[str, Query]:
         "q_documents_variant": q_documents_variant,
         "q_full_run_documents": q_full_run_documents,
         "q_full_run_quality": q_full_run_quality,
+        "q_full_run_by_ticker": q_full_run_by_ticker,
         "q_incremental_quarterly": q_incremental_quarterly,
         "q_replace_month_daily": q_replace_month_daily,
     })
