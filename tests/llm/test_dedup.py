@@ -259,6 +259,65 @@ def test_repeated_rows_are_spread_over_blocks(spark, monkeypatch):
     assert len(got) == len(rows)
 
 
+def naive_repeats(stretches, ids, least):
+    """(stretch, first word, words, least id): what a suffix has in common with a
+    stretch of a lesser id, where it reaches beyond that of the suffix before."""
+    out = []
+    for t, w in enumerate(stretches):
+        before = 0
+        for s in range(len(w) - least + 1):
+            found = [(0, 0)]
+            for u, v in enumerate(stretches):
+                for x in range(len(v) if ids[u] < ids[t] else 0):
+                    k = 0
+                    while s + k < len(w) and x + k < len(v) and w[s + k] == v[x + k]:
+                        k += 1
+                    found.append((k, -ids[u]))
+            words, low = max(found)
+            if words >= least and s + words > before:
+                out.append((t, s, words, -low))
+            before = s + words if words >= least else 0
+    return out
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 13])
+def test_suffix_tree_against_brute_force(monkeypatch, least):
+    monkeypatch.setattr(substring_dedup, "WINDOW", least)
+    r = random.Random(least)
+    for _ in range(40):
+        letters = r.choice([1, 2, 3])
+        stretches = [[r.randrange(letters) for _ in range(r.randint(least, least + 30))] for _ in range(r.randint(0, 8))]
+        ids = [r.randrange(5) for _ in stretches]
+        tree = substring_dedup.SuffixTree(np.array([c for x in stretches for c in x], np.int64),
+                                          np.array([len(x) for x in stretches], np.int64))
+        # sorted, and the common prefixes are what neighbours share
+        suffixes = [stretches[tree.stretch[at]][-int(tree.end[at] - at):] for at in tree.leaves[tree.order]]
+        assert suffixes == sorted(suffixes)
+        for x, y, k in zip(suffixes, suffixes[1:], tree.lcp.tolist(), strict=False):
+            assert x[:k] == y[:k] and (k == min(len(x), len(y)) or x[k] != y[k])
+        got = tree.maximal_repeats(np.array(ids, np.int64))
+        assert list(zip(*[x.tolist() for x in got], strict=True)) == naive_repeats(stretches, ids, least)
+
+
+def test_suffix_tree_of_more_words_than_a_number_holds():
+    # three ranks side by side don't fit 64 bits: they are put together in steps
+    n = 2_200_000
+    codes = np.concatenate([np.arange(n, dtype=np.int64)[::-1], np.arange(20, 60)[::-1]])
+    got = substring_dedup.SuffixTree(codes, np.array([n - 100, 100, 40])).maximal_repeats(np.array([5, 1, 9]))
+    assert [x.tolist() for x in got] == [[2], [0], [40], [1]]
+
+
+def test_substring_removal_returns_texts_and_runs(spark):
+    words = [f"w{k}" for k in range(100)]
+    rows = [(1, " ".join(words[10:40])), (2, " ".join(words)), (3, " ".join([*words[50:63], "x", *words[0:10]])), (4, None)]
+    got = {x.doc_id: x for x in substring_dedup.remove_repeats(docs_of(spark, rows), texts=True).collect()}
+    assert [(x.first, x.words) for x in got[2].removed] == [(10, 30)]
+    assert got[2].kept_text == " ".join(words[:10] + words[40:])
+    assert [(x.first, x.words) for x in got[3].removed] == [(0, 13)]
+    assert got[1].removed == got[4].removed == [] and got[4].kept_text == ""
+    assert all(hashlib.sha256(x.kept_text.encode()).hexdigest() == x.kept_sha256 for x in got.values())
+
+
 def test_substring_removal_of_nothing(spark):
     assert substring_dedup.remove_repeats(docs_of(spark, [])).collect() == []
 

@@ -18,10 +18,17 @@ text is shuffled once and that exchange serves all steps:
    stretch of text.  A block sends each distinct window once, with the least
    doc_id it has there, so a window in very many documents costs a row for each
    block, not one for each occurrence.
-3. A group sorts its windows, and neighbours that are equal are repeats: the nodes
-   that a suffix tree would have at depth WINDOW.  Suffixes are not followed
-   beyond it; a longer repeat is a run of windows in its document.
-4. Blocks mark the words of windows whose repeat starts in a smaller doc_id.
+3. A group is the suffix tree of its stretches: from each word that begins a shared
+   window a suffix runs to the end of its stretch (13 to 25 words).  Suffixes are
+   sorted and get the lengths of the prefixes they have in common with their
+   neighbours; an internal node is a run of neighbours that share so many words.
+   Two suffixes that share a window share its anchor, so they meet in one group.
+   The deepest node of at least WINDOW words that also holds a smaller doc_id is the
+   longest repeat at a suffix; those that reach further than the suffix one
+   word before are the maximal ones, which are returned.  Repeats longer than a
+   stretch come out as one maximal repeat for each stretch, overlapping by
+   WINDOW - 1 words.
+4. Blocks mark the words of these repeats, and those of copies within the block.
 
 The smallest document that holds a window decides, so a null doc_id counts as
 larger than all others (and as alike with the largest of all ids, 2^63 - 1);
@@ -39,6 +46,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from tickfold.llm.common import text_or_empty
 
@@ -51,6 +59,9 @@ GROUP = 250_000
 PREFIXES = (1, 2, 4)
 CELLS = 1 << 13
 LAST = 2**63 - 1
+RESULT = pa.schema([
+    ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+    ("kept_text", pa.string()), ("removed", pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())])))])
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -180,25 +191,73 @@ def _cells(documents: list[list[bytes]]) -> np.ndarray:
                      for h, fits in levels])
 
 
-def repeats(windows: list[bytes], ids: np.ndarray) -> np.ndarray:
-    """For each window the least id of those that share its node at depth WINDOW.
+class SuffixTree:
+    """Suffixes of stretches of words, sorted, with the lengths of common prefixes.
 
-    Sorted, the leaves of a subtree lie side by side, and a node at that depth
-    is a stretch of neighbours that have all their words in common.
+    ``codes``: the words of all stretches as numbers from 0 on, ``sizes``: how many
+    each stretch has.  Suffixes with fewer than WINDOW words are no leaves.
+    ``order`` sorts ``leaves`` (places in ``rank`` arrays, which have one place without
+    a word after each stretch); ``lcp``: words that sorted leaves share with the next.
     """
-    order = sorted(range(len(windows)), key=windows.__getitem__)
-    unlike = [windows[a] != windows[b] for a, b in zip(order, order[1:], strict=False)]
-    starts = np.flatnonzero(np.array([True, *unlike]))
-    order = np.array(order)
-    least = np.minimum.reduceat(ids[order], starts)
-    out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(least, np.diff(np.append(starts, len(order))))
-    return out
 
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
+    def __init__(self, codes: np.ndarray, sizes: np.ndarray):
+        ends = np.cumsum(sizes + 1) - 1
+        self.end = np.repeat(ends, sizes + 1)
+        self.stretch = np.repeat(np.arange(len(sizes)), sizes + 1)
+        places = np.arange(len(self.end))
+        words = np.zeros(len(places), np.int64)
+        words[places != self.end] = codes + 1
+        self.leaves = np.flatnonzero(self.end - places >= WINDOW)
+        # Ranks by 1, 3, 9, ... words: three ranks side by side order three times as many.
+        ranks, k = [(1, words)], 1
+        while 3 * k <= sizes.max(initial=0):
+            ranks.append((3 * k, np.unique(self._key(words, k, places), return_inverse=True)[1].ravel()))
+            k, words = ranks[-1]
+        self.order = np.argsort(self._key(words, k, self.leaves), kind="stable")
+        a, b = self.leaves[self.order[:-1]], self.leaves[self.order[1:]]
+        self.lcp = np.zeros(len(a), np.int64)
+        for k, rank in reversed(ranks):
+            for _ in range(2):
+                self.lcp += k * (rank[np.minimum(a + self.lcp, self.end[a])] == rank[np.minimum(b + self.lcp, self.end[b])])
+        self.lcp = np.minimum(self.lcp, np.minimum(self.end[a] - a, self.end[b] - b))
+
+    def _key(self, rank: np.ndarray, k: int, at: np.ndarray) -> np.ndarray:
+        """Numbers in the order of the 3k words from ``at`` on; ``rank`` orders k words."""
+        base, key = int(rank.max(initial=0)) + 1, rank[at]
+        for j in (k, 2 * k):
+            if (int(key.max(initial=0)) + 1) * base >= 2**63:
+                key = np.unique(key, return_inverse=True)[1].ravel()
+            key = key * base + rank[np.minimum(at + j, self.end[at])]
+        return key
+
+    def maximal_repeats(self, ids: np.ndarray):
+        """(stretch, first word within it, words, least id) of the maximal repeats of at
+        least WINDOW words that a stretch, whose id is in ``ids``, has in common with a lesser id."""
+        own = ids[self.stretch[self.leaves[self.order]]]
+        depth, low = np.zeros(len(own), np.int64), own.copy()
+        for d in range(WINDOW, int(self.lcp.max(initial=0)) + 1):
+            node = np.flatnonzero(np.concatenate([[True], self.lcp < d]))
+            least = np.repeat(np.minimum.reduceat(own, node), np.diff(np.append(node, len(own))))
+            less = least < own
+            if not less.any():  # nor deeper
+                break
+            depth[less], low[less] = d, least[less]
+        words, first = np.zeros(len(self.end), np.int64), np.zeros(len(self.end), np.int64)
+        at = self.leaves[self.order]
+        words[at], first[at] = depth, low
+        reach = np.where(words > 0, np.arange(len(words)) + words, 0)
+        found = np.flatnonzero(reach > np.concatenate([[0], reach[:-1]]))
+        begin = self.end[found] - np.bincount(self.stretch, minlength=len(ids))[self.stretch[found]] + 1
+        return self.stretch[found], found - begin, words[found], first[found]
+
+
+def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the words
-    left, joined by one space).  A null text has no words; an empty table gives no rows."""
+    left, joined by one space); with ``texts`` also ``kept_text`` and ``removed``, the
+    runs of words that went (first word from 0, number of words), in order.
+
+    A null text has no words; an empty table gives no rows.  Other columns are not read."""
+    result = RESULT if texts else pa.schema([RESULT.field(i) for i in range(4)])
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
     n_blocks, n_groups = 1 + chars // BLOCK_CHARS, 1 + 2 * chars // (6 * GROUP)
@@ -253,30 +312,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def subtree(table):
         places = [np.frombuffer(zstandard.decompress(x), "<i8").reshape(3, -1)
                   for x in table["places"].to_pylist()]
-        windows: list[bytes] = []
-        for blob, (_, n, _) in zip(table["blob"].to_pylist(), places, strict=True):
-            for text, k in zip(zstandard.decompress(blob).split(b"\n"), n.tolist(), strict=True):
-                if k == 1:
-                    windows.append(text)
-                else:
-                    words = text.split(b" ")
-                    windows += [b" ".join(words[j:j + WINDOW]) for j in range(k)]
-        every = np.concatenate(places, axis=1)
-        ids = np.repeat(every[2], every[1])
-        least = repeats(windows, ids)
-        rows, at = {"block": [], "found": []}, 0
-        for block, (pos, n, own) in zip(table["block"].to_pylist(), places, strict=True):
-            size = int(n.sum())
-            low, mine = least[at:at + size], np.repeat(own, n)
-            where = np.repeat(pos - np.cumsum(n) + n, n) + np.arange(size)
-            at += size
-            less = low < mine
-            low, where = low[less], where[less]
-            if len(low):  # as runs of neighbours with the same least id
-                new = np.flatnonzero((np.diff(where, prepend=-9) != 1) | (np.diff(low, prepend=-1) != 0))
-                runs = np.stack([where[new], np.diff(np.append(new, len(low))), low[new]])
+        words = b"\n".join(map(zstandard.decompress, table["blob"].to_pylist())).split()
+        codes = pa.array(words, pa.binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+        pos, n, ids = np.concatenate(places, axis=1)
+        stretch, begin, size, low = SuffixTree(codes, n + WINDOW - 1).maximal_repeats(ids)
+        # As the windows that a repeat is made of, by block.
+        found = np.stack([pos[stretch] + begin, size - WINDOW + 1, low])
+        cuts = np.searchsorted(stretch, np.cumsum([x.shape[1] for x in places])[:-1])
+        rows = {"block": [], "found": []}
+        for block, part in zip(table["block"].to_pylist(), np.split(found, cuts, axis=1), strict=True):
+            if part.shape[1]:
                 rows["block"].append(block)
-                rows["found"].append(zstandard.compress(runs.astype("<i8").tobytes(), 1))
+                rows["found"].append(zstandard.compress(np.ascontiguousarray(part).astype("<i8").tobytes(), 1))
         return pa.table(rows, pa.schema([("block", pa.int64()), ("found", pa.binary())]))
 
     def finish(table, replies):
@@ -287,24 +334,28 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             pos, n, low = np.frombuffer(zstandard.decompress(found), "<i8").reshape(3, -1)
             where = np.repeat(pos - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
             sent = number[np.searchsorted(block.pos, where)]
-            least[sent] = np.minimum(least[sent], np.repeat(low, n))
+            np.minimum.at(least, sent, np.repeat(low, n))
         gone = block.pos[least[number] < block.ids[block.doc]] if len(first) else block.pos
         marks = np.zeros(len(block.words) + WINDOW + 1, np.int64)
         np.add.at(marks, gone, 1)
         np.add.at(marks, gone + WINDOW, -1)
         covered = np.cumsum(marks) > 0
-        out = {k: [] for k in ("doc_id", "n_words", "n_removed", "kept_sha256")}
+        out = {k: [] for k in RESULT.names}
         for own, none, a, z in zip(block.ids.tolist(), block.no_id.tolist(), block.begin.tolist(),
                                    block.begin[1:].tolist(), strict=False):
             kept = block.words[a:z]
             if covered[a:z].any():
                 kept = [kept[i] for i in np.flatnonzero(~covered[a:z]).tolist()]
+            text = b" ".join(kept)
             out["doc_id"].append(None if none else own)
             out["n_words"].append(z - a)
             out["n_removed"].append(z - a - len(kept))
-            out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
-        return pa.table(out, pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
-                                        ("n_removed", pa.int64()), ("kept_sha256", pa.string())]))
+            out["kept_sha256"].append(hashlib.sha256(text).hexdigest())
+            if texts:
+                edges = np.flatnonzero(np.diff(covered[a:z].astype(np.int8), prepend=0, append=0)).tolist()
+                out["kept_text"].append(text.decode())
+                out["removed"].append([{"first": i, "words": j - i} for i, j in zip(edges[::2], edges[1::2], strict=True)])
+        return pa.table({k: out[k] for k in result.names}, result)
 
     # By place, not by value: repeated rows and null ids are spread like all others.
     blocks = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text",
@@ -315,5 +366,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     suffixes = by_block.cogroup(shared.groupBy("block")).applyInArrow(
         send_suffixes, "grp bigint, block bigint, places binary, blob binary")
     nodes = suffixes.groupBy("grp").applyInArrow(subtree, "block bigint, found binary")
-    return by_block.cogroup(nodes.groupBy("block")).applyInArrow(
-        finish, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    return by_block.cogroup(nodes.groupBy("block")).applyInArrow(finish, from_arrow_schema(result))
