@@ -515,6 +515,22 @@ def test_the_sample_has_the_target_margins(spark):
             assert abs(got[value] / sampled - n ** mixing.TEMPER / whole) < 1e-3
 
 
+def test_a_column_of_labels_is_the_topic(spark):
+    labels = {"law": 300, "art": 80, None: 20}
+    rows = [(i, f"w{i} and some words", "en", "s", t) for i, t in enumerate(t for t, n in labels.items() for _ in range(n))]
+    docs = spark.createDataFrame(rows, DOCS + ", `my topic` string")
+    goals = spark.createDataFrame([("law", 0.5), ("art", 0.4), (None, 0.1)], "value string, share double")
+    targets = {"topic": goals, **{d: spark.createDataFrame([(v, 1.0)], "value string, share double")
+                                  for d, v in (("source", "s"), ("lang", "en"))}}
+    scored = mixing.score(docs, targets, topic="my topic").collect()
+    sampled = sum(x.tokens * x.probability for x in scored)
+    for label, share in (("law", 0.5), ("art", 0.4), (None, 0.1)):
+        got = [x.tokens * x.probability for x in scored if x.topic == label]
+        assert len(got) == labels[label] and abs(sum(got) / sampled - share) < 1e-3
+    kept = mixing.sample(docs, targets, topic="my topic")
+    assert kept.columns == docs.columns and kept.count() == sum(x.kept for x in scored)
+
+
 def test_sampling_is_repeatable_and_near_its_probabilities(spark):
     _, _, _, docs = quality_docs(spark)
     docs = docs.withColumn("cell", F.lit("x")).withColumn("Features", F.lit(0)).withColumn("topic", F.lit(9))

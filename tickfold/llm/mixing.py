@@ -44,7 +44,7 @@ def topic_of(text: str) -> tuple[int, int]:
     """The lexicon that most distinct words of the whole text belong to, and its words.
 
     Lexicons are TOPICS hash classes of words.  Texts that share vocabulary get
-    the same topic; a classifier's label can be given in its place.
+    the same topic; a column of labels can be given in its place (``topic``).
     """
     words = text.encode().lower().split()
     if not words:
@@ -60,13 +60,17 @@ def features_udf(texts: pa.Array) -> pa.Array:
                                       names=["topic", "tokens"])
 
 
-def with_features(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` and a struct column of source, lang, topic, tokens."""
+def with_features(docs: DataFrame, name: str, topic: str | None = None) -> DataFrame:
+    """``docs`` and a struct column of source, lang, topic, tokens.
+
+    The topic is the value of column ``topic`` as a string, if one is named.
+    """
     (raw,) = unused(docs, "features")
     marked = docs.withColumn(raw, features_udf(text_or_empty()))
     return marked.withColumn(name, F.struct(
         F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-        F.col(f"{raw}.topic").alias("topic"), F.col(f"{raw}.tokens").alias("tokens"))).drop(raw)
+        F.col(f"`{topic}`").cast("string").alias("topic") if topic else F.col(f"{raw}.topic").alias("topic"),
+        F.col(f"{raw}.tokens").alias("tokens"))).drop(raw)
 
 
 def tempered(cells: DataFrame, dimension: str, power: float = TEMPER) -> DataFrame:
@@ -156,13 +160,19 @@ def _joined(marked: DataFrame, f: str, cells: DataFrame, names: dict[str, str])
     return marked.join(cells, same, "left").drop(*keys.values())
 
 
-def score(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
+def score(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP,
+          topic: str | None = None) -> DataFrame:
     """One row per document: doc_id, source, lang, topic, tokens, weight, probability, kept.
 
+    ``topic`` names a column of ``docs`` with labels (a classifier's, a cluster's; null is
+    a label like any other); without it the topic is the stand-in of ``topic_of``.
     A null text has no tokens and topic 0; null source or lang is a category.
     Rows that repeat are alike in all columns; an empty table gives no rows.
     """
-    marked = with_features(docs.select("doc_id", "text", "source", "lang"), "cell")
+    columns = ["doc_id", "text", "source", "lang"]
+    if topic and topic.lower() not in columns:
+        columns.append(f"`{topic}`")
+    marked = with_features(docs.select(*columns), "cell", topic)
     marked = stored(marked.select("doc_id", "cell", _chance().alias("chance")), "mixing-docs")
     cells = _sampled(marked, "cell", targets, keep)
     joined = _joined(marked, "cell", cells, {"weight": "weight", "probability": "probability"})
@@ -170,9 +180,10 @@ def score(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: fl
                          (F.col("chance") < F.col("probability")).alias("kept"))
 
 
-def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """The sampled documents, with their columns."""
+def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP,
+           topic: str | None = None) -> DataFrame:
+    """The sampled documents, with their columns; the arguments are those of ``score``."""
     f, p = unused(docs, "cell", "probability")
-    marked = stored(with_features(docs, f), "mixing-docs")
+    marked = stored(with_features(docs, f, topic), "mixing-docs")
     cells = _sampled(marked, f, targets, keep)
     return _joined(marked, f, cells, {"probability": p}).filter(_chance() < F.col(p)).select(*docs.columns)
