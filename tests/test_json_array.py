@@ -95,3 +95,26 @@ def test_array_files_are_written_and_read(spark):
                     assert isinstance(json.loads(text.read() or "[]"), list)  # no rows, no task
         back = read_documents(spark, path, json_array=True, schema=schemas.DOCUMENT)
         assert back.drop("_corrupt_record").exceptAll(frame).count() == 0 and back.count() == n
+
+
+def test_a_text_is_parsed_once(spark):
+    path = written(spark, ['{"timestamp": "2024-10-01 09:06:00", "transactions": [{"ticker": "A"}]}'])
+    plan = explode_transactions(read_documents(spark, path, variant=True))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_splits_grow_with_the_files(spark, monkeypatch):
+    from tickfold.sources import json_array
+
+    rows = [{"timestamp": "2024-10-01 09:00:00", "transactions": [{"ticker": f'{{"\\{i}]', "shares": i}]} for i in range(2000)]
+    path = written(spark, [json.dumps(rows)])
+    size = os.path.getsize(os.path.join(path, "0.json"))
+    monkeypatch.setattr(json_array, "MAX_SPLITS", 10)
+    assert json_array._split_size(spark, path, size // 100) == size // 10
+    assert json_array._split_size(spark, path, size // 5) == size // 5
+    elements = array_elements(spark, path, 100)  # would be a split a row
+    got = sorted((json.loads(r.value) for r in elements.collect()), key=lambda x: x["transactions"][0]["shares"])
+    assert got == rows
+    root = os.path.join(local_path(checkpoint_root(spark)), "tickfold")
+    newest = max((os.path.join(root, x) for x in os.listdir(root) if x.startswith("array-elements")), key=os.path.getmtime)
+    assert len([x for x in os.listdir(newest) if x.startswith("part-")]) <= 11

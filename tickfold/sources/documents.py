@@ -68,7 +68,9 @@ def typed_documents(lines: DataFrame, schema: T.StructType | None = None) -> Dat
     in quotes are numbers; blank lines are no documents.
     """
     wanted = (schema or schemas.DOCUMENT_OPEN).simpleString()
-    parsed = lines.where(F.trim("value") != "").select("value", F.try_parse_json("value").alias("parsed"))
+    # Not deterministic to Spark, which else parses again for the filter it makes of an explode.
+    once = F.when(F.monotonically_increasing_id() >= 0, F.col("value"))
+    parsed = lines.where(F.trim("value") != "").select("value", F.try_parse_json(once).alias("parsed"))
     typed = parsed.select("value", F.col("parsed").isNull().alias("corrupt"),
                           F.try_variant_get("parsed", "$", wanted).alias("document"))
     return typed.select("document.*", F.when(F.col("corrupt"), F.col("value")).alias("_corrupt_record"))
