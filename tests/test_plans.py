@@ -2,10 +2,11 @@
 measured or checked sides, rollups do not sort."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tickfold.operators.joins import bounded_size, join_company, join_dimension
-from tickfold.operators.rollup import coarsen, finish, period_state
+from tickfold.operators.rollup import coarsen, finish, period_state, period_state_by_quarter
 from tickfold.plans import gold, silver
 from tickfold.plans.by_ticker import TickerTables
 from tickfold.sources import adapters
@@ -87,6 +88,28 @@ def test_tables_by_ticker_need_no_exchange(spark, tmp_path):
     assert not any(spark.catalog.tableExists(n) for n in names)
 
 
+def test_sorted_reports_move_no_labels(spark):
+    inp = adapters.inputs(spark, SF, "lineitem")
+    core = silver.core(inp.trades, inp.index)
+    for report in (silver.report(core, inp.companies, 2), gold.rollup(core, inp.companies, "day")):
+        text = plan_text(report)
+        assert "date_format" in text.split("rangepartitioning")[0]
+        assert "date_format" not in text.split("rangepartitioning")[1]
+
+
+def test_a_tickers_quarter_is_in_one_task_and_its_states_add_up(spark):
+    inp = adapters.inputs(spark, SF, "lineitem")
+    core = silver.core(inp.trades, inp.index)
+    for grain in gold.GOLD_GRAINS:
+        laid, plain = period_state_by_quarter(core, grain), period_state(core, grain)
+        assert laid.schema == plain.schema and laid.count() == plain.count() > 0
+        assert laid.exceptAll(plain).isEmpty()
+    tasks = period_state_by_quarter(core, "day").select(
+        "ticker", F.date_trunc("quarter", "period").alias("quarter"), F.spark_partition_id().alias("task"))
+    per = tasks.groupBy("ticker", "quarter").agg(F.countDistinct("task").alias("n"))
+    assert per.where("n > 1").isEmpty()
+
+
 def test_hourly_aggregate_is_two_phase(spark):
     text = plan_text(silver.core(adapters.events_trades(spark, SF), adapters.events_index(spark, SF)))
     assert "partial_sum(shares" in text

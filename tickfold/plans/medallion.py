@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tickfold.functions.numeric import REPORT_DECIMALS
 from tickfold.functions.time import GRAINS, LABEL_COLUMNS, as_timestamp
 from tickfold.operators.index import duplicate_hours, index_hourly
-from tickfold.operators.rollup import period_state
+from tickfold.operators.rollup import period_state, period_state_by_quarter
 from tickfold.plans import gold, silver
 from tickfold.plans.by_ticker import TickerTables
 from tickfold.session import checkpoint_root, settings
@@ -48,7 +48,7 @@ def materialise(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as parquet to ``path`` (under the shared checkpoint folder)
     and read it back: the lineage stops here and the data survives executor
     loss."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -131,13 +131,15 @@ def run(
                 trades, index = within(trades, time_range), within(index, time_range)
             by_hour = materialise(spark, index_hourly(index), f"{work}/index")
             core = silver.joined_core(trades, by_hour, check=True)
+            if hourly_round is not None:
+                core = core.drop("notional")  # only the unrounded report divides it again
             core = tables_by_ticker.write(core, "silver_core", "datetime") if by_ticker \
                 else materialise(spark, core, f"{work}/silver-core")
             reports = {"hour": silver.report(core, inputs.companies, round_decimals=hourly_round)}
             decimals = {"hour": hourly_round}
             if grains:
                 finest = min(grains, key=GRAINS.index)
-                state = period_state(core, finest)
+                state = period_state(core, finest) if by_ticker else period_state_by_quarter(core, finest)
                 state = tables_by_ticker.write(state, f"state_{finest}", "period", placed=True) if by_ticker \
                     else materialise(spark, state, f"{work}/state-{finest}")
                 for grain in grains:

@@ -72,7 +72,6 @@ def report(core_rows: DataFrame, companies: DataFrame, round_decimals: int | Non
     index = report_value("market_index", round_decimals)
     out = joined.select(
         F.col("datetime").alias("_hour"),
-        period_label("datetime", "hour").alias("datetime"),
         F.col("ticker").cast("string").alias("ticker"), "company_name",
         price.alias("avg_price"),
         F.col("volume"),
@@ -80,7 +79,8 @@ def report(core_rows: DataFrame, companies: DataFrame, round_decimals: int | Non
     )
     if sort:
         out = out.orderBy("_hour", "ticker")
-    return out.drop("_hour")
+    # The label is printed after the sort, which then neither samples nor moves it.
+    return out.select(period_label("_hour", "hour").alias("datetime"), *[c for c in out.columns if c != "_hour"])
 
 
 def hourly(trades: DataFrame, companies: DataFrame, market_index: DataFrame,
