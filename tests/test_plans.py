@@ -1,6 +1,8 @@
 """Plan shape: pruning and pushdown reach the scan, joins broadcast only
 measured or checked sides, rollups do not sort."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,14 @@ def test_a_tickers_quarter_is_in_one_task_and_its_states_add_up(spark):
     assert per.where("n > 1").isEmpty()
 
 
+def test_lines_are_dealt_before_they_are_grouped(spark, monkeypatch):
+    lines = adapters.table(spark, SF, "lineitem").count()
+    monkeypatch.setattr(adapters, "LINES_PER_TASK", lines // 20)
+    text = plan_text(adapters.order_documents(spark, SF))
+    dealt = re.findall(r"Exchange hashpartitioning\(l_orderkey#\w+, chunk#\w+, (\d+)\), (\w+)", text)
+    assert dealt and set(dealt) <= {("20", "REPARTITION_BY_NUM"), ("21", "REPARTITION_BY_NUM")}
+
+
 def test_hourly_aggregate_is_two_phase(spark):
     text = plan_text(silver.core(adapters.events_trades(spark, SF), adapters.events_index(spark, SF)))
     assert "partial_sum(shares" in text

@@ -34,6 +34,9 @@ INDEX = T.DecimalType(10, 2)
 # Fixed value: at most this many trades per built document, so no document
 # (and no group building it) grows with a hot order.
 DOCUMENT_CHUNK = 64
+# Fixed value: lines that one task groups into documents, about; more lines are
+# more tasks, not larger ones.
+LINES_PER_TASK = 100_000
 ADAPTERS = ("events", "lineitem", "documents")
 
 
@@ -112,7 +115,9 @@ def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = Fal
     A document holds an order's lines numbered 1 to 64, the next one 65 to 128,
     and so on: whichever splits or tasks read them, the same documents come
     out, and none (and no group building one) grows with a hot order.  Lines
-    are grouped per (order, chunk) *before* any join; the chunks then meet their
+    are dealt to as many tasks as their number asks for (a count that reads only
+    the file's footers) and grouped per (order, chunk) there, *before* any join:
+    no scan task holds the lines of its split.  The chunks then meet their
     order's date in an inner join, which nothing downstream needs clustered by
     order, so AQE is free to split a hot order's partition.  Orders without any
     line are added by an anti join against the *distinct* line keys, which a
@@ -124,9 +129,11 @@ def order_documents(spark: SparkSession, sf_dir: str, element_stamps: bool = Fal
     if element_stamps:
         fields = [F.col("l_shipdate").alias("timestamp"), *fields]
     lineitem = table(spark, sf_dir, "lineitem")
+    tasks = -(-lineitem.count() // LINES_PER_TASK) or 1
     chunks = (
         lineitem.select("l_orderkey", F.struct(*fields).alias("trade"),
                         F.expr(f"(l_linenumber - 1) div {DOCUMENT_CHUNK}").alias("chunk"))
+        .repartition(tasks, "l_orderkey", "chunk")
         .groupBy("l_orderkey", "chunk")
         .agg(F.collect_list("trade").alias("transactions"))
     )
