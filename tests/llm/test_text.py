@@ -379,6 +379,19 @@ def test_encoder_equals_the_library_on_odd_texts():
     assert encoder(odd) == want and [encoder([x])[0] for x in odd] == want
 
 
+def test_encoder_remembers_parts_and_puts_texts_together():
+    r = random.Random(11)
+    encoder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["".join(r.choices("ab Zé,.!\n0'-²Ѫא日", k=r.randrange(40))) for _ in range(800)]
+    want = [x.ids for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.lists(texts).to_pylist() == want and encoder.lists([]).to_pylist() == []
+    encoder.lists.known.clear()
+    encoder.lists([" ".join(w + m for w in ("one", "two", "three") for m in " ,.!?;:".strip())])
+    assert {"one", "two", "three"} <= set(encoder.lists.known) and len(encoder.lists.known) <= 3 + 1 + 6
+    assert encoder.lists(["two. three?\none: two"]).to_pylist() == [
+        encoder.tokenizer.encode("two. three?\none: two", add_special_tokens=False).ids]
+
+
 # -- 10: quality rules ---------------------------------------------------------------
 
 def naive_counts(text):

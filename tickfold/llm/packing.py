@@ -16,7 +16,6 @@ Windows of a tier are dealt to step groups of equal token counts.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
@@ -31,17 +30,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickfold.llm.chunks import CACHE, Remembered
 from tickfold.llm.common import text_or_empty
 
 MAX_LENGTH = 2048
 TIERS = (256, 512, 1024, 2048)
-END_ID = 1
+END = np.array([1], "<u4")
 #: Ids that a task holds back before it packs them.
 BUFFER_IDS = 1 << 19
 #: Ids of a full step group.
 STEP_IDS = 1 << 16
-#: Chunks of text whose ids a task remembers.
-CACHE = 500_000
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, tier int, step_group bigint")
@@ -64,34 +62,14 @@ class Encoder:
 
     The vocabulary's splitting rule joins one blank to what follows and looks
     no further, so where every blank is followed by something else than white
-    space, a text may be cut before its blanks and the ids of a chunk remembered.
-    In a new chunk, letters and the punctuation or line break after them are
-    parts of their own by the same rule, and remembered too.
-    Other texts are encoded as they are.
+    space, a text may be cut before its blanks and the ids of parts remembered.
+    By the same rule, a mark after a letter or digit and a line break between other
+    characters than white space begin a part.  Other texts are encoded as they are.
     """
 
-    UNSAFE = re.compile(r" (?=\s|\Z)")
-
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHE):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def split(chunk: str) -> list[str]:
-        word, last = chunk[:-1], chunk[-1:]
-        if last in ".," and word.strip(" ").isalpha() and word.rfind(" ") < 1:
-            return [word, last]
-        left, line, right = chunk.partition("\n")
-        if line and not (left and right and not left[-1].isspace() and not right[0].isspace()):
-            return [chunk]
-        out = []
-        for part in (left, line, right) if line else (chunk,):
-            word = part.rstrip(".,!?;:")
-            if len(word) < len(part) and (word[1:] if word[:1] == " " else word).isalpha():
-                out += [word, part[len(word):]]
-            else:
-                out.append(part)
-        return out
+        self.lists = Remembered(self._encode, self._encode_parts, most=most)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -109,35 +87,15 @@ class Encoder:
             out += [ids[a:b] for a, b in pairwise(at)] if len(at) == len(own) + 1 else self._encode(own)
         return out
 
-    def _learn(self, new: set[str]) -> None:
-        known = self.known
-        split = {c: self.split(c) for c in new if not c[1:].isalpha()}
-        parts = {p for c in split.values() for p in c if p not in known}
-        parts.update(c for c in new if c not in split)
-        words = [p for p in parts if p[:1] == " " and p[1:].isalpha()]
-        known.update(zip(words, self._encode_words(words), strict=True))
-        others = [p for p in parts if p not in known]
-        known.update(zip(others, self._encode(others), strict=True))
-        known.update((c, b"".join([known[p] for p in found])) for c, found in split.items())
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        words = [x for x in parts if x.isalpha()]
+        others = [x for x in parts if not x.isalpha()]
+        found = dict(zip(words, self._encode_words([" " + x for x in words]), strict=True))
+        found.update(zip(others, self._encode([x[1:] if x[:1] == "\0" else " " + x for x in others]), strict=True))
+        return [found[x] for x in parts]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        safe = ["\0" not in x and not self.UNSAFE.search(x) for x in texts]
-        flat: list[str] = []
-        ends = []
-        for x, ok in zip(texts, safe, strict=True):
-            if ok:
-                flat += x.replace(" ", "\0 ").split("\0")
-            ends.append(len(flat))
-        found = list(map(self.known.get, flat))
-        missing = [i for i, x in enumerate(found) if x is None]
-        self._learn({flat[i] for i in missing})
-        for i in missing:
-            found[i] = self.known[flat[i]]
-        whole = iter(self._encode([x for x, ok in zip(texts, safe, strict=True) if not ok]))
-        return [b"".join(found[a:b]) if ok else next(whole)
-                for a, b, ok in zip([0, *ends], ends, safe, strict=False)]
+        return [np.array(x, "<u4").tobytes() for x in self.lists(texts).to_numpy(zero_copy_only=False)]
 
 
 @lru_cache(1)
@@ -255,13 +213,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def run(batches):
         encoder, packer = encoder_of(path), Packer(TaskContext.get().partitionId())
-        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for at, n in slices(batch.column(1)):
                 ids = batch.column(0).slice(at, n).to_pylist()
                 texts = batch.column(1).slice(at, n).to_pylist()
-                for doc_id, got in zip(ids, encoder(texts), strict=True):
-                    packer.add(doc_id, np.frombuffer(got + end, "<u4"))
+                found = encoder.lists(texts)
+                flat, ends = found.values.to_numpy().astype("<u4"), found.offsets.to_pylist()
+                for doc_id, a, b in zip(ids, ends, ends[1:], strict=False):
+                    packer.add(doc_id, np.append(flat[a:b], END))
                 if len(packer.rows) >= 20_000:
                     yield packer.batch()
         packer.finish()
@@ -271,7 +230,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return docs.mapInArrow(run, SCHEMA)
 
 
-def slices(texts: pa.Array, most: int = 2_000_000):
+def slices(texts: pa.Array, most: int = 8_000_000):
     """(start, rows) of stretches of about ``most`` bytes of text."""
     at, size = 0, 0
     for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
