@@ -197,6 +197,24 @@ def test_alignment_against_plain_python(spark, monkeypatch, block):
     assert sorted((tuple(r) for r in got), key=key) == sorted(plain_alignment(rows), key=key)
 
 
+def test_pieces_are_those_of_whole_texts_but_encoded_by_new_parts():
+    from sentencepiece import SentencePieceProcessor
+
+    rng = random.Random(5)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = SentencePieceProcessor(model_file=path)
+    texts = ["".join(rng.choices("ab Zé,.\n0²▁日\0", k=rng.randrange(40))) for _ in range(800)]
+    texts += ["", "a", " a", "a ", "x ². y", "<0x0A> b, <s>.\nc", "a\n\n b"]
+    vocabulary = alignment.pieces.__wrapped__(path)
+    assert vocabulary.encode(texts).to_pylist() == library.encode(texts)
+    given, encode = [], SentencePieceProcessor.encode
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(SentencePieceProcessor, "encode", lambda m, x, **k: (given.extend(x), encode(m, x, **k))[1])
+        got = vocabulary.encode([" ".join(["many", "words,", "again."] * 300)]).to_pylist()
+    assert got == [library.encode(" ".join(["many", "words,", "again."] * 300))]
+    assert sum(map(len, given)) < 30
+
+
 def test_alignment_of_none_and_of_texts_without_tokens(spark):
     assert alignment.align(frame(spark, [])).collect() == []
     got = alignment.align(frame(spark, [r for r in odd_rows() if not r[1]])).collect()

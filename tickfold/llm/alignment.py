@@ -18,7 +18,10 @@ once a link, and texts are encoded once.
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -28,14 +31,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickfold.llm.chunks import CACHE, MARKS, UNSAFE, Remembered, cut_after
 from tickfold.llm.common import stored, text_or_empty
-from tickfold.llm.packing import encoder_of, slices
+from tickfold.llm.packing import Encoder, slices
 
 #: Bytes of text of a block; a longer text is a block of its own.
 BLOCK_BYTES = 3_000_000
 #: An id pair is a_id * ID_SPACE + b_id.
 ID_SPACE = 1 << 20
 
+#: Texts that are not cut: UNSAFE, and any with the letter that stands for a blank.
+BLANK_LETTER = re.compile(UNSAFE.pattern + "|▁")
 #: Between ids of a side, sides of a group, and groups.
 SEPARATORS = [pa.scalar(x, pa.large_string()) for x in ",|;"]
 
@@ -66,19 +72,34 @@ class Vocabulary:
 
 @lru_cache(1)
 def byte_level(path: str) -> Vocabulary:
-    encoder, letters = encoder_of(path), byte_letters()
+    encoder, letters = Encoder(path, CACHE // 2), byte_letters()
     known = encoder.tokenizer.get_vocab(with_added_tokens=True)
     entries = [b""] * (max(known.values()) + 1)
     for word, i in known.items():
         entries[i] = bytes(letters[c] for c in word)
 
-    def encode(texts: list[str]) -> pa.ListArray:
-        found = encoder([" " + x for x in texts])
-        ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                        pa.array(np.frombuffer(b"".join(found), "<u4").astype(np.int64)))
+    return Vocabulary(entries, lambda texts: wide(encoder.lists([" " + x for x in texts])))
 
-    return Vocabulary(entries, encode)
+
+def wide(ids: pa.ListArray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(ids.offsets, pc.cast(ids.values, pa.int64()))
+
+
+def cuttable(model) -> bool:
+    """Whether a text's tokens are those of its parts (see ``chunks``): the text is taken as it is,
+    and no piece that merges could give goes on where one part ends and the next begins."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+    norm, kind, piece = proto.normalizer_spec, proto.trainer_spec, proto.SentencePiece
+    return (norm.name == "identity" and not norm.precompiled_charsmap and norm.add_dummy_prefix
+            and norm.escape_whitespaces and not norm.remove_extra_whitespaces
+            and kind.model_type == kind.BPE and not kind.treat_whitespace_as_suffix
+            and all(x.type in (piece.NORMAL, piece.BYTE, piece.UNKNOWN, piece.CONTROL) for x in proto.pieces)
+            and len(model.encode("\n")) == 2
+            and not any("▁" in x.piece.lstrip("▁") or "\n" in x.piece
+                        or any(c in MARKS and cut_after(before) for before, c in pairwise(x.piece))
+                        for x in proto.pieces if x.type == piece.NORMAL))
 
 
 @lru_cache(1)
@@ -88,7 +109,18 @@ def pieces(path: str) -> Vocabulary:
     model = SentencePieceProcessor(model_file=path)
     entries = [bytes([int(p[3:-1], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode()
                for i, p in ((i, model.id_to_piece(i)) for i in range(model.get_piece_size()))]
-    return Vocabulary(entries, lambda texts: pa.array(model.encode(texts, num_threads=1), pa.list_(pa.int64())))
+
+    def whole(texts: list[str]) -> list[bytes]:
+        """The library adds the blank that these texts begin with."""
+        return [array("i", x).tobytes() for x in model.encode([x[1:] for x in texts], num_threads=1)]
+
+    def parts(keys: list[str]) -> list[bytes]:
+        """A part without a blank is encoded after a line break, two tokens with the blank added."""
+        found = model.encode([x.replace("\0", "\n", 1) for x in keys], num_threads=1)
+        return [array("i", x[2:] if k[:1] == "\0" else x).tobytes() for k, x in zip(keys, found, strict=True)]
+
+    known = Remembered(whole, parts, BLANK_LETTER if cuttable(model) else None, CACHE // 2)
+    return Vocabulary(entries, lambda texts: wide(known([" " + x for x in texts])))
 
 
 def only(ids: pa.ListArray, keep: np.ndarray) -> pa.ListArray:
