@@ -88,8 +88,10 @@ def wide(ids: pa.ListArray) -> pa.ListArray:
 def cuttable(model) -> bool:
     """Whether a text's tokens are those of its parts (see ``chunks``): the text is taken as it is,
     and no piece that merges could give goes on where one part ends and the next begins."""
-    from sentencepiece import sentencepiece_model_pb2
-
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:  # needs protobuf, which the library itself doesn't
+        return False
     proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
     norm, kind, piece = proto.normalizer_spec, proto.trainer_spec, proto.SentencePiece
     return (norm.name == "identity" and not norm.precompiled_charsmap and norm.add_dummy_prefix
